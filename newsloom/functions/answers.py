@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import is_blank, or_null, strip_json_fence
+from newsloom.functions.text import is_blank, let, or_null, strip_json_fence
 
 # Field names of an answer, and ours.
 TEXT_FIELDS = (
@@ -21,52 +21,64 @@ def json_value(text: Column) -> Column:
 
     ``try_parse_json`` ignores what follows the first value. Wrapping the text
     once as an array and once as an object member makes any such rest an error."""
-    as_item = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(as_item.isNotNull(), F.try_variant_get(as_member, "$.v", "variant"))
 
+    def parse(t: Column) -> Column:
+        as_item = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+        as_member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+        return F.when(as_item.isNotNull(), F.try_variant_get(as_member, "$.v", "variant"))
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+    return let(text, parse)
 
 
 def js_truthy(value: Column) -> Column:
     """JavaScript truth of a VARIANT: missing, null, false, 0 and "" are false, all else true."""
-    kind = _kind(value)
-    number = F.try_variant_get(value, "$", "double")
-    return F.coalesce(
-        F.when(kind == "VOID", F.lit(False))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
-        .when(
-            kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL")),
-            number != 0,
-        )
-        .otherwise(value.isNotNull()),
-        F.lit(False),
-    )
+
+    def test(v: Column) -> Column:
+        def by_kind(kind: Column) -> Column:
+            return (
+                F.when(kind == "VOID", F.lit(False))
+                .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+                .when(kind == "STRING", F.try_variant_get(v, "$", "string") != "")
+                .when(
+                    kind.isin("BIGINT", "DOUBLE", "FLOAT")
+                    | F.startswith(kind, F.lit("DECIMAL")),
+                    F.try_variant_get(v, "$", "double") != 0,
+                )
+                .otherwise(v.isNotNull())
+            )
+
+        return F.coalesce(let(F.schema_of_variant(v), by_kind), F.lit(False))
+
+    return let(value, test)
 
 
 def text_or_null(value: Column) -> Column:
     """Trimmed text of a JSON string; null for blank text and for other types."""
-    return or_null(F.when(_kind(value) == "STRING", F.try_variant_get(value, "$", "string")))
+
+    def text(v: Column) -> Column:
+        is_text = F.schema_of_variant(v) == "STRING"
+        return or_null(F.when(is_text, F.try_variant_get(v, "$", "string")))
+
+    return let(value, text)
 
 
 def parse_extraction(raw: Column | str) -> Column:
     """Raw answer to an extraction struct. No answer, an answer that is no JSON and a
     bare ``null`` are failures; JSON that is no object is merely not relevant."""
-    value = json_value(strip_json_fence(raw))
-    failed = value.isNull() | F.coalesce(_kind(value) == "VOID", F.lit(True))
 
-    def member(name: str) -> Column:
-        return F.try_variant_get(value, f"$.{name}", "variant")
+    def read(value: Column) -> Column:
+        ok = F.coalesce(F.schema_of_variant(value) != "VOID", F.lit(False))
 
-    ok = ~failed
-    return F.struct(
-        (ok & js_truthy(member("isRelevant"))).alias("is_relevant"),
-        *(F.when(ok, text_or_null(member(js))).alias(ours) for js, ours in TEXT_FIELDS),
-        failed.alias("extraction_failed"),
-    )
+        def member(name: str) -> Column:
+            return F.try_variant_get(value, f"$.{name}", "variant")
+
+        return F.struct(
+            (ok & js_truthy(member("isRelevant"))).alias("is_relevant"),
+            *(F.when(ok, text_or_null(member(js))).alias(ours) for js, ours in TEXT_FIELDS),
+            (~ok).alias("extraction_failed"),
+        )
+
+    return let(json_value(strip_json_fence(raw)), read)
 
 
 def is_complete_extraction(

@@ -7,6 +7,8 @@ class is written out once here and used everywhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def js_trim(c: Column | str) -> Column:
     """Trim both ends of JavaScript white space."""
     return F.btrim(_col(c), F.lit(WS_CHARS))
@@ -53,7 +60,7 @@ def is_blank(c: Column | str) -> Column:
 
 def or_null(c: Column | str) -> Column:
     """Trimmed text, or null when nothing is left."""
-    return F.nullif(js_trim(c), F.lit(""))
+    return let(js_trim(c), lambda t: F.nullif(t, F.lit("")))
 
 
 def html_to_text(c: Column | str) -> Column:
@@ -69,9 +76,12 @@ def html_to_text(c: Column | str) -> Column:
 
 def truncate_text(c: Column | str, max_chars: int) -> Column:
     """At most ``max_chars`` characters; a cut text ends in an ellipsis."""
-    c = _col(c)
-    cut = F.concat(F.substring(c, 1, max_chars - 1), F.lit(ELLIPSIS))
-    return F.when(F.length(c) <= max_chars, c).otherwise(cut)
+
+    def cut(text: Column) -> Column:
+        short = F.concat(F.substring(text, 1, max_chars - 1), F.lit(ELLIPSIS))
+        return F.when(F.length(text) <= max_chars, text).otherwise(short)
+
+    return let(_col(c), cut)
 
 
 def cut_text(c: Column | str, max_chars: int) -> Column:
@@ -81,18 +91,24 @@ def cut_text(c: Column | str, max_chars: int) -> Column:
 
 def count_words(c: Column | str) -> Column:
     """Number of white-space separated words; 0 for blank text, null for null."""
-    trimmed = js_trim(c)
-    words = F.size(F.split(trimmed, f"[{WS_CLASS}]+"))
-    return (
-        F.when(trimmed.isNull(), F.lit(None).cast("int"))
-        .when(F.length(trimmed) == 0, F.lit(0))
-        .otherwise(words)
-    )
+
+    def count(trimmed: Column) -> Column:
+        words = F.size(F.split(trimmed, f"[{WS_CLASS}]+"))
+        return (
+            F.when(trimmed.isNull(), F.lit(None).cast("int"))
+            .when(F.length(trimmed) == 0, F.lit(0))
+            .otherwise(words)
+        )
+
+    return let(js_trim(c), count)
 
 
 def strip_json_fence(c: Column | str) -> Column:
     """Drop a Markdown code fence around a JSON answer."""
-    text = js_trim(c)
-    opened = F.regexp_replace(text, f"(?i)\\A```(?:json)?[{WS_CLASS}]*", "")
-    closed = F.regexp_replace(opened, r"```\z", "")
-    return F.when(F.startswith(text, F.lit("```")), js_trim(closed)).otherwise(text)
+
+    def strip(text: Column) -> Column:
+        opened = F.regexp_replace(text, f"(?i)\\A```(?:json)?[{WS_CLASS}]*", "")
+        closed = F.regexp_replace(opened, r"```\z", "")
+        return F.when(F.startswith(text, F.lit("```")), js_trim(closed)).otherwise(text)
+
+    return let(js_trim(c), strip)

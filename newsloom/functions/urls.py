@@ -8,13 +8,13 @@ removed, unsafe characters percent-encoded.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.text import let
 from newsloom.specs import SourceSpec
 
 # scheme, user info, host, port and path of a whole http(s) URL
@@ -34,11 +34,6 @@ _UNSAFE = r"""[^\x21-\x7e]|["<>`{}]"""
 _SCHEME = r"(?i)\A[a-z][a-z0-9+.\-]*:"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

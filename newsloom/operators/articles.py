@@ -12,7 +12,7 @@ from newsloom.functions.dom import page_article
 from newsloom.functions.text import html_to_text, js_trim, truncate_text
 from newsloom.functions.urls import canonical_url
 from newsloom.operators.links import by_source
-from newsloom.operators.skew import keep_first, spread_join
+from newsloom.operators.skew import is_small, keep_first, spread_join
 from newsloom.operators.snapshots import snapshot_texts
 from newsloom.specs import EXTRACT_MAX_CHARS, MIN_HTML_CHARS, SourceSpec
 
@@ -71,12 +71,13 @@ def native_article(html: Column | str, title_tag: str = "h1", body_tag: str = "a
     return html_to_text(inner(title_tag)), html_to_text(inner(body_tag))
 
 
-def fetch_pages(keys: DataFrame, pages: DataFrame, on: Sequence[str] = ("url",)) -> DataFrame:
+def fetch_pages(keys: DataFrame, pages: DataFrame, max_keys: int | None = None) -> DataFrame:
     """The latest page of each wanted URL: ``keys`` columns plus ``html``, ``fetch_error``.
 
-    ``keys`` holds distinct rows whose ``url`` is canonical. Pages are cut down to
-    the wanted URLs before they are compared, so markup of other pages is never
-    shuffled when the keys are few. Among copies the last fetched wins."""
+    ``keys`` holds distinct rows whose ``url`` is canonical; ``max_keys`` is a bound on
+    them known beforehand. The page table is cut down to the wanted URLs before copies
+    are compared: with few keys by a broadcast, so that no page is shuffled, else by a
+    join that spreads URLs with very many copies. The last fetched copy wins."""
     wanted = keys.select(F.col("url").alias("_url")).distinct()
     found = pages.select(
         canonical_url("url").alias("_url"),
@@ -85,23 +86,25 @@ def fetch_pages(keys: DataFrame, pages: DataFrame, on: Sequence[str] = ("url",))
         "fetch_error",
         "fetched_at",
     ).where(F.col("_url").isNotNull())
-    hits = spread_join(found, wanted, ["_url"], "inner")
+    if is_small(max_keys):
+        hits = found.join(F.broadcast(wanted), "_url")
+    else:
+        hits = spread_join(found, wanted, ["_url"], "inner")
     latest = keep_first(hits, ["_url"], ["fetched_at", "_raw"], last=True)
     return keys.join(latest.withColumnRenamed("_url", "url"), "url").select(
         *keys.columns, "html", "fetch_error"
     )
 
 
-def join_articles(links: DataFrame, articles: DataFrame, on: Sequence[str]) -> DataFrame:
+def join_articles(
+    links: DataFrame, articles: DataFrame, on: Sequence[str], max_rows: int | None = None
+) -> DataFrame:
     """Left join of links with their articles (one row per key). A link without a page
-    gets ``fetch_error``; a null ``url`` stays and is told apart by ``invalid_url``."""
+    gets a ``fetch_error``; so does one whose page could not be fetched."""
     marked = articles.withColumn("_found", F.lit(True))
-    joined = spread_join(links, marked, list(on), "left")
-    return joined.withColumn(
-        "fetch_error", F.when(F.col("_found").isNull(), F.lit(NOT_FETCHED)).otherwise(
-            F.col("fetch_error")
-        )
-    ).drop("_found")
+    joined = spread_join(links, marked, on, "left", max_rows=max_rows)
+    missing = F.when(F.col("_found").isNull(), F.lit(NOT_FETCHED))
+    return joined.withColumn("fetch_error", F.coalesce(missing, "fetch_error")).drop("_found")
 
 
 def fallback_article(
@@ -130,13 +133,14 @@ def apply_fallback(
     specs: Sequence[SourceSpec],
     max_chars: int = EXTRACT_MAX_CHARS,
     min_chars: int = MIN_HTML_CHARS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Thin pages take title and body from their snapshot, where there is one.
 
     ``articles`` has ``url``, ``html``, ``title``, ``body_excerpt``; ``snapshots`` one
     row per canonical ``url``."""
     snaps = snapshots.select("url", F.col("snapshot").alias("_snapshot"))
-    joined = spread_join(articles, snaps, ["url"], "left")
+    joined = spread_join(articles, snaps, ["url"], "left", max_rows=max_rows)
     thin = is_thin_page("html", min_chars) & F.col("_snapshot").isNotNull()
     joined = joined.withColumn(
         "_fallback",

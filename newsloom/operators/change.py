@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.identity import entry_key
 from newsloom.functions.text import is_blank
 from newsloom.functions.urls import canonical_url
 from newsloom.operators.merge import merge_keyed
 from newsloom.operators.skew import keep_first, spread_join
+from newsloom.specs import ENTRY_KEY_PREFIX
 
 
 def known_urls(news: DataFrame) -> DataFrame:
@@ -26,10 +28,13 @@ def split_invalid(links: DataFrame, url: str = "url") -> tuple[DataFrame, DataFr
     return links.where(canonical.isNotNull()), links.where(canonical.isNull())
 
 
-def fresh_links(links: DataFrame, news: DataFrame, url: str = "url") -> DataFrame:
+def fresh_links(
+    links: DataFrame, news: DataFrame, url: str = "url", max_rows: int | None = None
+) -> DataFrame:
     """The links whose canonical URL is not in the news, as they were written."""
     keyed = links.withColumn("_url", canonical_url(url))
-    return spread_join(keyed, known_urls(news), ["_url"], "left_anti").drop("_url")
+    known = known_urls(news)
+    return spread_join(keyed, known, ["_url"], "left_anti", max_rows=max_rows).drop("_url")
 
 
 def mark_known(links: DataFrame, news: DataFrame, url: str = "url") -> DataFrame:
@@ -44,35 +49,39 @@ def mark_known(links: DataFrame, news: DataFrame, url: str = "url") -> DataFrame
 
 
 def change_status(
-    articles: DataFrame, index: DataFrame | None, news: DataFrame | None = None
+    articles: DataFrame,
+    index: DataFrame | None,
+    news: DataFrame | None = None,
+    prefix: str = ENTRY_KEY_PREFIX,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``change_status`` to rows with ``url``, ``content_hash`` and ``entry_key``.
+    """Add ``change_status`` to rows with ``url`` and ``content_hash``.
 
     ``new``: URL not in the index. ``updated``: known with other content. ``retry``:
     same content, but its extraction was incomplete or the stored summary is empty.
-    ``unchanged``: same content and nothing left to do."""
+    ``unchanged``: same content and nothing left to do. The index and the news, which
+    both have unique keys, are joined first, so the articles are joined once."""
     if index is None:
         return articles.withColumn("change_status", F.lit("new"))
+    redo = ~F.coalesce("extraction_complete", F.lit(False))
+    if news is not None:
+        stored = news.select("entry_key", is_blank("news_summary").alias("_no_summary"))
+        index = index.withColumn("entry_key", entry_key("url", "content_hash", prefix)).join(
+            stored, "entry_key", "left"
+        )
+        redo = redo | F.coalesce("_no_summary", F.lit(False))
     seen = index.select(
-        "url",
-        F.col("content_hash").alias("_hash"),
-        F.col("extraction_complete").alias("_complete"),
+        "url", F.col("content_hash").alias("_last"), redo.alias("_redo")
     ).withColumn("_seen", F.lit(True))
-    joined = spread_join(articles, seen, ["url"], "left")
-    if news is None:
-        joined = joined.withColumn("_no_summary", F.lit(False))
-    else:
-        stored = news.select("entry_key", is_blank("news_summary").alias("_no_summary"))
-        joined = spread_join(joined, stored, ["entry_key"], "left")
-    redo = ~F.coalesce("_complete", F.lit(False)) | F.coalesce("_no_summary", F.lit(False))
-    same = F.col("_hash").eqNullSafe(F.col("content_hash"))
+    joined = spread_join(articles, seen, ["url"], "left", max_rows=max_rows)
+    same = F.col("_last").eqNullSafe(F.col("content_hash"))
     return joined.withColumn(
         "change_status",
         F.when(F.col("_seen").isNull(), F.lit("new"))
         .when(~same, F.lit("updated"))
-        .when(redo, F.lit("retry"))
+        .when(F.col("_redo"), F.lit("retry"))
         .otherwise(F.lit("unchanged")),
-    ).drop("_hash", "_complete", "_seen", "_no_summary")
+    ).drop("_last", "_redo", "_seen")
 
 
 def section_diff(sections: DataFrame, previous: DataFrame | None) -> DataFrame:

@@ -22,6 +22,15 @@ from newsloom.session import shuffle_partitions
 MAX_HOT_KEYS = 1000
 HOT_KEY_ROWS = 100_000
 
+# A table that the configuration bounds to this many rows may be broadcast, and joins as
+# it is whatever its keys.
+SMALL_ROWS = 50_000
+
+
+def is_small(max_rows: int | None) -> bool:
+    """Is a table small by a bound that does not depend on the data?"""
+    return max_rows is not None and max_rows <= SMALL_ROWS
+
 
 def _map_salt(parts: int) -> Column:
     """Salt of a row: its input partition. Fixed for a task, so a rerun gives the same."""
@@ -103,38 +112,44 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_KEY_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left``, where a key may be very frequent, to ``right`` with one row per key.
 
     The hot keys are counted on ``left`` (key column only, combined before the
     shuffle). Their rows are spread over all shuffle partitions and the matching
     right rows repeated; every other row joins as usual. The broadcast list holds at
-    most ``MAX_HOT_KEYS`` 8-byte hashes, whatever the data."""
+    most ``MAX_HOT_KEYS`` 8-byte hashes, whatever the data. ``max_rows`` is a bound on
+    ``left`` known beforehand; a small table needs none of this.
+
+    ``left`` is read twice. If it is costly, stage it first."""
+    if is_small(max_rows):
+        return left.join(right, list(on), how)
     parts = shuffle_partitions(left.sparkSession)
     hashed = F.xxhash64(*on)
     hot = (
-        left.select(hashed.alias("_hash"))
-        .groupBy("_hash")
+        left.select(hashed.alias("_key_hash"))
+        .groupBy("_key_hash")
         .count()
         .where(F.col("count") >= hot_rows)
-        .orderBy(F.desc("count"), "_hash")
+        .orderBy(F.desc("count"), "_key_hash")
         .limit(MAX_HOT_KEYS)
-        .select("_hash", F.lit(True).alias("_hot"))
+        .select("_key_hash", F.lit(True).alias("_hot"))
     )
     wide = (
         left.withColumn("_map", _map_salt(parts))
-        .withColumn("_hash", hashed)
-        .join(F.broadcast(hot), "_hash", "left")
+        .withColumn("_key_hash", hashed)
+        .join(F.broadcast(hot), "_key_hash", "left")
         .withColumn("_salt", F.when(F.col("_hot"), F.col("_map")).otherwise(F.lit(0)))
-        .drop("_hash", "_hot", "_map")
+        .drop("_key_hash", "_hot", "_map")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
         F.array(F.lit(0))
     )
     tall = (
-        right.withColumn("_hash", hashed)
-        .join(F.broadcast(hot), "_hash", "left")
+        right.withColumn("_key_hash", hashed)
+        .join(F.broadcast(hot), "_key_hash", "left")
         .withColumn("_salt", F.explode(copies))
-        .drop("_hash", "_hot")
+        .drop("_key_hash", "_hot")
     )
     return wide.join(tall, [*on, "_salt"], how).drop("_salt")

@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions.answers import parse_extraction
 from newsloom.functions.identity import content_hash, entry_key, link_list_hash
 from newsloom.functions.urls import canonical_url
 from newsloom.operators.articles import (
@@ -28,7 +29,7 @@ from newsloom.operators.classify import accepted, classify, early_reason, to_ext
 from newsloom.operators.extract import Extractor, extract_with
 from newsloom.operators.links import by_source, explode_links, listing_links
 from newsloom.operators.select import cap_items, cap_new_rows, first_sections, mark_duplicates
-from newsloom.operators.skew import keep_first, spread_join
+from newsloom.operators.skew import is_small, keep_first, spread_join
 from newsloom.operators.snapshots import (
     is_paywalled,
     read_attempts,
@@ -89,25 +90,47 @@ def _section_action(fetch_error: str = "fetch_error") -> list:
     ]
 
 
-def join_sections(seeds: DataFrame, pages: DataFrame) -> DataFrame:
+def join_sections(
+    seeds: DataFrame, pages: DataFrame, max_sections: int | None = None
+) -> DataFrame:
     """Listing pages of the seeds: ``html``, or ``fetch_error`` where there is none.
 
-    ``section_key`` is the canonical URL by which the page is looked up."""
+    ``section_key`` is the canonical URL by which the page is looked up;
+    ``max_sections`` a bound on the seeds known beforehand."""
     keyed = seeds.withColumn("section_key", canonical_url("section_url"))
     keys = keyed.select(F.col("section_key").alias("url")).distinct()
-    found = fetch_pages(keys, pages).withColumnRenamed("url", "section_key")
+    found = fetch_pages(keys, pages, max_sections).withColumnRenamed("url", "section_key")
     return keyed.join(found, "section_key", "left").withColumn(
         "fetch_error",
         F.coalesce("fetch_error", F.when(F.col("html").isNull(), F.lit(NOT_FETCHED))),
     )
 
 
-def _latest_snapshots(snapshots: DataFrame, keys: DataFrame) -> DataFrame:
+def _latest_snapshots(
+    snapshots: DataFrame, keys: DataFrame, max_keys: int | None
+) -> DataFrame:
+    wanted = keys.select("url").distinct()
     keyed = snapshots.withColumn("_raw", F.col("url")).withColumn("url", canonical_url("url"))
-    hits = spread_join(keyed, keys.select("url").distinct(), ["url"], "inner")
+    if is_small(max_keys):
+        hits = keyed.join(F.broadcast(wanted), "url")
+    else:
+        hits = spread_join(keyed, wanted, ["url"], "inner")
     return keep_first(hits, ["url"], ["attempt", "_raw"], last=True).drop("_raw")
 
 
+def _drop_known(
+    links: DataFrame, specs: Sequence[SourceSpec], news: DataFrame | None
+) -> DataFrame:
+    """Without the URLs that are in the news, for the sources that want fresh ones only."""
+    picky = [s.source_id for s in specs if s.fresh_only]
+    if news is None or not picky:
+        return links
+    if len(picky) == len(specs):
+        return fresh_links(links, news)
+    chosen = F.col("source_id").isin(picky)
+    return links.where(~chosen).unionByName(fresh_links(links.where(chosen), news))
+
+
 def html_candidates(
     seeds: DataFrame,
     pages: DataFrame,
@@ -116,9 +139,15 @@ def html_candidates(
     state: State = State(),
     snapshots: DataFrame | None = None,
     parser: str = "dom",
+    max_sections: int | None = None,
 ) -> Found:
-    """Listing pages to scanned articles, for sources of HTML pages."""
-    listings = join_sections(first_sections(seeds, config.max_sections), pages)
+    """Listing pages to scanned articles, for sources of HTML pages.
+
+    ``max_sections`` is a bound on the number of seeds known beforehand, None when the
+    seeds are a table of unknown size."""
+    first = first_sections(seeds, config.max_sections)
+    listings = join_sections(first, pages, max_sections)
+    most = config.max_rows(specs)
     if config.snapshot_fallback and snapshots is not None:
         # a thin listing page would be read from its snapshot, which shows no links
         seen = snapshots.select(canonical_url("url").alias("section_key")).distinct()
@@ -150,28 +179,26 @@ def html_candidates(
         redo = state.url_index.where(~F.col("extraction_complete")).select("url")
         flagged = spread_join(links, redo.withColumn("_redo", F.lit(True)), ["url"], "left")
         links = flagged.where(~F.col("is_unchanged") | F.col("_redo").isNotNull()).drop("_redo")
-    by_spec = {s.source_id: s for s in specs}
-    if state.news is not None and any(s.fresh_only for s in specs):
-        picky = [s.source_id for s in by_spec.values() if s.fresh_only]
-        links = links.where(~F.col("source_id").isin(picky)).unionByName(
-            fresh_links(links.where(F.col("source_id").isin(picky)), state.news)
-        )
-    scanned = cap_items(links.drop("is_unchanged"), config.max_items)
+    links = _drop_known(links.drop("is_unchanged"), specs, state.news)
+    scanned = cap_items(links, config.max_items)
+    if not is_small(most):
+        scanned = stage(scanned, "scanned")
 
     keys = scanned.select("source_id", "url").distinct()
-    fetched = fetch_pages(keys, pages)
+    fetched = fetch_pages(keys, pages, most)
     articles = extract_articles(fetched, specs, config.extract_max_chars)
     if config.snapshot_fallback and snapshots is not None:
         articles = apply_fallback(
             articles,
-            _latest_snapshots(snapshots, keys),
+            _latest_snapshots(snapshots, keys, most),
             specs,
             config.extract_max_chars,
             config.min_html_chars,
+            max_rows=most,
         )
-    candidates = join_articles(scanned, articles.drop("html"), ["source_id", "url"]).withColumn(
-        "paywalled", F.lit(False)
-    )
+    candidates = join_articles(
+        scanned, articles.drop("html"), ["source_id", "url"], most
+    ).withColumn("paywalled", F.lit(False))
     done = sections.select("*", *_section_action())
     return Found(done.select(*SECTION_COLUMNS), candidates.select(*CANDIDATE_COLUMNS))
 
@@ -191,52 +218,56 @@ def snapshot_candidates(
         "section_key", canonical_url("section_url")
     )
     keyed = snapshots.withColumn("url", canonical_url("url"))
-    wanted = first.select(F.col("section_key").alias("url")).distinct()
-    steps = spread_join(keyed, wanted, ["url"], "inner").withColumnRenamed("url", "section_key")
-    read = snapshot_links(first.join(steps, "section_key", "left"), specs).withColumn(
+    # a listing may hold most of the snapshots: its steps are spread, not grouped
+    steps = spread_join(
+        keyed.withColumnRenamed("url", "section_key"), first, ["section_key"], "inner"
+    )
+    read = snapshot_links(steps, specs).withColumn(
         "wall", by_source(specs, lambda s: is_paywalled("snapshot", s.paywall))
     )
-    read = stage(read.drop("snapshot"), "listing-steps").withColumn("run_id", F.lit(config.run_id))
+    read = stage(read.drop("snapshot"), "listing-steps")
 
-    walls = read.groupBy("run_id", "source_id", "section_url", "section_key").agg(
-        F.max("wall").alias("_wall"), F.max("attempt").isNull().alias("_missing")
-    )
-    sections = walls.select(
-        "run_id",
+    walls = read.groupBy("source_id", "section_url").agg(F.max("wall").alias("wall"))
+    wall = F.col("wall")
+    sections = first.join(walls, ["source_id", "section_url"], "left").select(
+        F.lit(config.run_id).alias("run_id"),
         "source_id",
         "section_url",
         "section_key",
         F.lit(None).cast("string").alias("link_hash"),
-        F.when(F.col("_missing") | F.col("_wall"), F.lit("error")).alias("action"),
-        F.when(F.col("_missing"), F.lit(f"section_fetch: {NOT_FETCHED}"))
-        .when(F.col("_wall"), F.lit("login_required"))
+        F.when(wall.isNull() | wall, F.lit("error")).alias("action"),
+        F.when(wall.isNull(), F.lit(f"section_fetch: {NOT_FETCHED}"))
+        .when(wall, F.lit("login_required"))
         .alias("reason"),
     )
-    walled = walls.where("_wall").select("run_id", "source_id").distinct()
+    # at most one row per configured source
+    walled = walls.where("wall").select("source_id").distinct()
     links = explode_links(
-        read.select("run_id", "source_id", "source_ord", "section_ord", "attempt", "links")
-    ).join(walled, ["run_id", "source_id"], "left_anti")
+        read.select("source_id", "source_ord", "section_ord", "attempt", "links")
+    ).join(F.broadcast(walled), "source_id", "left_anti")
     merged = keep_first(
-        links,
-        ["run_id", "source_id", "source_ord", "section_ord", "url"],
-        ["attempt", "link_pos"],
-    ).withColumn(
+        links, ["source_id", "source_ord", "section_ord", "url"], ["attempt", "link_pos"]
+    ).select(
+        F.lit(config.run_id).alias("run_id"),
+        "source_id",
+        "source_ord",
+        "section_ord",
+        "url",
         # one place per step and position; only the order counts
-        "link_pos",
-        F.shiftleft(F.col("attempt").cast("long"), 32) + F.col("link_pos"),
+        (F.shiftleft(F.col("attempt").cast("long"), 32) + F.col("link_pos")).alias("link_pos"),
     )
-    if state.news is not None and any(s.fresh_only for s in specs):
-        picky = [s.source_id for s in specs if s.fresh_only]
-        rest = merged.where(~F.col("source_id").isin(picky))
-        merged = rest.unionByName(
-            fresh_links(merged.where(F.col("source_id").isin(picky)), state.news)
-        )
-    scanned = stage(cap_items(merged.drop("attempt"), config.max_items), "scanned")
+    scanned = cap_items(_drop_known(merged, specs, state.news), config.max_items)
+    most = config.max_rows(specs)
+    if not is_small(most):
+        scanned = stage(scanned, "scanned")
 
     keys = scanned.select("source_id", "url").distinct()
-    urls = keys.select("url").distinct()
-    tried = spread_join(keyed.where(F.col("attempt") <= config.max_attempts), urls, ["url"], "inner")
-    parsed = read_attempts(tried.join(keys, "url"), specs, config.extract_max_chars)
+    tries = keyed.where(F.col("attempt") <= config.max_attempts)
+    if is_small(most):
+        tried = tries.join(F.broadcast(keys), "url")
+    else:
+        tried = spread_join(tries, keys, ["url"], "inner")
+    parsed = read_attempts(tried, specs, config.extract_max_chars)
     chosen = select_attempts(parsed, ["source_id", "url"], config.max_attempts)
     articles = chosen.select(
         "source_id",
@@ -246,7 +277,7 @@ def snapshot_candidates(
         "paywalled",
         F.lit(None).cast("string").alias("fetch_error"),
     )
-    candidates = join_articles(scanned, articles, ["source_id", "url"]).withColumn(
+    candidates = join_articles(scanned, articles, ["source_id", "url"], most).withColumn(
         "paywalled", F.coalesce("paywalled", F.lit(False))
     )
     return Found(sections.select(*SECTION_COLUMNS), candidates.select(*CANDIDATE_COLUMNS))
@@ -274,11 +305,19 @@ def settle(
     state: State = State(),
     extractor: Extractor | None = None,
     parallelism: int | None = None,
+    answers: str | None = None,
 ) -> DataFrame:
     """One outcome per candidate: identity, duplicates, change, extraction, decision, limit.
 
     The row order of a source only matters for duplicates and the limit on new rows;
-    everything between runs in parallel over all rows."""
+    everything between runs in parallel over all rows. The candidates have been cut to
+    ``config.max_items`` per source; without that limit they are staged, as the look-up
+    in the URL index reads them twice. ``answers`` names a column of
+    raw answers that were obtained beforehand; it takes the place of the extractor."""
+    on = extractor is not None or answers is not None
+    most = config.max_rows(specs)
+    if state.url_index is not None and not is_small(most):
+        candidates = stage(candidates, "candidates")
     keyed = (
         candidates.withColumn(
             "min_body_chars", by_source(specs, lambda s: F.lit(s.min_body_chars))
@@ -290,18 +329,22 @@ def settle(
         )
         .withColumn("entry_key", entry_key("url", "content_hash", config.entry_key_prefix))
     )
-    known = change_status(keyed, state.url_index, state.news)
+    known = change_status(
+        keyed, state.url_index, state.news, config.entry_key_prefix, max_rows=most
+    )
     if parallelism is not None:
         # one shuffle for the duplicate check and the extractor's tasks
         known = known.repartition(parallelism, "run_id", "source_id", "entry_key")
     flagged = mark_duplicates(known, config.max_items)
-    answered = extract_with(
-        flagged,
-        extractor,
-        to_extract(extractor is not None),
-        config.extract_max_chars,
-    )
-    decided = classify(answered, extractor is not None, config.status_mode)
+    if answers is not None:
+        answered = flagged.withColumn(
+            "extraction", F.when(to_extract(True), parse_extraction(answers))
+        ).drop(answers)
+    else:
+        answered = extract_with(
+            flagged, extractor, to_extract(on), config.extract_max_chars
+        )
+    decided = classify(answered, on, config.status_mode)
     return cap_new_rows(decided, config.max_new_rows, accepted(), config.max_items)
 
 
@@ -327,7 +370,12 @@ def discover(
             continue
         own = seeds.where(F.col("source_id").isin([s.source_id for s in chosen]))
         if kind == "html":
-            parts.append(html_candidates(own, table, chosen, config, state, snapshots))
+            sections = sum(len(s.sections) for s in chosen)
+            parts.append(
+                html_candidates(
+                    own, table, chosen, config, state, snapshots, max_sections=sections
+                )
+            )
         else:
             parts.append(snapshot_candidates(own, table, chosen, config, state))
     if not parts:

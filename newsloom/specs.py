@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 # Default limits and sizes of a run.
@@ -117,6 +117,10 @@ class RunConfig:
             if cap is not None and cap < 1:
                 raise ValueError(f"{name} must be positive or None")
 
+    def max_rows(self, specs: Sequence[SourceSpec]) -> int | None:
+        """The most rows a run over these sources can scan; None without a limit."""
+        return None if self.max_items is None else self.max_items * len(specs)
+
 
 def enabled(specs: Iterable[SourceSpec]) -> list[SourceSpec]:
     """The sources that are switched on, in the given order."""
