@@ -177,7 +177,8 @@ def section_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("link_hash").alias("content_hash"),
         F.timestamp_seconds(F.lit(86400)).alias("checked_at"),
     )
-    return merge_section_snapshots(before, current)
+    merged = merge_section_snapshots(before, current)
+    return merged.withColumn("checked_at", iso_time("checked_at"))
 
 
 def section_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,7 +370,8 @@ def url_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("source_id") != "es").alias("extraction_complete"),
         F.col("link_pos").alias("seq"),
     )
-    return merge_url_index(index, run)
+    merged = merge_url_index(index, run)
+    return merged.withColumn("last_seen_at", iso_time("last_seen_at"))
 
 
 # --- limits -------------------------------------------------------------------------

@@ -148,12 +148,14 @@ def select_attempts(
 ) -> DataFrame:
     """One attempt per key: the first paywalled or complete one, else the last made.
 
-    Only the small parsed columns travel, and each map task sends one row per key."""
+    Only the small parsed columns travel, and each map task sends one row per key. Of
+    several snapshots of one attempt a paywalled one counts first."""
     stop = F.col("paywalled") | F.col("complete")
     rest = [c for c in attempts.columns if c not in keys and c != "snapshot"]
     row = F.struct(*rest)
-    first_stop = F.min_by(row, F.when(stop, F.col("attempt")))
-    last = F.max_by(row, F.col("attempt"))
+    order = F.struct("attempt", ~F.col("paywalled"), "title", "body_excerpt")
+    first_stop = F.min_by(row, F.when(stop, order))
+    last = F.max_by(row, order)
     best = (
         attempts.where(F.col("attempt") <= max_attempts)
         .groupBy(*keys)
