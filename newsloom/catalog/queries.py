@@ -22,10 +22,12 @@ from newsloom.functions.identity import (
 )
 from newsloom.functions.text import html_to_text, js_trim, truncate_text
 from newsloom.functions.urls import (
+    canonical_sql,
     canonical_url,
     is_article_url,
     not_excluded,
     resolve_href,
+    resolve_sql,
     url_host,
     url_path,
 )
@@ -48,7 +50,7 @@ from newsloom.operators.change import (
     section_diff,
 )
 from newsloom.operators.extract import extract_with
-from newsloom.operators.links import explode_links, listing_links, native_hrefs
+from newsloom.operators.links import explode_links, listing_links, native_hrefs, native_hrefs_sql
 from newsloom.operators.merge import merge_news
 from newsloom.operators.runs import (
     activity,
@@ -92,6 +94,10 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/newsloom/{name}-{uuid.uuid4().hex}"
 
 
+# the absolute links of a page, as its markup has them
+_RESOLVED = f"transform({native_hrefs_sql('html')}, h -> {resolve_sql('h', 'url')})"
+
+
 # --- URLs and listing pages ---------------------------------------------------------
 
 
@@ -108,7 +114,7 @@ def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def article_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both article rules and the prefix filter, on page URLs and on all their links."""
     pages = si.pages(spark, sf_dir).select(
-        "page_id", "url", F.concat(F.array(F.col("url")), native_hrefs("html")).alias("hrefs")
+        "page_id", "url", F.concat(F.array("url"), native_hrefs("html")).alias("hrefs")
     )
     links = pages.select("page_id", "url", F.posexplode("hrefs").alias("pos", "href"))
     return links.withColumn("link", resolve_href("href", "url")).select(
@@ -151,14 +157,8 @@ def _section_hashes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         .where(F.col("url").rlike("[?#]"))
         .select(
             F.col("url").alias("section_url"),
-            link_list_hash(
-                F.array_distinct(
-                    F.transform(
-                        native_hrefs("html"),
-                        lambda h: canonical_url(resolve_href(h, F.col("url"))),
-                    )
-                )
-            ).alias("content_hash"),
+            link_list_hash(f"array_distinct(transform({_RESOLVED}, h -> {canonical_sql('h')}))")
+            .alias("content_hash"),
             F.timestamp_seconds(F.lit(0)).alias("checked_at"),
         )
     )
@@ -191,7 +191,7 @@ def section_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = pages.select(
         si.domain().alias("source_id"),
         "page_id",
-        resolve_href(F.try_element_at(native_hrefs("html"), F.lit(1)), "url").alias("url"),
+        F.try_element_at(F.expr(_RESOLVED), F.lit(1)).alias("url"),
         F.lit(1).alias("part"),
     ).where(F.col("url").isNotNull())
     seeds = (
@@ -425,7 +425,7 @@ def snapshot_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _with_snapshot(si.pages(spark, sf_dir))
     spec = replace(si.SLUG_PAGES, article_rule=replace(si.SLUG_RULE, blocked_prefixes=()))
     listed = listing_links(pages, [si.SLUG_PAGES], base="url", parser="native")
-    both = listed.withColumn("seen", snapshot_article_links("snapshot", spec))
+    both = listed.withColumn("seen", snapshot_article_links("snapshot", [spec]))
     return both.select(
         "page_id",
         F.size("seen").alias("n_seen"),
@@ -435,10 +435,7 @@ def snapshot_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_snapshot(pages: DataFrame) -> DataFrame:
-    lines = F.transform(
-        native_hrefs("html"),
-        lambda h: F.concat(F.lit('  - link "x" [url='), resolve_href(h, F.col("url")), F.lit("]")),
-    )
+    lines = F.expr(f"""transform({_RESOLVED}, h -> concat('  - link "x" [url=', h, ']'))""")
     own = F.concat(F.lit('- link "page" url='), F.col("url"), F.lit(", focused"))
     return pages.withColumn(
         "snapshot", F.concat(own, F.lit("\nno node\n"), F.array_join(lines, "\r\n"))

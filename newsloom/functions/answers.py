@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import is_blank, let, or_null, strip_json_fence
+from newsloom.functions.sql import let, literal
+from newsloom.functions.text import WS_CHARS, fence_sql, is_blank
 
 # Field names of an answer, and ours.
 TEXT_FIELDS = (
@@ -16,69 +17,58 @@ TEXT_FIELDS = (
 )
 
 
-def json_value(text: Column) -> Column:
+def json_sql(text: str) -> str:
     """VARIANT of a JSON text, null when the text is not exactly one JSON value.
 
     ``try_parse_json`` ignores what follows the first value. Wrapping the text
     once as an array and once as an object member makes any such rest an error."""
+    member = "try_variant_get(try_parse_json(concat('{\"v\":', txt, '}')), '$.v', 'variant')"
+    exact = f"CASE WHEN try_parse_json(concat('[', txt, ']')) IS NOT NULL THEN {member} END"
+    return let(text, "txt", exact)
 
-    def parse(t: Column) -> Column:
-        as_item = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
-        as_member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-        return F.when(as_item.isNotNull(), F.try_variant_get(as_member, "$.v", "variant"))
 
-    return let(text, parse)
-
-
-def js_truthy(value: Column) -> Column:
+def truthy_sql(value: str) -> str:
     """JavaScript truth of a VARIANT: missing, null, false, 0 and "" are false, all else true."""
-
-    def test(v: Column) -> Column:
-        def by_kind(kind: Column) -> Column:
-            return (
-                F.when(kind == "VOID", F.lit(False))
-                .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-                .when(kind == "STRING", F.try_variant_get(v, "$", "string") != "")
-                .when(
-                    kind.isin("BIGINT", "DOUBLE", "FLOAT")
-                    | F.startswith(kind, F.lit("DECIMAL")),
-                    F.try_variant_get(v, "$", "double") != 0,
-                )
-                .otherwise(v.isNotNull())
-            )
-
-        return F.coalesce(let(F.schema_of_variant(v), by_kind), F.lit(False))
-
-    return let(value, test)
+    test = (
+        "CASE WHEN kind = 'VOID' THEN false "
+        "WHEN kind = 'BOOLEAN' THEN try_variant_get(val, '$', 'boolean') "
+        "WHEN kind = 'STRING' THEN try_variant_get(val, '$', 'string') != '' "
+        "WHEN kind IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(kind, 'DECIMAL') "
+        "THEN try_variant_get(val, '$', 'double') != 0 "
+        "ELSE val IS NOT NULL END"
+    )
+    return let(value, "val", f"coalesce({let('schema_of_variant(val)', 'kind', test)}, false)")
 
 
-def text_or_null(value: Column) -> Column:
+def text_sql(value: str) -> str:
     """Trimmed text of a JSON string; null for blank text and for other types."""
+    text = (
+        "CASE WHEN schema_of_variant(val) = 'STRING' THEN "
+        f"nullif(btrim(try_variant_get(val, '$', 'string'), {literal(WS_CHARS)}), '') END"
+    )
+    return let(value, "val", text)
 
-    def text(v: Column) -> Column:
-        is_text = F.schema_of_variant(v) == "STRING"
-        return or_null(F.when(is_text, F.try_variant_get(v, "$", "string")))
 
-    return let(value, text)
+def js_truthy(value: str) -> Column:
+    return F.expr(truthy_sql(value))
 
 
-def parse_extraction(raw: Column | str) -> Column:
+def parse_extraction(raw: str) -> Column:
     """Raw answer to an extraction struct. No answer, an answer that is no JSON and a
     bare ``null`` are failures; JSON that is no object is merely not relevant."""
 
-    def read(value: Column) -> Column:
-        ok = F.coalesce(F.schema_of_variant(value) != "VOID", F.lit(False))
-
-        def member(name: str) -> Column:
-            return F.try_variant_get(value, f"$.{name}", "variant")
-
-        return F.struct(
-            (ok & js_truthy(member("isRelevant"))).alias("is_relevant"),
-            *(F.when(ok, text_or_null(member(js))).alias(ours) for js, ours in TEXT_FIELDS),
-            (~ok).alias("extraction_failed"),
-        )
+    def member(name: str) -> str:
+        return f"try_variant_get(doc, '$.{name}', 'variant')"
 
-    return let(json_value(strip_json_fence(raw)), read)
+    ok = "coalesce(schema_of_variant(doc) != 'VOID', false)"
+    texts = ", ".join(
+        f"'{ours}', CASE WHEN ok THEN {text_sql(member(js))} END" for js, ours in TEXT_FIELDS
+    )
+    fields = (
+        f"named_struct('is_relevant', ok AND {truthy_sql(member('isRelevant'))}, "
+        f"{texts}, 'extraction_failed', NOT ok)"
+    )
+    return F.expr(let(json_sql(fence_sql(raw)), "doc", let(ok, "ok", fields)))
 
 
 def is_complete_extraction(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.sql import literal
 from newsloom.functions.text import WS_CHARS, collapse_ws, js_trim
 from newsloom.specs import ENTRY_KEY_PREFIX
 
@@ -30,12 +31,12 @@ def entry_key(
     return F.md5(F.concat(F.lit(prefix + ":"), _col(canonical), F.lit(":"), _col(hash_)))
 
 
-def link_list_hash(links: Column | str) -> Column:
+def link_list_hash(links: str) -> Column:
     """Hash of a page's links that does not depend on their order; repeats count.
 
     The links of one page sit in one row, so no rows are brought together."""
-    trimmed = F.transform(_col(links), lambda x: F.btrim(x, F.lit(WS_CHARS)))
-    return F.md5(F.array_join(F.array_sort(trimmed), "\n"))
+    trimmed = f"transform({links}, one -> btrim(one, {literal(WS_CHARS)}))"
+    return F.md5(F.array_join(F.array_sort(F.expr(trimmed)), "\n"))
 
 
 def run_id(ts: Column | str) -> Column:

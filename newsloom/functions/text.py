@@ -7,11 +7,11 @@ class is written out once here and used everywhere.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.sql import let, literal
+
 # The white space characters of ECMAScript. The plain characters serve
 # `btrim`, and between brackets they are a regex class.
 WS_CODES = (
@@ -38,11 +38,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def js_trim(c: Column | str) -> Column:
     """Trim both ends of JavaScript white space."""
     return F.btrim(_col(c), F.lit(WS_CHARS))
@@ -60,7 +55,7 @@ def is_blank(c: Column | str) -> Column:
 
 def or_null(c: Column | str) -> Column:
     """Trimmed text, or null when nothing is left."""
-    return let(js_trim(c), lambda t: F.nullif(t, F.lit("")))
+    return F.nullif(js_trim(c), F.lit(""))
 
 
 def html_to_text(c: Column | str) -> Column:
@@ -76,12 +71,9 @@ def html_to_text(c: Column | str) -> Column:
 
 def truncate_text(c: Column | str, max_chars: int) -> Column:
     """At most ``max_chars`` characters; a cut text ends in an ellipsis."""
-
-    def cut(text: Column) -> Column:
-        short = F.concat(F.substring(text, 1, max_chars - 1), F.lit(ELLIPSIS))
-        return F.when(F.length(text) <= max_chars, text).otherwise(short)
-
-    return let(_col(c), cut)
+    c = _col(c)
+    short = F.concat(F.substring(c, 1, max_chars - 1), F.lit(ELLIPSIS))
+    return F.when(F.length(c) <= max_chars, c).otherwise(short)
 
 
 def cut_text(c: Column | str, max_chars: int) -> Column:
@@ -89,26 +81,25 @@ def cut_text(c: Column | str, max_chars: int) -> Column:
     return F.substring(_col(c), 1, max_chars)
 
 
-def count_words(c: Column | str) -> Column:
+def count_words(c: str) -> Column:
     """Number of white-space separated words; 0 for blank text, null for null."""
+    count = f"CASE WHEN txt = '' THEN 0 ELSE size(split(txt, {literal(f'[{WS_CLASS}]+')})) END"
+    return F.expr(
+        let(f"btrim({c}, {literal(WS_CHARS)})", "txt", f"CASE WHEN txt IS NOT NULL THEN {count} END")
+    )
 
-    def count(trimmed: Column) -> Column:
-        words = F.size(F.split(trimmed, f"[{WS_CLASS}]+"))
-        return (
-            F.when(trimmed.isNull(), F.lit(None).cast("int"))
-            .when(F.length(trimmed) == 0, F.lit(0))
-            .otherwise(words)
-        )
 
-    return let(js_trim(c), count)
+def fence_sql(c: str) -> str:
+    ws = literal(WS_CHARS)
+    opening = literal(f"(?i)\\A```(?:json)?[{WS_CLASS}]*")
+    inner = f"regexp_replace(regexp_replace(txt, {opening}, ''), {literal('```' + chr(92) + 'z')}, '')"
+    return let(
+        f"btrim({c}, {ws})",
+        "txt",
+        f"CASE WHEN startswith(txt, '```') THEN btrim({inner}, {ws}) ELSE txt END",
+    )
 
 
-def strip_json_fence(c: Column | str) -> Column:
+def strip_json_fence(c: str) -> Column:
     """Drop a Markdown code fence around a JSON answer."""
-
-    def strip(text: Column) -> Column:
-        opened = F.regexp_replace(text, f"(?i)\\A```(?:json)?[{WS_CLASS}]*", "")
-        closed = F.regexp_replace(opened, r"```\z", "")
-        return F.when(F.startswith(text, F.lit("```")), js_trim(closed)).otherwise(text)
-
-    return let(js_trim(c), strip)
+    return F.expr(fence_sql(c))

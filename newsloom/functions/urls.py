@@ -1,24 +1,22 @@
 """URL expressions: parsing, canonical form, resolving, article rules.
 
-All of it is built-in expressions, null on input that is not an http or https URL.
-A URL is taken apart once (``url_parts``) and everything else works on the parts.
-Paths come out as a WHATWG URL parser gives them: back slashes turned, dot segments
-removed, unsafe characters percent-encoded.
+All of it is built-in SQL, null on input that is not an http or https URL. A URL is
+taken apart once (``parts_sql``) and everything else works on the parts. Paths come out
+as a WHATWG URL parser gives them: back slashes turned, dot segments removed, unsafe
+characters percent-encoded. Functions ending in ``_sql`` give the text of an expression,
+the others a column; arguments are column names or SQL expressions.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import let
+from newsloom.functions.sql import all_of, any_of, let, literal
 from newsloom.specs import SourceSpec
 
 # scheme, user info, host, port and path of a whole http(s) URL
-_HTTP_URL = (
+_HTTP_URL = literal(
     r"(?i)\A(https?):[/\\]*"
     r"((?:[^/\\?#]*@)?)"
     r"(\[[0-9a-f:.]+\]|[^/\\?#:@\[\]\s<>^|%]+)"
@@ -26,220 +24,191 @@ _HTTP_URL = (
     r"((?:[/\\][^?#]*)?)"
     r"(?:[?#](?s:.*))?\z"
 )
-_MARK = "\x01"
-_DOT_SEGMENT = r"(?i)/(?:\.|%2e){1,2}(?:/|\z)"
-_SINGLE_DOT = r"(?i)\A(?:\.|%2e)\z"
-_DOUBLE_DOT = r"(?i)\A(?:\.|%2e){2}\z"
-_UNSAFE = r"""[^\x21-\x7e]|["<>`{}]"""
-_SCHEME = r"(?i)\A[a-z][a-z0-9+.\-]*:"
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+_MARK = literal("\x01")
+_MARKED = literal("\x01" + "\x01".join(("$1", "$2", "$3", "$4", "$5")))
+_OUTER = literal(r"\A[\x00-\x20]+|[\x00-\x20]+\z|[\t\n\r]")
+_DOT_SEGMENT = literal(r"(?i)/(?:\.|%2e){1,2}(?:/|\z)")
+_SINGLE_DOT = literal(r"(?i)\A(?:\.|%2e)\z")
+_DOUBLE_DOT = literal(r"(?i)\A(?:\.|%2e){2}\z")
+_UNSAFE = literal(r"""[^\x21-\x7e]|["<>`{}]""")
+_SCHEME = literal(r"(?i)\A[a-z][a-z0-9+.\-]*:")
 
 
-def _clean(c: Column) -> Column:
+def _clean(c: str) -> str:
     """What a URL parser drops before parsing: outer controls and spaces, inner tabs and breaks."""
-    return F.regexp_replace(c, r"\A[\x00-\x20]+|[\x00-\x20]+\z|[\t\n\r]", "")
-
-
-def _drop_dot_segments(path: Column) -> Column:
-    def step(done: Column, part: Column) -> Column:
-        # element 1 is the empty text before the first slash and always stays
-        parent = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
-        return (
-            F.when(part.rlike(_DOUBLE_DOT), parent)
-            .when(part.rlike(_SINGLE_DOT), done)
-            .otherwise(F.concat(done, F.array(part)))
-        )
-
-    def fold(parts: Column) -> Column:
-        tail = F.slice(parts, F.lit(2), F.size(parts))
-        kept = F.array_join(F.aggregate(tail, F.array(F.lit("")), step), "/")
-        last = F.element_at(parts, -1)
-        ends_open = last.rlike(_SINGLE_DOT) | last.rlike(_DOUBLE_DOT)
-        return F.when(ends_open, F.concat(kept, F.lit("/"))).otherwise(kept)
-
-    return let(F.split(path, "/"), fold)
-
+    return f"regexp_replace({c}, {_OUTER}, '')"
 
-def _encode_unsafe(path: Column) -> Column:
-    def encode(ch: Column) -> Column:
-        coded = F.when(ch == " ", F.lit("%20")).otherwise(F.url_encode(ch))
-        return F.when(ch.rlike(_UNSAFE), coded).otherwise(ch)
 
-    return F.array_join(F.transform(F.split(path, ""), encode), "")
+def _drop_dot_segments(path: str) -> str:
+    # element 1 is the empty text before the first slash and always stays
+    parent = "slice(done, 1, greatest(size(done) - 1, 1))"
+    step = (
+        f"CASE WHEN part RLIKE {_DOUBLE_DOT} THEN {parent} "
+        f"WHEN part RLIKE {_SINGLE_DOT} THEN done ELSE concat(done, array(part)) END"
+    )
+    folded = f"aggregate(slice(segs, 2, size(segs)), array(''), (done, part) -> {step})"
+    last = "element_at(segs, -1)"
+    ends_open = f"{last} RLIKE {_SINGLE_DOT} OR {last} RLIKE {_DOUBLE_DOT}"
+    joined = f"concat(array_join({folded}, '/'), CASE WHEN {ends_open} THEN '/' ELSE '' END)"
+    return let(f"split({path}, '/')", "segs", joined)
 
 
-def _normal_path(path: Column) -> Column:
-    def no_dots(p: Column) -> Column:
-        return F.when(p.rlike(_DOT_SEGMENT), _drop_dot_segments(p)).otherwise(p)
+def _encode_unsafe(path: str) -> str:
+    encode = (
+        f"CASE WHEN ch = ' ' THEN '%20' WHEN ch RLIKE {_UNSAFE} THEN url_encode(ch) ELSE ch END"
+    )
+    return f"array_join(transform(split({path}, ''), ch -> {encode}), '')"
 
-    def safe(p: Column) -> Column:
-        return F.when(p.rlike(_UNSAFE), _encode_unsafe(p)).otherwise(p)
 
-    return let(let(F.translate(path, "\\", "/"), no_dots), safe)
+def _normal_path(path: str) -> str:
+    no_dots = let(
+        f"translate({path}, '\\\\', '/')",
+        "raw",
+        f"CASE WHEN raw RLIKE {_DOT_SEGMENT} THEN {_drop_dot_segments('raw')} ELSE raw END",
+    )
+    return let(
+        no_dots, "way", f"CASE WHEN way RLIKE {_UNSAFE} THEN {_encode_unsafe('way')} ELSE way END"
+    )
 
 
-def url_parts(c: Column | str) -> Column:
+def parts_sql(c: str) -> str:
     """STRUCT<scheme, user, host, port, path> of an http(s) URL, else null. The path
     is normalised and may be empty; user info keeps its ``@``."""
-    marked = F.regexp_replace(
-        _clean(_col(c)), _HTTP_URL, _MARK + _MARK.join(("$1", "$2", "$3", "$4", "$5"))
+    fields = (
+        "named_struct('scheme', lower(bits[1]), 'user', bits[2], 'host', lower(bits[3]), "
+        f"'port', bits[4], 'path', {_normal_path('bits[5]')})"
+    )
+    split = let(f"split(marked, {_MARK}, 6)", "bits", fields)
+    return let(
+        f"regexp_replace({_clean(c)}, {_HTTP_URL}, {_MARKED})",
+        "marked",
+        f"CASE WHEN startswith(marked, {_MARK}) THEN {split} END",
     )
 
-    def parts(a: Column) -> Column:
-        return F.struct(
-            F.lower(a[1]).alias("scheme"),
-            a[2].alias("user"),
-            F.lower(a[3]).alias("host"),
-            a[4].alias("port"),
-            _normal_path(a[5]).alias("path"),
-        )
 
-    def split(m: Column) -> Column:
-        return F.when(F.startswith(m, F.lit(_MARK)), let(F.split(m, _MARK, 6), parts))
+def _full_path(parts: str) -> str:
+    return f"CASE WHEN {parts}.path = '' THEN '/' ELSE {parts}.path END"
 
-    return let(marked, split)
 
+def _bare_host(parts: str) -> str:
+    return f"regexp_replace({parts}.host, '^www[.]', '')"
 
-def _full_path(parts: Column) -> Column:
-    path = parts.getField("path")
-    return F.when(path == "", F.lit("/")).otherwise(path)
 
+def canonical_of(parts: str) -> str:
+    """Canonical form, from the name of a variable or column that holds the parts."""
+    path = f"trim(TRAILING '/' FROM {parts}.path)"
+    return (
+        f"concat({parts}.scheme, '://', {_bare_host(parts)}, "
+        f"CASE WHEN {path} = '' THEN '/' ELSE {path} END)"
+    )
 
-def strip_www(host: Column) -> Column:
-    return F.regexp_replace(host, r"\Awww\.", "")
 
+def canonical_sql(c: str) -> str:
+    return let(parts_sql(c), "site", canonical_of("site"))
 
-def canonical_of(parts: Column) -> Column:
-    path = F.rtrim(parts.getField("path"), F.lit("/"))
-    return F.concat(
-        parts.getField("scheme"),
-        F.lit("://"),
-        strip_www(parts.getField("host")),
-        F.when(path == "", F.lit("/")).otherwise(path),
-    )
+
+def canonical_url(c: str) -> Column:
+    """Identity form: no query, fragment, port or user info; host lower-case without
+    ``www.``; no trailing slashes."""
+    return F.expr(canonical_sql(c))
 
 
-def url_host(c: Column | str) -> Column:
+def url_host(c: str) -> Column:
     """Lower-case host name without user info and port."""
-    return let(url_parts(c), lambda p: p.getField("host"))
+    return F.expr(let(parts_sql(c), "site", "site.host"))
 
 
-def url_path(c: Column | str) -> Column:
+def url_path(c: str) -> Column:
     """Normalised path, at least ``/``."""
-    return let(url_parts(c), _full_path)
+    return F.expr(let(parts_sql(c), "site", _full_path("site")))
 
 
-def canonical_url(c: Column | str) -> Column:
-    """Identity form: no query, fragment, port or user info; host lower-case without
-    ``www.``; no trailing slashes."""
-    return let(url_parts(c), canonical_of)
+def snapshot_url_sql(c: str) -> str:
+    default_port = "CASE WHEN site.scheme = 'http' THEN '80' ELSE '443' END"
+    port = (
+        f"CASE WHEN site.port IN ('', {default_port}) THEN '' ELSE concat(':', site.port) END"
+    )
+    href = f"concat(site.scheme, '://', site.user, site.host, {port}, {_full_path('site')})"
+    return f"coalesce(regexp_replace({let(parts_sql(c), 'site', href)}, '/$', ''), {_clean(c)})"
 
 
-def snapshot_url(c: Column | str) -> Column:
+def snapshot_url(c: str) -> Column:
     """Link form used inside snapshots: no query or fragment and without one trailing
     slash; text that is no URL is only trimmed."""
+    return F.expr(snapshot_url_sql(c))
 
-    def href(p: Column) -> Column:
-        scheme, port = p.getField("scheme"), p.getField("port")
-        default_port = F.when(scheme == "http", F.lit("80")).otherwise(F.lit("443"))
-        shown_port = F.when((port == "") | (port == default_port), F.lit("")).otherwise(
-            F.concat(F.lit(":"), port)
-        )
-        return F.concat(
-            scheme, F.lit("://"), p.getField("user"), p.getField("host"), shown_port, _full_path(p)
-        )
-
-    c = _col(c)
-    return F.coalesce(F.regexp_replace(let(url_parts(c), href), r"/\z", ""), _clean(c))
-
-
-def base_parts(base: Column | str) -> Column:
-    """What resolving needs of a page URL: STRUCT<scheme, origin, path, folder, url>."""
-
-    def of(p: Column) -> Column:
-        port = p.getField("port")
-        path = _full_path(p)
-        return F.when(
-            p.isNotNull(),
-            F.struct(
-                p.getField("scheme").alias("scheme"),
-                F.concat(
-                    p.getField("scheme"),
-                    F.lit("://"),
-                    p.getField("host"),
-                    F.when(port == "", port).otherwise(F.concat(F.lit(":"), port)),
-                ).alias("origin"),
-                path.alias("path"),
-                F.regexp_extract(path, r"\A(?s:.*/)", 0).alias("folder"),
-            ),
-        )
 
-    return let(url_parts(base), of)
-
-
-def resolve_against(href: Column, base: Column) -> Column:
-    """Absolute form of a link, given ``base_parts`` of its page. Not yet checked."""
+def base_sql(base: str) -> str:
+    """What resolving needs of a page URL: STRUCT<scheme, origin, path, folder>."""
+    port = "CASE WHEN site.port = '' THEN '' ELSE concat(':', site.port) END"
+    fields = (
+        "named_struct('scheme', site.scheme, "
+        f"'origin', concat(site.scheme, '://', site.host, {port}), "
+        f"'path', {_full_path('site')}, "
+        f"'folder', regexp_extract({_full_path('site')}, '^.*/', 0))"
+    )
+    return let(parts_sql(base), "site", f"CASE WHEN site IS NOT NULL THEN {fields} END")
+
+
+def resolve_against(href: str, base: str) -> str:
+    """Absolute form of a link, given a name that holds ``base_sql`` of its page."""
+    absolute = (
+        "CASE WHEN link = '' THEN NULL "
+        f"WHEN link RLIKE {_SCHEME} THEN link "
+        f"WHEN link RLIKE {literal(r'^[/\\]{2}')} THEN concat({base}.scheme, ':', link) "
+        f"WHEN link RLIKE {literal(r'^[/\\]')} THEN concat({base}.origin, link) "
+        f"WHEN link RLIKE '^[#?]' THEN concat({base}.origin, {base}.path, link) "
+        f"ELSE concat({base}.origin, {base}.folder, link) END"
+    )
+    return let(_clean(href), "link", absolute)
 
-    def absolute(link: Column) -> Column:
-        return (
-            F.when(link == "", F.lit(None).cast("string"))
-            .when(link.rlike(_SCHEME), link)
-            .when(link.rlike(r"\A[/\\]{2}"), F.concat(base["scheme"], F.lit(":"), link))
-            .when(link.rlike(r"\A[/\\]"), F.concat(base["origin"], link))
-            .when(link.rlike(r"\A[#?]"), F.concat(base["origin"], base["path"], link))
-            .otherwise(F.concat(base["origin"], base["folder"], link))
-        )
 
-    return let(_clean(href), absolute)
+def resolve_sql(href: str, base: str) -> str:
+    link = let(base_sql(base), "home", resolve_against(href, "home"))
+    return let(link, "found", f"CASE WHEN {parts_sql('found')} IS NOT NULL THEN found END")
 
 
-def resolve_href(href: Column | str, base: Column | str) -> Column:
+def resolve_href(href: str, base: str) -> Column:
     """Absolute http(s) URL of a link on the page ``base``; null when there is none.
 
     Blank links are dropped, as are links of other schemes."""
-    link = let(base_parts(base), lambda b: resolve_against(_col(href), b))
-    return let(link, lambda u: F.when(url_parts(u).isNotNull(), u))
+    return F.expr(resolve_sql(href, base))
 
 
-def _starts_with_any(c: Column, prefixes: tuple[str, ...]) -> Column:
-    return reduce(or_, (F.startswith(c, F.lit(p)) for p in prefixes), F.lit(False))
+def _starts_with_any(c: str, prefixes: tuple[str, ...]) -> str:
+    return any_of(f"startswith({c}, {literal(p)})" for p in prefixes)
 
 
-def article_parts(parts: Column, spec: SourceSpec) -> Column:
-    """``is_article_url`` on the parts of a URL."""
+def article_sql(parts: str, spec: SourceSpec) -> str:
+    """The article rule, on a name that holds the parts of a URL; false for null."""
     rule = spec.article_rule
-
-    def path_ok(path: Column) -> Column:
-        ok = ~path.isin(*rule.excluded_paths) & ~_starts_with_any(path, rule.blocked_prefixes)
-        if rule.path_pattern is not None:
-            ok = ok & path.rlike(rule.path_pattern)
-        if rule.path_prefixes:
-            segments = F.filter(F.split(path, "/"), lambda s: s != "")
-            ok = ok & _starts_with_any(path, rule.path_prefixes)
-            ok = ok & (F.size(segments) >= rule.min_segments)
-        return ok
-
+    tests = [f"way != {literal(p)}" for p in rule.excluded_paths]
+    tests.append("NOT " + _starts_with_any("way", rule.blocked_prefixes))
+    if rule.path_pattern is not None:
+        tests.append(f"way RLIKE {literal(rule.path_pattern)}")
+    if rule.path_prefixes:
+        tests.append(_starts_with_any("way", rule.path_prefixes))
+        tests.append(
+            f"size(filter(split(way, '/'), seg -> seg != '')) >= {rule.min_segments}"
+        )
     path = _full_path(parts)
-    ok = let(F.lower(path) if rule.ignore_case else path, path_ok)
-    if spec.host is not None:
-        ok = (strip_www(parts.getField("host")) == spec.host) & ok
-    return F.coalesce(parts.isNotNull() & ok, F.lit(False))
+    path_ok = let(f"lower({path})" if rule.ignore_case else path, "way", all_of(tests))
+    host_ok = "true" if spec.host is None else f"{_bare_host(parts)} = {literal(spec.host)}"
+    return f"coalesce({parts} IS NOT NULL AND {host_ok} AND {path_ok}, false)"
 
 
-def included_parts(parts: Column, spec: SourceSpec) -> Column:
-    """``not_excluded`` on the parts of a URL."""
-    return let(_full_path(parts), lambda p: ~_starts_with_any(p, spec.non_article_prefixes))
+def included_sql(parts: str, spec: SourceSpec) -> str:
+    """The prefix filter, on a name that holds the parts of a URL."""
+    test = "NOT " + _starts_with_any("way", spec.non_article_prefixes)
+    return let(_full_path(parts), "way", test)
 
 
-def is_article_url(c: Column | str, spec: SourceSpec) -> Column:
+def is_article_url(c: str, spec: SourceSpec) -> Column:
     """Does the URL follow the article rule of the source? False when it is no URL."""
-    return let(url_parts(c), lambda p: article_parts(p, spec))
+    return F.expr(let(parts_sql(c), "site", article_sql("site", spec)))
 
 
-def not_excluded(c: Column | str, spec: SourceSpec) -> Column:
+def not_excluded(c: str, spec: SourceSpec) -> Column:
     """True unless the path starts with one of the source's non-article prefixes
     (plain text prefixes, so ``/terms`` also drops ``/terms-of-use``)."""
-    return let(url_parts(c), lambda p: included_parts(p, spec))
+    return F.expr(let(parts_sql(c), "site", included_sql("site", spec)))

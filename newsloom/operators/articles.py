@@ -55,8 +55,9 @@ def extract_articles(
     return (
         pages.withColumn("_parsed", _parsed(F.col(html), specs))
         .withColumn("title", js_trim("_parsed.title"))
-        .withColumn("body_excerpt", truncate_text(html_to_text("_parsed.body"), max_chars))
-        .drop("_parsed")
+        .withColumn("_text", html_to_text("_parsed.body"))
+        .withColumn("body_excerpt", truncate_text("_text", max_chars))
+        .drop("_parsed", "_text")
     )
 
 
@@ -108,22 +109,29 @@ def join_articles(
 
 
 def fallback_article(
-    snapshot: Column | str, spec: SourceSpec, max_chars: int = EXTRACT_MAX_CHARS
-) -> Column:
-    """STRUCT<title, body_excerpt> of a thin page's snapshot: the first text is the
-    title, the rest the body, read as if they stood in a small page."""
-    texts = snapshot_texts(snapshot)
-    body = F.array_join(F.slice(texts, 2, F.greatest(F.size(texts), F.lit(1))), "\n")
+    articles: DataFrame, specs: Sequence[SourceSpec], max_chars: int = EXTRACT_MAX_CHARS
+) -> DataFrame:
+    """Add ``_title`` and ``_body``, the article of a thin page by its ``_snapshot``: the
+    first text is the title and the rest the body, read as if they stood in a small page
+    with a ``title`` and one ``article``."""
+
+    def has(choices: tuple[str, ...], wanted: set[str]) -> str:
+        return "true" if wanted & set(choices) else "false"
+
+    titled = F.expr(by_source(specs, lambda s: has(s.selectors.titles, {"title"})))
+    bodied = F.expr(
+        by_source(specs, lambda s: has(s.selectors.bodies, {"article", ".article-content"}))
+    )
+    body = F.expr("array_join(slice(_texts, 2, greatest(size(_texts), 1)), '\\n')")
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         body = F.replace(body, F.lit(char), F.lit(entity))
-    has_title = "title" in spec.selectors.titles
-    has_body = bool({"article", ".article-content"} & set(spec.selectors.bodies))
-    first = F.coalesce(js_trim(F.try_element_at(texts, F.lit(1))), F.lit(""))
-    return F.struct(
-        (first if has_title else F.lit("")).alias("title"),
-        (truncate_text(html_to_text(body), max_chars) if has_body else F.lit("")).alias(
-            "body_excerpt"
-        ),
+    first = js_trim(F.coalesce(F.try_element_at("_texts", F.lit(1)), F.lit("")))
+    return (
+        articles.withColumn("_texts", snapshot_texts("_snapshot"))
+        .withColumn("_text", html_to_text(body))
+        .withColumn("_title", F.when(titled, first).otherwise(F.lit("")))
+        .withColumn("_body", F.when(bodied, truncate_text("_text", max_chars)).otherwise(F.lit("")))
+        .drop("_texts", "_text")
     )
 
 
@@ -142,15 +150,13 @@ def apply_fallback(
     snaps = snapshots.select("url", F.col("snapshot").alias("_snapshot"))
     joined = spread_join(articles, snaps, ["url"], "left", max_rows=max_rows)
     thin = is_thin_page("html", min_chars) & F.col("_snapshot").isNotNull()
-    joined = joined.withColumn(
-        "_fallback",
-        F.when(thin, by_source(specs, lambda s: fallback_article("_snapshot", s, max_chars))),
-    )
-    return joined.select(
-        *(
-            F.coalesce(F.col(f"_fallback.{c}"), F.col(c)).alias(c)
-            if c in ("title", "body_excerpt")
-            else F.col(c)
-            for c in articles.columns
+    joined = joined.withColumn("_snapshot", F.when(thin, F.col("_snapshot")))
+    thin = F.col("_snapshot").isNotNull()
+    return (
+        fallback_article(joined, specs, max_chars)
+        .withColumn("title", F.when(thin, F.col("_title")).otherwise(F.col("title")))
+        .withColumn(
+            "body_excerpt", F.when(thin, F.col("_body")).otherwise(F.col("body_excerpt"))
         )
+        .select(*articles.columns)
     )

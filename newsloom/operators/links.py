@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Hashable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.dom import page_hrefs
+from newsloom.functions.sql import let, literal
 from newsloom.functions.urls import (
-    article_parts,
-    base_parts,
+    article_sql,
+    base_sql,
     canonical_of,
-    included_parts,
-    let,
+    included_sql,
+    parts_sql,
     resolve_against,
-    url_parts,
 )
 from newsloom.specs import SourceSpec
 
@@ -25,36 +25,41 @@ _LINK_TAG = r"""(?i)<a\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _HREF = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
-def by_source(specs: Sequence[SourceSpec], value: Callable[[SourceSpec], Column]) -> Column:
-    """One column over all sources: each row takes the expression of its ``source_id``.
-    A single source needs no test."""
-    if len(specs) == 1:
-        return value(specs[0])
-    out = F.when(F.col("source_id") == specs[0].source_id, value(specs[0]))
-    for spec in specs[1:]:
-        out = out.when(F.col("source_id") == spec.source_id, value(spec))
-    return out
+def by_source(specs: Sequence[SourceSpec], value: Callable[[SourceSpec], str]) -> str:
+    """SQL text over all sources: each row takes the expression of its ``source_id``.
+    Sources with the same expression share a branch."""
+    branches: dict[Hashable, list[str]] = {}
+    for spec in specs:
+        branches.setdefault(value(spec), []).append(spec.source_id)
+    if len(branches) == 1:
+        return next(iter(branches))
+    whens = (
+        f"WHEN source_id IN ({', '.join(map(literal, ids))}) THEN {text}"
+        for text, ids in branches.items()
+    )
+    return f"CASE {' '.join(whens)} END"
 
 
-def native_hrefs(markup: Column | str) -> Column:
+def native_hrefs_sql(markup: str = "html") -> str:
     """Link texts by regular expressions only, for markup known to be well formed."""
-    markup = F.col(markup) if isinstance(markup, str) else markup
-    tags = F.regexp_extract_all(
-        F.regexp_replace(markup, _BLOCKS, " "), F.lit(_LINK_TAG), F.lit(0)
+    tags = (
+        f"regexp_extract_all(regexp_replace({markup}, {literal(_BLOCKS)}, ' '), "
+        f"{literal(_LINK_TAG)}, 0)"
+    )
+    text = "concat({})".format(
+        ", ".join(f"regexp_extract(tag, {literal(_HREF)}, {i})" for i in (1, 2, 3))
     )
+    for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"), ("&amp;", "&")):
+        text = f"replace({text}, {literal(entity)}, {literal(char)})"
+    return f"transform({tags}, tag -> {text})"
 
-    def href(tag: Column) -> Column:
-        text = F.concat(*(F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3)))
-        for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"), ("&amp;", "&")):
-            text = F.replace(text, F.lit(entity), F.lit(char))
-        return text
 
-    return F.transform(tags, href)
+def native_hrefs(markup: str = "html") -> Column:
+    return F.expr(native_hrefs_sql(markup))
 
 
-def parsed_hrefs(markup: Column | str, specs: Sequence[SourceSpec]) -> Column:
+def parsed_hrefs(markup: str, specs: Sequence[SourceSpec]) -> Column:
     """Link texts by the HTML tokenizer, or by the source's own listing parser."""
-    markup = F.col(markup) if isinstance(markup, str) else markup
     parsers = {s.source_id: s.listing_parser or page_hrefs for s in specs}
     only = next(iter(parsers.values())) if len(specs) == 1 else None
 
@@ -69,17 +74,18 @@ def parsed_hrefs(markup: Column | str, specs: Sequence[SourceSpec]) -> Column:
         )
 
     source = F.lit("") if only else F.col("source_id")
-    return hrefs(markup, source)
+    return hrefs(F.col(markup), source)
 
 
-def article_links(hrefs: Column, base: Column, spec: SourceSpec) -> Column:
+def article_links(hrefs: str, base: str, specs: Sequence[SourceSpec]) -> Column:
     """Canonical article URLs among link texts, first seen first, each once."""
-
-    def kept(origin: Column) -> Column:
-        parts = F.transform(hrefs, lambda h: let(resolve_against(h, origin), url_parts))
-        return F.filter(parts, lambda p: article_parts(p, spec) & included_parts(p, spec))
-
-    return F.array_distinct(F.transform(let(base_parts(base), kept), canonical_of))
+    rule = by_source(
+        specs, lambda s: f"({article_sql('one', s)} AND {included_sql('one', s)})"
+    )
+    resolved = let(resolve_against("href", "origin"), "whole", parts_sql("whole"))
+    kept = f"filter(transform({hrefs}, href -> {resolved}), one -> {rule})"
+    kept = let(base_sql(base), "origin", kept)
+    return F.expr(f"array_distinct(transform({kept}, one -> {canonical_of('one')}))")
 
 
 def listing_links(
@@ -97,14 +103,8 @@ def listing_links(
     if parser not in ("dom", "native"):
         raise ValueError(f"unknown parser {parser!r}")
     hrefs = native_hrefs(html) if parser == "native" else parsed_hrefs(html, specs)
-    return (
-        pages.withColumn("_hrefs", hrefs)
-        .withColumn(
-            "links",
-            by_source(specs, lambda s: article_links(F.col("_hrefs"), F.col(base), s)),
-        )
-        .drop("_hrefs")
-    )
+    found = pages.withColumn("_hrefs", hrefs)
+    return found.withColumn("links", article_links("_hrefs", base, specs)).drop("_hrefs")
 
 
 def explode_links(pages: DataFrame, links: str = "links") -> DataFrame:

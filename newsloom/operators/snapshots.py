@@ -11,14 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import WS_CLASS, cut_text, is_blank, js_trim
-from newsloom.functions.urls import (
-    article_parts,
-    canonical_of,
-    let,
-    snapshot_url,
-    url_parts,
-)
+from newsloom.functions.sql import all_of, any_of, let, literal
+from newsloom.functions.text import WS_CHARS, WS_CLASS, is_blank, js_trim
+from newsloom.functions.urls import article_sql, canonical_of, parts_sql, snapshot_url_sql
 from newsloom.operators.links import by_source
 from newsloom.specs import (
     EXTRACT_MAX_CHARS,
@@ -28,74 +23,67 @@ from newsloom.specs import (
     SourceSpec,
 )
 
-_LINE = rf"\A[{WS_CLASS}]*-[{WS_CLASS}]+[^\n\r\x{{2028}}\x{{2029}}]*\z"
+_LINE = literal(rf"\A[{WS_CLASS}]*-[{WS_CLASS}]+[^\n\r\x{{2028}}\x{{2029}}]*\z")
 # possessive, so that long texts and many escapes use no stack
-_TEXT = rf'StaticText[{WS_CLASS}]+"((?:[^"\\]++|\\.)*+)"'
-_URL = rf"(?i)\burl=(https?://[^,\]{WS_CLASS}]+)"
+_TEXT = literal(rf'StaticText[{WS_CLASS}]+"((?:[^"\\]++|\\.)*+)"')
+_URL = literal(rf"(?i)\burl=(https?://[^,\]{WS_CLASS}]+)")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def lines_sql(snapshot: str) -> str:
+    return f"filter(split({snapshot}, {literal(chr(13) + '?' + chr(10))}), ln -> ln RLIKE {_LINE})"
 
 
-def snapshot_lines(snapshot: Column | str) -> Column:
+def snapshot_lines(snapshot: str = "snapshot") -> Column:
     """The lines that carry a node, in order."""
-    return F.filter(F.split(_col(snapshot), "\r?\n"), lambda x: x.rlike(_LINE))
+    return F.expr(lines_sql(snapshot))
+
+
+def texts_sql(snapshot: str) -> str:
+    plain = f"""replace(replace(txt, '\\\\"', '"'), '\\\\n', '\\n')"""
+    found = f"transform(regexp_extract_all(ln, {_TEXT}, 1), txt -> {plain})"
+    texts = f"flatten(transform({lines_sql(snapshot)}, ln -> {found}))"
+    return f"filter({texts}, txt -> length(btrim(txt, {literal(WS_CHARS)})) > 0)"
 
 
-def snapshot_texts(snapshot: Column | str) -> Column:
+def snapshot_texts(snapshot: str = "snapshot") -> Column:
     """The quoted static texts, in order, without blank ones."""
+    return F.expr(texts_sql(snapshot))
 
-    def of_line(line: Column) -> Column:
-        return F.transform(
-            F.regexp_extract_all(line, F.lit(_TEXT), F.lit(1)),
-            lambda t: F.replace(
-                F.replace(t, F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n")
-            ),
-        )
 
-    texts = F.flatten(F.transform(snapshot_lines(snapshot), of_line))
-    return F.filter(texts, lambda t: ~is_blank(t))
+def urls_sql(snapshot: str) -> str:
+    raw = f"flatten(transform({lines_sql(snapshot)}, ln -> regexp_extract_all(ln, {_URL}, 1)))"
+    return f"array_distinct(transform({raw}, raw_url -> {snapshot_url_sql('raw_url')}))"
 
 
-def snapshot_urls(snapshot: Column | str) -> Column:
+def snapshot_urls(snapshot: str = "snapshot") -> Column:
     """The link targets, in order, each once."""
-    raw = F.flatten(
-        F.transform(
-            snapshot_lines(snapshot),
-            lambda line: F.regexp_extract_all(line, F.lit(_URL), F.lit(1)),
-        )
-    )
-    return F.array_distinct(F.transform(raw, snapshot_url))
+    return F.expr(urls_sql(snapshot))
 
 
-def snapshot_article_links(snapshot: Column | str, spec: SourceSpec) -> Column:
+def snapshot_article_links(snapshot: str, specs: Sequence[SourceSpec]) -> Column:
     """Canonical article URLs of a listing snapshot, first seen first."""
-    parts = F.transform(snapshot_urls(snapshot), lambda u: url_parts(u))
-    kept = F.filter(parts, lambda p: article_parts(p, spec))
-    return F.array_distinct(F.transform(kept, canonical_of))
+    parts = f"transform({urls_sql(snapshot)}, target -> {parts_sql('target')})"
+    kept = f"filter({parts}, one -> {by_source(specs, lambda s: article_sql('one', s))})"
+    return F.expr(f"array_distinct(transform({kept}, one -> {canonical_of('one')}))")
 
 
 def snapshot_links(
     snapshots: DataFrame, specs: Sequence[SourceSpec], snapshot: str = "snapshot"
 ) -> DataFrame:
     """Add ``links`` to listing snapshots."""
-    return snapshots.withColumn(
-        "links", by_source(specs, lambda s: snapshot_article_links(snapshot, s))
-    )
+    return snapshots.withColumn("links", snapshot_article_links(snapshot, specs))
 
 
-def snapshot_article(snapshot: Column | str, max_chars: int = EXTRACT_MAX_CHARS) -> Column:
+def snapshot_article(
+    snapshot: str = "snapshot", max_chars: int = EXTRACT_MAX_CHARS
+) -> Column:
     """STRUCT<title, body_excerpt>: the first text as it is, the others joined and cut."""
-
-    def article(texts: Column) -> Column:
-        rest = F.slice(texts, F.lit(2), F.greatest(F.size(texts), F.lit(1)))
-        return F.struct(
-            F.coalesce(F.try_element_at(texts, F.lit(1)), F.lit("")).alias("title"),
-            cut_text(F.array_join(rest, "\n"), max_chars).alias("body_excerpt"),
-        )
-
-    return let(snapshot_texts(snapshot), article)
+    rest = "array_join(slice(texts, 2, greatest(size(texts), 1)), '\\n')"
+    article = (
+        "named_struct('title', coalesce(try_element_at(texts, 1), ''), "
+        f"'body_excerpt', substring({rest}, 1, {max_chars}))"
+    )
+    return F.expr(let(texts_sql(snapshot), "texts", article))
 
 
 def is_article_complete(
@@ -105,23 +93,18 @@ def is_article_complete(
     return ~is_blank(title) & F.coalesce(F.length(js_trim(body)) >= min_body, F.lit(False))
 
 
-def is_paywalled(text: Column | str, markers: PaywallMarkers) -> Column:
-    """Does the text show a login wall?"""
+def paywall_sql(text: str, markers: PaywallMarkers) -> str:
+    tests = [f"contains(small, {literal(m)})" for m in markers.any_of]
+    if markers.all_of:
+        tests.append(all_of(f"contains(small, {literal(m)})" for m in markers.all_of))
+    if not tests:
+        return "false"
+    return f"coalesce({let(f'lower({text})', 'small', any_of(tests))}, false)"
 
-    def test(lower: Column) -> Column:
-        wall = F.lit(False)
-        for marker in markers.any_of:
-            wall = wall | F.contains(lower, F.lit(marker))
-        if markers.all_of:
-            both = F.lit(True)
-            for marker in markers.all_of:
-                both = both & F.contains(lower, F.lit(marker))
-            wall = wall | both
-        return wall
 
-    if not (markers.any_of or markers.all_of):
-        return F.lit(False)
-    return F.coalesce(let(F.lower(_col(text)), test), F.lit(False))
+def is_paywalled(text: str, markers: PaywallMarkers) -> Column:
+    """Does the text show a login wall?"""
+    return F.expr(paywall_sql(text, markers))
 
 
 def read_attempts(
@@ -133,11 +116,13 @@ def read_attempts(
         .withColumn("title", F.col("_article.title"))
         .withColumn("body_excerpt", F.col("_article.body_excerpt"))
         .drop("_article")
-        .withColumn("paywalled", by_source(specs, lambda s: is_paywalled("snapshot", s.paywall)))
+        .withColumn(
+            "paywalled", F.expr(by_source(specs, lambda s: paywall_sql("snapshot", s.paywall)))
+        )
         .withColumn(
             "complete",
-            by_source(
-                specs, lambda s: is_article_complete("title", "body_excerpt", s.min_body_chars)
+            is_article_complete(
+                "title", "body_excerpt", F.expr(by_source(specs, lambda s: str(s.min_body_chars)))
             ),
         )
     )

@@ -31,7 +31,7 @@ from newsloom.operators.links import by_source, explode_links, listing_links
 from newsloom.operators.select import cap_items, cap_new_rows, first_sections, mark_duplicates
 from newsloom.operators.skew import is_small, keep_first, spread_join
 from newsloom.operators.snapshots import (
-    is_paywalled,
+    paywall_sql,
     read_attempts,
     select_attempts,
     snapshot_links,
@@ -223,7 +223,7 @@ def snapshot_candidates(
         keyed.withColumnRenamed("url", "section_key"), first, ["section_key"], "inner"
     )
     read = snapshot_links(steps, specs).withColumn(
-        "wall", by_source(specs, lambda s: is_paywalled("snapshot", s.paywall))
+        "wall", F.expr(by_source(specs, lambda s: paywall_sql("snapshot", s.paywall)))
     )
     read = stage(read.drop("snapshot"), "listing-steps")
 
@@ -320,7 +320,7 @@ def settle(
         candidates = stage(candidates, "candidates")
     keyed = (
         candidates.withColumn(
-            "min_body_chars", by_source(specs, lambda s: F.lit(s.min_body_chars))
+            "min_body_chars", F.expr(by_source(specs, lambda s: str(s.min_body_chars)))
         )
         .withColumn("early_reason", early_reason())
         .withColumn(
