@@ -9,6 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom import schemas
 from newsloom.catalog import stand_ins as si
 from newsloom.functions.answers import is_complete_extraction, parse_extraction
 from newsloom.functions.identity import (
@@ -79,7 +80,6 @@ from newsloom.plans.discover import (
     settle,
     snapshot_candidates,
 )
-from newsloom.schemas import NEWS_COLUMNS
 from newsloom.session import stage, staging_root
 from newsloom.sources.store import Store, export_flat
 from newsloom.sources.tables import read_flat_news
@@ -650,7 +650,7 @@ def news_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _keyed_documents(spark, sf_dir)
     first = _news(docs.join(si.table(spark, sf_dir, "labels"), "doc_id", "left_semi"), "new", 1)
     second = _news(docs.withColumn("source_id", F.lit("again")), "updated", 2)
-    empty = first.drop("seq").limit(0)
+    empty = spark.createDataFrame([], schemas.NEWS)
     return (
         merge_news(merge_news(empty, first), second)
         .withColumn("discovered_at", iso_time("discovered_at"))
@@ -680,7 +680,7 @@ def flat_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News written as a flat file with shuffled columns and read back by header."""
     news = news_rows(_outcomes(spark, sf_dir), si.COMPLETED_AT).drop("seq")
     path = f"{_folder(spark, 'flat')}/news"
-    export_flat(news, tuple(sorted(NEWS_COLUMNS, reverse=True)), path)
+    export_flat(news, tuple(sorted(schemas.NEWS_COLUMNS, reverse=True)), path)
     back = read_flat_news(spark, path)
     return back.withColumn("discovered_at", iso_time("discovered_at"))
 
@@ -778,7 +778,15 @@ def _domain_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
         F.lit("earlier").alias("last_run_id"),
         (~F.max(lang).isin("fr", "de")).alias("extraction_complete"),
     )
-    return seeds, fetched, State(url_index=index, section_snapshot=snapshot)
+    # what earlier runs left behind are stored tables
+    return (
+        seeds,
+        fetched,
+        State(
+            url_index=stage(index, "old-index"),
+            section_snapshot=stage(snapshot, "old-sections"),
+        ),
+    )
 
 
 def _discover(

@@ -69,8 +69,20 @@ LANG_FEEDS = tuple(
 )
 
 
+SCHEMAS = {
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return df.withColumn("ts", F.col("ts").cast("timestamp")) if name == "events" else df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
