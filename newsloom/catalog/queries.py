@@ -647,7 +647,7 @@ def _news(rows: DataFrame, status: str, day: int) -> DataFrame:
 def news_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents first, then all documents, under one key per text; the second
     batch names other sources, which stored rows do not take over."""
-    docs = _keyed_documents(spark, sf_dir)
+    docs = stage(_keyed_documents(spark, sf_dir).drop("text"), "keyed")
     first = _news(docs.join(si.table(spark, sf_dir, "labels"), "doc_id", "left_semi"), "new", 1)
     second = _news(docs.withColumn("source_id", F.lit("again")), "updated", 2)
     empty = spark.createDataFrame([], schemas.NEWS)

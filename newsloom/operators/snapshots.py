@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.sql import all_of, any_of, let, literal
-from newsloom.functions.text import WS_CHARS, WS_CLASS, is_blank, js_trim
+from newsloom.functions.text import WS, WS_CHARS, WS_MEMBERS, is_blank, js_trim
 from newsloom.functions.urls import article_sql, canonical_of, parts_sql, snapshot_url_sql
 from newsloom.operators.links import by_source
 from newsloom.specs import (
@@ -23,14 +23,21 @@ from newsloom.specs import (
     SourceSpec,
 )
 
-_LINE = literal(rf"\A[{WS_CLASS}]*-[{WS_CLASS}]+[^\n\r\x{{2028}}\x{{2029}}]*\z")
+_NODE = literal(rf"\A{WS}*-{WS}+")
+_WHOLE_NODE = literal(rf"\A{WS}*-{WS}+[^\n\r\x{{2028}}\x{{2029}}]*\z")
+_BREAKS = tuple(literal(chr(code)) for code in (0x0D, 0x2028, 0x2029))
 # possessive, so that long texts and many escapes use no stack
-_TEXT = literal(rf'StaticText[{WS_CLASS}]+"((?:[^"\\]++|\\.)*+)"')
-_URL = literal(rf"(?i)\burl=(https?://[^,\]{WS_CLASS}]+)")
+_TEXT = literal(rf'StaticText{WS}+"((?:[^"\\]++|\\[^\n\r\x{{2028}}\x{{2029}}])*+)"')
+_URL = literal(rf"(?i)\burl=(https?://[^,\]{WS_MEMBERS}]+)")
 
 
 def lines_sql(snapshot: str) -> str:
-    return f"filter(split({snapshot}, {literal(chr(13) + '?' + chr(10))}), ln -> ln RLIKE {_LINE})"
+    # the start of a line decides; only lines that hold another kind of line break, which
+    # may not stand in a node, are looked at as a whole
+    odd = any_of(f"contains(ln, {b})" for b in _BREAKS)
+    node = f"ln RLIKE {_NODE} AND (NOT {odd} OR ln RLIKE {_WHOLE_NODE})"
+    crlf, lf = literal(chr(13) + chr(10)), literal(chr(10))
+    return f"filter(split(replace({snapshot}, {crlf}, {lf}), {lf}), ln -> {node})"
 
 
 def snapshot_lines(snapshot: str = "snapshot") -> Column:
