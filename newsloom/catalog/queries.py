@@ -177,7 +177,8 @@ def section_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("link_hash").alias("content_hash"),
         F.timestamp_seconds(F.lit(86400)).alias("checked_at"),
     )
-    merged = merge_section_snapshots(before, current)
+    # the merge reads its batch twice
+    merged = merge_section_snapshots(before, stage(current, "sections"))
     return merged.withColumn("checked_at", iso_time("checked_at"))
 
 
@@ -370,7 +371,7 @@ def url_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("source_id") != "es").alias("extraction_complete"),
         F.col("link_pos").alias("seq"),
     )
-    merged = merge_url_index(index, run)
+    merged = merge_url_index(index, stage(run, "run-index"))
     return merged.withColumn("last_seen_at", iso_time("last_seen_at"))
 
 

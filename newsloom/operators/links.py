@@ -110,4 +110,7 @@ def listing_links(
 def explode_links(pages: DataFrame, links: str = "links") -> DataFrame:
     """One row per link with its position on the page."""
     rest = [c for c in pages.columns if c != links]
-    return pages.select(*rest, F.posexplode(links).alias("link_pos", "url"))
+    # the outer form: for the plain one Spark would first filter on the size of the array
+    # and compute the links twice for it
+    rows = pages.select(*rest, F.posexplode_outer(links).alias("link_pos", "url"))
+    return rows.where(F.col("link_pos").isNotNull())

@@ -23,7 +23,8 @@ def merge_keyed(
     Among incoming rows of a key the last by ``order`` wins. A known key takes the
     incoming values except in the ``keep`` columns. The wide existing rows are only
     joined to the deduplicated batch, which Spark broadcasts when it measures it to
-    be small; the second join shuffles keys alone."""
+    be small; the second join shuffles keys alone. ``incoming`` is read twice: stage it
+    when it is costly."""
     columns = existing.columns
     latest = keep_first(incoming, [key], list(order), last=True).drop(*drop)
     values = [c for c in columns if c != key]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsloom.operators.skew import flag_first, running_before
+from newsloom.operators.skew import flag_first, rows_before_limit
 
 WINDOW_CAP = 1000
 RUN_SOURCE = ("run_id", "source_id")
@@ -50,10 +50,8 @@ def cap_items(
             .where(F.col("_place") <= max_items)
             .drop("_place")
         )
-    counted = running_before(
-        _with_block(links, order), keys, ["_block"], order, F.lit(1), "_before"
-    )
-    return counted.where(F.col("_before") < max_items).drop("_before", "_block")
+    blocks = _with_block(links, order)
+    return rows_before_limit(blocks, keys, ["_block"], order, F.lit(1), max_items).drop("_block")
 
 
 def cap_new_rows(
@@ -77,10 +75,8 @@ def cap_new_rows(
         )
         counted = rows.withColumn("_before", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
         return counted.where(F.col("_before") < max_new).drop("_before")
-    counted = running_before(
-        _with_block(rows, order), keys, ["_block"], order, value, "_before"
-    )
-    return counted.where(F.col("_before") < max_new).drop("_before", "_block")
+    blocks = _with_block(rows, order)
+    return rows_before_limit(blocks, keys, ["_block"], order, value, max_new).drop("_block")
 
 
 def mark_duplicates(

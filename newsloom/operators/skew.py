@@ -1,7 +1,7 @@
 """Building blocks that stay balanced when one key holds a large share of all rows.
 
 * ``keep_first`` / ``flag_first``: first row per key,
-* ``running_before``: running sum over an ordered group of any size,
+* ``rows_before_limit``: the start of an ordered group of any size, up to a sum,
 * ``spread_join``: join of a table with hot keys to a table with one row per key.
 
 None of them brings a whole group into one task, and none drops rows.
@@ -74,19 +74,21 @@ def flag_first(
     )
 
 
-def running_before(
+def rows_before_limit(
     df: DataFrame,
     keys: Sequence[str],
     block: Sequence[str],
     order: Sequence[str],
     value: Column,
-    out: str,
+    limit: int,
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the earlier rows of the same key.
+    """The rows of each key before which ``value`` (never negative) sums to less than
+    ``limit``.
 
     ``block`` columns cut a key's order into consecutive pieces (a section, or a
-    position range). Only one piece is sorted in one task; what came before it is a
-    running sum over one small row per piece."""
+    position range). What came before a piece is a running sum over one small row per
+    piece. Pieces that start beyond the limit fall away by a join with the short list of
+    the others, before any row is sorted; then each piece is sorted by itself."""
     df = df.withColumn("_value", value)
     inner = (
         Window.partitionBy(*keys, *block)
@@ -95,14 +97,15 @@ def running_before(
     )
     outer = Window.partitionBy(*keys).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*keys, *block).agg(F.sum("_value").alias("_total"))
-    bases = totals.withColumn(
-        "_base", F.coalesce(F.sum("_total").over(outer), F.lit(0))
-    ).drop("_total")
-    local = df.withColumn("_local", F.coalesce(F.sum("_value").over(inner), F.lit(0)))
+    bases = totals.select(
+        *keys, *block, F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_base")
+    ).where(F.col("_base") < limit)
+    local = F.coalesce(F.sum("_value").over(inner), F.lit(0))
     return (
-        local.join(bases, [*keys, *block])
-        .withColumn(out, F.col("_base") + F.col("_local"))
-        .drop("_value", "_local", "_base")
+        df.join(bases, [*keys, *block])
+        .withColumn("_before", F.col("_base") + local)
+        .where(F.col("_before") < limit)
+        .drop("_value", "_base", "_before")
     )
 
 
