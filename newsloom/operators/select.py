@@ -2,7 +2,7 @@
 
 The limits count in scan order: section order, then position on the page. Up to
 ``WINDOW_CAP`` rows per source a window does it, whose row number limit Spark applies
-before the shuffle; larger or missing limits use the block-wise running sums of
+before the shuffle; larger or missing limits use the range-wise running sums of
 ``skew``, where no task holds a whole source.
 """
 
@@ -16,10 +16,9 @@ from pyspark.sql.window import Window
 
 from newsloom.operators.skew import flag_first, rows_before_limit
 
-WINDOW_CAP = 1000
+WINDOW_CAP = 200
 RUN_SOURCE = ("run_id", "source_id")
 SCAN_ORDER = ("section_ord", "link_pos")
-BLOCK_ROWS = 4096
 
 
 def first_sections(seeds: DataFrame, max_sections: int) -> DataFrame:
@@ -27,11 +26,6 @@ def first_sections(seeds: DataFrame, max_sections: int) -> DataFrame:
     return seeds.where(F.col("section_ord") < max_sections)
 
 
-def _with_block(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    last = F.floor(F.col(order[-1]) / BLOCK_ROWS)
-    return df.withColumn("_block", F.struct(*order[:-1], last.alias("piece")))
-
-
 def cap_items(
     links: DataFrame,
     max_items: int | None,
@@ -40,7 +34,7 @@ def cap_items(
 ) -> DataFrame:
     """The first ``max_items`` rows per run and source; all rows when None.
 
-    ``order`` gives each row of a key a place of its own and ends in a number."""
+    ``order`` gives each row of a key a place of its own."""
     if max_items is None:
         return links
     if max_items <= WINDOW_CAP:
@@ -50,8 +44,7 @@ def cap_items(
             .where(F.col("_place") <= max_items)
             .drop("_place")
         )
-    blocks = _with_block(links, order)
-    return rows_before_limit(blocks, keys, ["_block"], order, F.lit(1), max_items).drop("_block")
+    return rows_before_limit(links, keys, order, F.lit(1), max_items)
 
 
 def cap_new_rows(
@@ -75,8 +68,7 @@ def cap_new_rows(
         )
         counted = rows.withColumn("_before", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
         return counted.where(F.col("_before") < max_new).drop("_before")
-    blocks = _with_block(rows, order)
-    return rows_before_limit(blocks, keys, ["_block"], order, value, max_new).drop("_block")
+    return rows_before_limit(rows, keys, order, value, max_new)
 
 
 def mark_duplicates(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsloom.session import shuffle_partitions
+from newsloom.session import shuffle_partitions, stage
 
 # Hot keys are found by counting. At most this many are spread; a key beyond the
 # first 1,000 holds less than a thousandth of the rows and joins as it is.
@@ -75,37 +75,36 @@ def flag_first(
 
 
 def rows_before_limit(
-    df: DataFrame,
-    keys: Sequence[str],
-    block: Sequence[str],
-    order: Sequence[str],
-    value: Column,
-    limit: int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, limit: int
 ) -> DataFrame:
     """The rows of each key before which ``value`` (never negative) sums to less than
-    ``limit``.
-
-    ``block`` columns cut a key's order into consecutive pieces (a section, or a
-    position range). What came before a piece is a running sum over one small row per
-    piece. Pieces that start beyond the limit fall away by a join with the short list of
-    the others, before any row is sorted; then each piece is sorted by itself."""
-    df = df.withColumn("_value", value)
-    inner = (
-        Window.partitionBy(*keys, *block)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    ``limit``, in the given order, which must tell the rows of a key apart.
+
+    The rows are cut into ranges of keys and order, so a large key lies in many ranges,
+    and staged with their range number, which a lost task can therefore not change. What
+    came before a range is a running sum over at most one small row per key and range.
+    Ranges that start beyond the limit fall away; the others are sorted by themselves."""
+    parts = shuffle_partitions(df.sparkSession)
+    ranged = stage(
+        df.withColumn("_value", value)
+        .repartitionByRange(parts, *keys, *order)
+        .withColumn("_range", F.spark_partition_id()),
+        "ranges",
+    )
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    outer = before.partitionBy(*keys).orderBy("_range")
+    inner = before.partitionBy(*keys, "_range").orderBy(*order)
+    bases = (
+        ranged.groupBy(*keys, "_range")
+        .agg(F.sum("_value").alias("_total"))
+        .select(*keys, "_range", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_base"))
+        .where(F.col("_base") < limit)
     )
-    outer = Window.partitionBy(*keys).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*keys, *block).agg(F.sum("_value").alias("_total"))
-    bases = totals.select(
-        *keys, *block, F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_base")
-    ).where(F.col("_base") < limit)
-    local = F.coalesce(F.sum("_value").over(inner), F.lit(0))
     return (
-        df.join(bases, [*keys, *block])
-        .withColumn("_before", F.col("_base") + local)
+        ranged.join(bases, [*keys, "_range"])
+        .withColumn("_before", F.col("_base") + F.coalesce(F.sum("_value").over(inner), F.lit(0)))
         .where(F.col("_before") < limit)
-        .drop("_value", "_base", "_before")
+        .drop("_value", "_range", "_base", "_before")
     )
 
 

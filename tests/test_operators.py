@@ -58,13 +58,12 @@ def test_duplicates_equal_a_seen_set(spark, bounded):
         for row in ordered:
             want[(source, row[2], row[3])] = row[4] is not None and row[4] in seen
             seen.add(row[4])
-    got = mark_duplicates(df, 1000 if bounded else None).collect()
+    got = mark_duplicates(df, 200 if bounded else None).collect()
     assert {(r.source_id, r.section_ord, r.link_pos): r.is_duplicate for r in got} == want
 
 
-@pytest.mark.parametrize("max_items, max_new", [(50, 7), (1001, 30), (None, 30), (50, None)])
-def test_limits_equal_a_loop(spark, max_items, max_new, monkeypatch):
-    monkeypatch.setattr("newsloom.operators.select.BLOCK_ROWS", 7)
+@pytest.mark.parametrize("max_items, max_new", [(50, 7), (None, 30), (None, 400), (50, None)])
+def test_limits_equal_a_loop(spark, max_items, max_new):
     rows, df = scan_rows(spark, seed=11)
     want = set()
     for source, ordered in by_source(rows).items():
@@ -82,11 +81,10 @@ def test_limits_equal_a_loop(spark, max_items, max_new, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
-def test_block_wise_limit_equals_the_window(spark, monkeypatch):
+def test_range_wise_limit_equals_the_window(spark, monkeypatch):
     rows, df = scan_rows(spark, seed=3)
     plain = {tuple(r) for r in cap_items(df, 30).collect()}
     monkeypatch.setattr("newsloom.operators.select.WINDOW_CAP", 10)
-    monkeypatch.setattr("newsloom.operators.select.BLOCK_ROWS", 5)
     assert {tuple(r) for r in cap_items(df, 30).collect()} == plain
 
 
