@@ -621,7 +621,7 @@ def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("meta"),
     )
     store = Store(spark, _folder(spark, "log"))
-    cut = F.lit("2024-01-16").cast("timestamp")
+    cut = F.lit("2024-01-16T00:00:00Z").cast("timestamp")
     early, late = events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)
     store.append_logs(early, "2024-01-16", "a", "2024-01-16T01:00:00Z")
     store.append_logs(late, "2024-01-31", "b", "2024-01-31T01:00:00Z")

@@ -82,7 +82,10 @@ SCHEMAS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return df.withColumn("ts", F.col("ts").cast("timestamp")) if name == "events" else df
+    if name == "events":  # times without a zone are UTC
+        local = F.col("ts").cast("timestamp")
+        df = df.withColumn("ts", F.from_utc_timestamp(local, F.current_timezone()))
+    return df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,17 +39,22 @@ def link_list_hash(links: str) -> Column:
     return F.md5(F.array_join(F.array_sort(F.expr(trimmed)), "\n"))
 
 
+def _utc(ts: Column | str, shape: str) -> Column:
+    """A time in UTC, whatever the time zone of the session."""
+    return F.date_format(F.to_utc_timestamp(_col(ts), F.current_timezone()), shape)
+
+
 def run_id(ts: Column | str) -> Column:
     """Run id of a start time: its ISO text with ``:`` and ``.`` as ``-``."""
-    return F.date_format(_col(ts), "yyyy-MM-dd'T'HH-mm-ss-SSS'Z'")
+    return _utc(ts, "yyyy-MM-dd'T'HH-mm-ss-SSS'Z'")
 
 
 def run_date(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd")
+    return _utc(ts, "yyyy-MM-dd")
 
 
 def iso_time(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return _utc(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
 def extract_payload(url: Column | str, title: Column | str, body: Column | str) -> Column:

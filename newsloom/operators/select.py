@@ -21,6 +21,11 @@ RUN_SOURCE = ("run_id", "source_id")
 SCAN_ORDER = ("section_ord", "link_pos")
 
 
+def is_window_cap(max_items: int | None) -> bool:
+    """Does the limit keep each source small enough for one window?"""
+    return max_items is not None and max_items <= WINDOW_CAP
+
+
 def first_sections(seeds: DataFrame, max_sections: int) -> DataFrame:
     """The first listing pages of each source, in seed order."""
     return seeds.where(F.col("section_ord") < max_sections)
@@ -37,7 +42,7 @@ def cap_items(
     ``order`` gives each row of a key a place of its own."""
     if max_items is None:
         return links
-    if max_items <= WINDOW_CAP:
+    if is_window_cap(max_items):
         place = Window.partitionBy(*keys).orderBy(*order)
         return (
             links.withColumn("_place", F.row_number().over(place))
@@ -60,7 +65,7 @@ def cap_new_rows(
     if max_new is None:
         return rows
     value = F.when(accepted, F.lit(1)).otherwise(F.lit(0))
-    if max_items is not None and max_items <= WINDOW_CAP:
+    if is_window_cap(max_items):
         earlier = (
             Window.partitionBy(*keys)
             .orderBy(*order)
@@ -79,7 +84,7 @@ def mark_duplicates(
 ) -> DataFrame:
     """Add ``is_duplicate``: has an earlier row of the run the same ``entry_key``? Rows
     without a key never are."""
-    if max_items is not None and max_items <= WINDOW_CAP:
+    if is_window_cap(max_items):
         same = Window.partitionBy(*keys, "entry_key").orderBy(*order)
         flagged = rows.withColumn("_first", F.row_number().over(same) == 1)
     else:

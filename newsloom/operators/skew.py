@@ -24,7 +24,7 @@ HOT_KEY_ROWS = 100_000
 
 # A table that the configuration bounds to this many rows may be broadcast, and joins as
 # it is whatever its keys.
-SMALL_ROWS = 50_000
+SMALL_ROWS = 20_000
 
 
 def is_small(max_rows: int | None) -> bool:
@@ -83,7 +83,10 @@ def rows_before_limit(
     The rows are cut into ranges of keys and order, so a large key lies in many ranges,
     and staged with their range number, which a lost task can therefore not change. What
     came before a range is a running sum over at most one small row per key and range.
-    Ranges that start beyond the limit fall away; the others are sorted by themselves."""
+    Ranges that start beyond the limit fall away; the others are sorted by themselves.
+
+    ``df`` is read twice, as finding the ranges takes a sample of it. If it is costly,
+    stage it first."""
     parts = shuffle_partitions(df.sparkSession)
     ranged = stage(
         df.withColumn("_value", value)

@@ -28,7 +28,13 @@ from newsloom.operators.change import change_status, fresh_links, section_diff
 from newsloom.operators.classify import accepted, classify, early_reason, to_extract
 from newsloom.operators.extract import Extractor, extract_with
 from newsloom.operators.links import by_source, explode_links, listing_links
-from newsloom.operators.select import cap_items, cap_new_rows, first_sections, mark_duplicates
+from newsloom.operators.select import (
+    cap_items,
+    cap_new_rows,
+    first_sections,
+    is_window_cap,
+    mark_duplicates,
+)
 from newsloom.operators.skew import is_small, keep_first, spread_join
 from newsloom.operators.snapshots import (
     paywall_sql,
@@ -345,6 +351,8 @@ def settle(
             flagged, extractor, to_extract(on), config.extract_max_chars
         )
     decided = classify(answered, on, config.status_mode)
+    if config.max_new_rows is not None and not is_window_cap(config.max_items):
+        decided = stage(decided, "decided")  # the extractor must not run again for the limit
     return cap_new_rows(decided, config.max_new_rows, accepted(), config.max_items)
 
 

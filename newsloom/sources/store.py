@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
+from newsloom.functions.identity import iso_time
 from newsloom.operators.change import merge_section_snapshots, merge_url_index
 from newsloom.operators.merge import merge_news
 from newsloom.operators.runs import valid_event
@@ -113,7 +114,7 @@ def flat_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = []
     for name in columns:
         cell = (
-            F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+            iso_time(name)
             if types[name].startswith("timestamp")
             else F.col(name).cast("string")
         )

@@ -149,6 +149,15 @@ def test_limits_and_extraction_off(spark):
     wide = config(1, max_items=None, max_new_rows=None)
     got = discover(spark, [site], wide, pages=table, extractor=KeywordExtractor(), parallelism=3)
     assert got.candidates.where("action = 'new'").count() == 30
+    asked = spark.sparkContext.accumulator(0)
+
+    def count(payloads):
+        asked.add(len(payloads))
+        return KeywordExtractor()(payloads)
+
+    wide = config(1, max_items=None, max_new_rows=4)
+    got = discover(spark, [site], wide, pages=table, extractor=count).candidates
+    assert sorted(r.link_pos for r in got.collect()) == [0, 1, 2, 3] and asked.value == 30
     off = discover(spark, [site], config(1), pages=table)
     assert {r.reason for r in off.candidates.select("reason").distinct().collect()} == {"ai_disabled"}
     none = discover(spark, [site], config(1, max_sections=1), pages=page_table(spark, {}))
