@@ -196,12 +196,18 @@ WHERE f.source_id <> 'org'"""
 
 # --- article pages ------------------------------------------------------------------
 
+def decoded(x: str, ampersand: str) -> str:
+    """The two entities of the data, of which a cut may have taken the semicolon."""
+    x = f"regexp_replace({x}, '&quot;?', '\"', 'g')"
+    return f"regexp_replace({x}, '&amp;?', '{ampersand}', 'g')"
+
+
 # titles and bodies as a tokenizer gives them: entities decoded, markup serialised again
 _ARTICLES = f"""
 parsed AS (
   SELECT page_id, url,
-    {trim("replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&quot;', '\"'), '&amp;', '&')")} AS title,
-    {text_of("replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '&quot;', '\"')")} AS body
+    {trim(decoded("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)", '&'))} AS title,
+    {text_of(decoded("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)", '&amp;'))} AS body
   FROM pages
 )"""
 
