@@ -1,21 +1,92 @@
 """Small helpers run inside Python workers: what a page's markup holds.
 
-One pass over the tokens of a page with the standard library's tokenizer. Only the
-stack of open elements is kept, never a tree.
+One pass over the tokens of a page, in time linear in its length whatever the markup,
+and without ever failing on it. Only the stack of open elements is kept, never a tree.
 """
 
 from __future__ import annotations
 
+import html
 import re
-from html.parser import HTMLParser
+from collections import Counter
+from collections.abc import Iterator
+from html.entities import html5
 
 from newsloom.functions.text import WS_CHARS
 from newsloom.specs import Selectors
 
+# Possessive throughout, so no text is scanned twice. A start tag that does not match is
+# one that never ends.
+_KEY = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)"""
+_ATTRIBUTES = re.compile(rf"[\s/]*+({_KEY})(?:\s*+=\s*+({_VALUE}))?+")
+_TOKEN = re.compile(
+    r"<(?:!--(?P<comment>.*?)(?:--!?>|\Z)"
+    r"|/(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
+    r"|(?P<start>[a-zA-Z][^\s/>]*+)"
+    rf"(?P<attrs>(?:[\s/]*+{_KEY}(?:\s*+=\s*+{_VALUE})?+)*+)[\s/]*+(?P<close>>)?+"
+    r"|[!?/](?P<bogus>[^>]*+)(?:>|\Z))",
+    re.DOTALL,
+)
+_REFERENCE = re.compile(
+    r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[a-zA-Z][a-zA-Z0-9]*+(?:;|(?!=)))"
+)
+# elements whose content is text up to their end tag; True where references are decoded
+_TEXT_ONLY = {"script": False, "style": False, "title": True, "textarea": True}
+_TEXT_END = {
+    name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in _TEXT_ONLY
+}
+
+
+def _attribute_value(raw: str) -> str:
+    """An attribute's text. A name without semicolon counts only if it stands alone, so
+    that query strings keep their ampersands."""
+
+    def decode(match: re.Match) -> str:
+        ref = match.group()
+        return html.unescape(ref) if ref[1] == "#" else html5.get(ref[1:], ref)
+
+    value = raw[1:-1] if raw[:1] in ("'", '"') else raw
+    return _REFERENCE.sub(decode, value) if "&" in value else value
+
+
+def _tokens(markup: str) -> Iterator[tuple[str, str, str | dict[str, str]]]:
+    """(kind, name, content): start and end tags, text, raw text, comments."""
+    at = 0
+    while at < len(markup):
+        found = _TOKEN.search(markup, at)
+        text = markup[at : found.start()] if found else markup[at:]
+        if text:
+            yield "text", "", html.unescape(text)
+        if not found:
+            return
+        at = found.end()
+        if found["comment"] is not None or found["bogus"] is not None:
+            yield "comment", "", found["comment"] or found["bogus"] or ""
+        elif found["end"]:
+            yield "end", found["end"].lower(), ""
+        elif not found["close"]:
+            return  # the tag never ends, and takes the rest of the page with it
+        else:
+            name = found["start"].lower()
+            attrs: dict[str, str] = {}
+            if found["attrs"]:
+                for key, value in _ATTRIBUTES.findall(found["attrs"]):
+                    attrs.setdefault(key.lower(), _attribute_value(value))
+            yield "start", name, attrs
+            if name in _TEXT_ONLY:
+                end = _TEXT_END[name].search(markup, at)
+                content = markup[at : end.start()] if end else markup[at:]
+                if content and _TEXT_ONLY[name]:
+                    yield "text", "", html.unescape(content)
+                elif content:
+                    yield "raw", "", content
+                at = end.start() if end else len(markup)
+
+
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-_RAW_TEXT = frozenset(("script", "style"))
 _INLINE = frozenset(
     "a b big code em font i nobr s small strike strong tt u span abbr cite q sub sup".split()
 )
@@ -65,18 +136,32 @@ def _path(selector: str) -> list[_Compound]:
     return [_Compound(step) for step in selector.split()]
 
 
-class _Finder(HTMLParser):
+class _Finder:
     """Text, markup and ``content`` attribute of the first match of each selector."""
 
     def __init__(self, selectors: tuple[str, ...]) -> None:
-        super().__init__(convert_charrefs=True)
         self.paths = {s: _path(s) for s in selectors}
         self.open: list[tuple[str, dict[str, str]]] = []
+        self.counts: Counter[str] = Counter()
         self.capturing: dict[str, tuple[str, dict[str, str]]] = {}
         self.markup: dict[str, list[str]] = {}
         self.text: dict[str, list[str]] = {}
         self.content: dict[str, str] = {}
 
+    def read(self, markup: str) -> None:
+        for kind, name, content in _tokens(markup):
+            if kind == "start":
+                self._start(name, content)
+            elif kind == "end":
+                self._end(name)
+            elif self.capturing:
+                if kind == "text":
+                    self._emit(_escape(content), content)
+                elif kind == "raw":
+                    self._emit(content, content)
+                else:
+                    self._emit(f"<!--{content}-->")
+
     def _emit(self, markup: str, text: str = "") -> None:
         for selector in self.capturing:
             self.markup[selector].append(markup)
@@ -85,12 +170,15 @@ class _Finder(HTMLParser):
 
     def _drop(self, index: int) -> None:
         element = self.open.pop(index)
+        self.counts[element[0]] -= 1
         for selector in [s for s, e in self.capturing.items() if e is element]:
             del self.capturing[selector]
         self._emit(f"</{element[0]}>")
 
     def _close_to(self, names: tuple[str, ...], barriers: frozenset | tuple) -> bool:
         """Close up to the innermost open element of these names before a barrier."""
+        if not any(self.counts[name] for name in names):
+            return False
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name in names:
@@ -101,15 +189,12 @@ class _Finder(HTMLParser):
                 return False
         return False
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def _start(self, tag: str, found: dict[str, str]) -> None:
         if tag in _CLOSES_P:
             self._close_to(("p",), _SCOPE)
         if tag in _SIBLINGS:
             names, containers = _SIBLINGS[tag]
             self._close_to(names, containers)
-        found: dict[str, str] = {}
-        for name, value in attrs:
-            found.setdefault(name, value or "")
         shown = "".join(f' {k}="{_escape(v, quote=True)}"' for k, v in found.items())
         self._emit(f"<{tag}{shown}>")
         element = (tag, found)
@@ -121,6 +206,7 @@ class _Finder(HTMLParser):
                     self.capturing[selector] = element
         if tag not in _VOID:
             self.open.append(element)
+            self.counts[tag] += 1
 
     def _matches(self, path: list[_Compound], element: tuple[str, dict[str, str]]) -> bool:
         if not path[-1].fits(*element):
@@ -131,28 +217,18 @@ class _Finder(HTMLParser):
                 step -= 1
         return step < 0
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str) -> None:
         if tag == "br":
             self._emit("<br>")
         elif tag in _INLINE:
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == tag:
-                    self._drop(i)
-                    return
+            if self.counts[tag]:
+                for i in range(len(self.open) - 1, -1, -1):
+                    if self.open[i][0] == tag:
+                        self._drop(i)
+                        return
         elif tag not in _VOID and not self._close_to((tag,), _SCOPE - {tag}) and tag == "p":
             self._emit("<p></p>")
 
-    def handle_data(self, data: str) -> None:
-        if self.capturing:
-            raw = bool(self.open) and self.open[-1][0] in _RAW_TEXT
-            self._emit(data if raw else _escape(data), data)
-
-    def handle_comment(self, data: str) -> None:
-        self._emit(f"<!--{data}-->")
-
 
 def _escape(text: str, quote: bool = False) -> str:
     out = text.replace("&", "&amp;").replace(chr(0xA0), "&nbsp;")
@@ -161,32 +237,19 @@ def _escape(text: str, quote: bool = False) -> str:
     return out.replace("<", "&lt;").replace(">", "&gt;")
 
 
-class _Hrefs(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.found: list[str] = []
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "a":
-            for name, value in attrs:
-                if name == "href":
-                    self.found.append(value or "")
-                    break
-
-
 def page_hrefs(markup: str) -> list[str]:
     """The ``href`` of every link of a page, in order."""
-    parser = _Hrefs()
-    parser.feed(markup)
-    parser.close()
-    return parser.found
+    return [
+        content["href"]
+        for kind, name, content in _tokens(markup)
+        if kind == "start" and name == "a" and "href" in content
+    ]
 
 
 def page_article(markup: str, selectors: Selectors) -> tuple[str, str]:
     """Raw title and inner markup of the body: the first selector that gives any."""
     finder = _Finder(selectors.titles + selectors.bodies)
-    finder.feed(markup)
-    finder.close()
+    finder.read(markup)
     title = ""
     for selector in selectors.titles:
         attribute = "[" in selector

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.answers import parse_extraction
 from newsloom.functions.identity import extract_payload
 from newsloom.functions.text import truncate_text
+from newsloom.schemas import EXTRACTION
 from newsloom.specs import EXTRACT_MAX_CHARS
 
 # A batch of payload texts to a batch of raw answers; None is a failure.
@@ -61,7 +62,7 @@ def extract_with(
     Rows that are not ``wanted`` cost nothing but a null. ``parallelism`` sets how many
     tasks call the extractor at once; None leaves the partitions as they are."""
     if fn is None:
-        return rows.withColumn("extraction", F.lit(None).cast(_extraction_type()))
+        return rows.withColumn("extraction", F.lit(None).cast(EXTRACTION))
     wanted = F.lit(True) if wanted is None else wanted
     if parallelism is not None:
         rows = rows.repartition(parallelism, *keys)
@@ -74,19 +75,14 @@ def extract_with(
     )
 
 
-def _extraction_type() -> str:
-    from newsloom.schemas import EXTRACTION
-
-    return EXTRACTION
-
-
 @dataclass(frozen=True)
 class KeywordExtractor:
     """A deterministic extractor without a model.
 
     An article is relevant when its title or body holds one of ``keywords`` as a
     whole word, whatever the case. The name is what stands in the title before the
-    first keyword, or else its first word; the site is the first URL of the body, the summary its first sentence."""
+    first keyword, or else its first word; the site is the first URL of the body, the
+    summary its first sentence."""
 
     keywords: tuple[str, ...] = ("raises", "raised", "secures", "bags", "acquires", "launches")
 

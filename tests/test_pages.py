@@ -200,3 +200,25 @@ def test_fetch_takes_the_last_copy_and_misses_become_errors(spark):
             "https://h.com/c": "page not fetched",
             None: "page not fetched",
         }
+
+
+def test_broken_markup_neither_fails_nor_takes_long():
+    rules = Selectors(titles=("h1",), bodies=("div",))
+    pieces = ("<", "<a ", "<![", "<!--", "<div>", "<p>", "<script>", "</b>", "<a href='", "&")
+    for piece in pieces:
+        page_hrefs(piece * 20_000)
+        page_article(piece * 20_000, rules)
+    assert page_hrefs("<![if x]><a href=/one>1</a><!x><?y><a href=/two") == ["/one"]
+    assert page_article("<h1>a<![CDATA[b]]>c</h1><div>d<br/x", rules) == ("ac", "d")
+
+
+def test_attribute_values():
+    cases = {
+        "<a href='/s?a=1&copy=2&amp;b=3&lt=4'>": "/s?a=1&copy=2&b=3&lt=4",
+        '<A class=x HREF="/q&#39;s&eacute;">': "/q's" + chr(0xE9),
+        "<a title=it's href=/x/y/>": "/x/y/",
+        '<a title="a > b" href = /z >': "/z",
+        "<a href=/first href=/second>": "/first",
+        "<a href>": "",
+    }
+    assert {markup: page_hrefs(markup)[0] for markup in cases} == cases
