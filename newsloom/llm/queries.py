@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import mixing, url_rules
+from newsloom.llm import minhash, mixing, url_rules
 from newsloom.llm.common import table
 
 RULES = [
@@ -25,7 +25,12 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_minhash_dedup": minhash_dedup,
     "op4_url_filter": url_filter,
     "op10_mix_sources": mix_sources,
 }
