@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import minhash, mixing, url_rules
+from newsloom.llm import minhash, mixing, packing, url_rules
 from newsloom.llm.common import table
 
 RULES = [
@@ -29,7 +29,18 @@ def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES = {
+    "op7_pack_sequences": pack_sequences,
     "op3_minhash_dedup": minhash_dedup,
     "op4_url_filter": url_filter,
     "op10_mix_sources": mix_sources,
