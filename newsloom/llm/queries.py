@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import minhash, mixing, packing, url_rules
+from newsloom.llm import minhash, mixing, packing, pii, url_rules
 from newsloom.llm.common import table
 
 RULES = [
@@ -39,7 +39,12 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_pii_spans": pii_spans,
     "op7_pack_sequences": pack_sequences,
     "op3_minhash_dedup": minhash_dedup,
     "op4_url_filter": url_filter,
