@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.llm import minhash, mixing, packing, pii, url_rules
+from newsloom.llm import minhash, mixing, packing, pii, toxicity, url_rules
 from newsloom.llm.common import table
 
 RULES = [
@@ -43,7 +44,16 @@ def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES = {
+    "op6_toxicity_scores": toxicity_scores,
     "op2_pii_spans": pii_spans,
     "op7_pack_sequences": pack_sequences,
     "op3_minhash_dedup": minhash_dedup,
