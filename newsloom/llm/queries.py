@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import minhash, mixing, packing, pii, toxicity, url_rules
+from newsloom.llm import (
+    minhash,
+    mixing,
+    multi_index,
+    neighbours,
+    packing,
+    pii,
+    toxicity,
+    url_rules,
+)
 from newsloom.llm.common import table
 
 RULES = [
@@ -52,7 +61,18 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, count=20)
+
+
+def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_nearest_vectors": nearest_vectors,
+    "op8_vector_dedup": vector_dedup,
     "op6_toxicity_scores": toxicity_scores,
     "op2_pii_spans": pii_spans,
     "op7_pack_sequences": pack_sequences,
