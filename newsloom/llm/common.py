@@ -1,4 +1,4 @@
-"""Shared pieces: tables, staged results, running sums and connected components.
+"""Shared pieces: tables, staged results and running sums.
 
 Staged tables lie in the folder that ``spark.checkpoint.dir`` names, which all executors
 share, so a lost executor costs a re-read and no recomputation. ``release`` deletes what
@@ -102,43 +102,3 @@ def running_sums(
         })
         .drop("_range", *(f"_base_{n}" for n in values))
     )
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` of an undirected graph given as bigint columns ``a, b``: the
-    smallest node that can be reached, for each node with an edge to another.
-
-    Alternating large and small stars (Kiveris et al. 2014): the edges of a node are turned
-    into a star around its smallest neighbour until nothing changes, in rounds about the
-    logarithm of the longest path. Each round is a staged table; the tables before it go."""
-    a, b = F.col("a"), F.col("b")
-    now = stage(
-        edges.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-        .distinct(),
-        "edges",
-    )
-    mark = None
-    while True:
-        both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (
-            both.where(b > a).join(least, "a").select(F.col("m").alias("a"), "b").distinct()
-        )
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = (
-            large.join(low, "b").where(a != F.col("m")).select(F.col("m").alias("a"), a.alias("b"))
-            .unionByName(low.select(F.col("m").alias("a"), "b"))
-            .distinct()
-        )
-        after = stage(small, "stars")
-        drop(now)
-        now = after
-        seen = now.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if seen == mark:
-            break
-        mark = seen
-    # in a star forest each node but the smallest has one edge, to the smallest
-    roots = now.select(a.alias("node"), a.alias("component")).distinct()
-    return now.select(b.alias("node"), a.alias("component")).unionByName(roots)

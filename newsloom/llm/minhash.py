@@ -6,10 +6,9 @@ the component of the first filled bin in a random order of its own (optimal dens
 two sketches agree there as often as elsewhere). Bands of components are bucket keys.
 
 Documents with equal sets are one node. In each bucket only a star of pairs around one
-centre is compared, on the full sets. Where a bucket still holds nodes of several groups,
-more centres are drawn (eight times as many in each round) and compared with the members of
-other groups, until every bucket is one group or all its members have been centres. So pairs
-stay few in large groups, and no link found by the bands is lost that would join two groups.
+centre is compared, on the full sets; buckets that still hold several groups get more centres
+(``groups.grow``). So pairs stay few in large groups, and no link found by the bands is lost
+that would join two groups.
 
 With 48 bands of 5 components, a pair at similarity 0.75 shares no bucket with probability
 2e-6. Links themselves are exact: ``100 * intersection >= 75 * union``.
@@ -29,14 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import components, drop, stage
+from newsloom.llm.common import stage
+from newsloom.llm.groups import grow
 
 WORDS = 5
 PERCENT = 75
 BANDS = 48
 ROWS = 5
-#: Centres per bucket grow by this factor from round to round.
-GROWTH = 8
 CACHE = 200_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -200,87 +198,19 @@ def near_duplicates(
         .mapInArrow(_sets(words), "id bigint, hashes array<bigint>"),
         "sets",
     )
-    links, groups = _grow(members, sets, percent)
-    result = (
+    alike = F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent
+    groups = grow(
+        members, lambda pairs: _confirm(pairs, sets, percent), ("size",), alike
+    )
+    return (
         sketches.select("doc_id", "n_shingles", "digest")
         .join(own.select("digest", "node").distinct(), "digest", "left")
-    )
-    if groups is not None:
-        result = result.join(groups.withColumnRenamed("component", "_group"), "node", "left")
-    else:
-        result = result.withColumn("_group", F.lit(None).cast("bigint"))
-    return result.select(
-        "doc_id", "n_shingles",
-        F.coalesce("_group", "node", "doc_id").alias("component_id"),
-    ).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    ).withColumn(
-        "component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    )
-
-
-def _grow(members: DataFrame, sets: DataFrame, percent: int):
-    """Confirmed links that connect all groups, and the groups (node, component)."""
-    a, b = F.least("centre", "node"), F.greatest("centre", "node")
-    alike = (F.least("size", "other") * 100 >= F.greatest("size", "other") * percent)
-    sizes = members.groupBy("node").agg(F.max("size").alias("size"))
-    links = groups = tested = None
-    width, first = 1, True
-    while True:
-        if groups is None:
-            live = members.withColumn("group", F.col("node"))
-        else:
-            live = members.join(groups.withColumnRenamed("component", "group"), "node", "left")
-            live = live.withColumn("group", F.coalesce("group", "node"))
-            open_buckets = (
-                live.groupBy("bucket").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi"))
-                .where("_lo < _hi").select("bucket")
-            )
-            live = live.join(open_buckets, "bucket")
-            live = stage(live, "live")
-        if groups is not None and live.isEmpty():
-            break
-        if width == 1:  # the star around the smallest node of the bucket
-            centres = None
-            stars = live.select("bucket", "node", "size", "centre", "group").join(
-                sizes.select(F.col("node").alias("centre"), F.col("size").alias("other")), "centre"
-            )
-            if groups is not None:
-                stars = stars.join(
-                    groups.select(F.col("node").alias("centre"), F.col("component").alias("_g")),
-                    "centre", "left",
-                ).where(F.col("group") != F.coalesce("_g", "centre"))
-        else:  # about ``width`` centres of each bucket, all of a small one
-            draw = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / float(1 << 30)
-            centres = live.where(draw * F.col("n") < width).select(
-                "bucket", F.col("node").alias("centre"), F.col("size").alias("other"),
-                F.col("group").alias("_g"),
-            )
-            stars = live.drop("centre").join(centres, "bucket").where(F.col("group") != F.col("_g"))
-        pairs = stars.where((F.col("centre") != F.col("node")) & alike).select(
-            a.alias("a"), b.alias("b")
+        .join(groups, "node", "left")
+        .select(
+            "doc_id", "n_shingles",
+            F.when(
+                F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")
+            ).alias("component_id"),
         )
-        if first:  # one pair per node first: most groups come together by it
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        else:
-            pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stage(_confirm(pairs, sets, percent), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            groups = stage(components(links), "groups")
-        elif groups is None:
-            groups = components(links) if links is not None else _nobody(members)
-        # all members have been centres when the width has passed the largest open bucket
-        if not first:
-            widest = live.agg(F.max("n")).first()[0]
-            if widest is None or (width > 1 and width >= widest):
-                break
-            width *= GROWTH
-        first = False
-    return links, groups
-
-
-def _nobody(members: DataFrame) -> DataFrame:
-    return members.limit(0).select("node", F.col("node").alias("component"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    )

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import components, stage
+from newsloom.llm.common import stage
+from newsloom.llm.groups import components
 from newsloom.llm.vectors import matrix, usable
 
 THRESHOLD = 0.95
