@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
+    line_dedup,
     minhash,
     mixing,
     multi_index,
@@ -70,7 +71,13 @@ def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def line_dedup_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs)
+
+
 QUERIES = {
+    "op5_line_dedup": line_dedup_texts,
     "op1_nearest_vectors": nearest_vectors,
     "op8_vector_dedup": vector_dedup,
     "op6_toxicity_scores": toxicity_scores,
