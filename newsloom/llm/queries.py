@@ -15,6 +15,7 @@ from newsloom.llm import (
     pii,
     toxicity,
     url_rules,
+    warc,
 )
 from newsloom.llm.common import table
 
@@ -76,7 +77,12 @@ def line_dedup_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(docs)
 
 
+def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 QUERIES = {
+    "op9_warc_derivatives": warc_derivatives,
     "op5_line_dedup": line_dedup_texts,
     "op1_nearest_vectors": nearest_vectors,
     "op8_vector_dedup": vector_dedup,
