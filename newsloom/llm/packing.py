@@ -33,30 +33,57 @@ from newsloom.llm.common import running_sums, stage
 SEQUENCE = 4096
 UNIT = 64
 END = 2
-CACHE = 150_000
+CACHE = 400_000
+TEXTS = 200
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit numbers, word by word: the tokenizer never joins
-    what white space parts, so the ids of a word are the same wherever it stands."""
+    """Ids of texts as little-endian 32-bit numbers, word by word: the tokenizer never joins
+    what white space parts and does not tell cases apart, so the ids of a word are the same
+    wherever it stands. Words are kept in two generations of bounded size; those in use move
+    to the younger one, the older one goes when that is full."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __call__(self, text: str | None) -> bytes:
-        found = (text or "").replace("\n", " ").split(" ")
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        split = [_plain(text or "").replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > CACHE:
-            self.known.clear()
-        new = [w for w in set(found) if w not in self.known]
-        if new:
-            for word, coded in zip(
-                new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-            ):
-                self.known[word] = np.array(coded.ids, dtype="<u4").tobytes()
-        return b"".join([self.known[w] for w in found])
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for word in set().union(*split).difference(known):
+            if word in older:
+                known[word] = older[word]
+            else:
+                new.append(word)
+        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        for word, ids in zip(new, coded, strict=True):
+            known[word] = np.array(ids.ids, dtype="<u4").tobytes()
+        return [b"".join([known[w] for w in words]) for words in split]
+
+
+def _plain(text: str) -> str:
+    """Lower case where that is the same letter by letter in all libraries (Latin-1)."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per worker process, kept for its next tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 PIECES = (
@@ -69,16 +96,18 @@ def _cut(path: str, end: int, sequence: int, unit: int):
     """Pieces of each document: full ones and the body with their units, the tail with 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, mark = Encoder(path), np.array([end], dtype="<u4").tobytes()
+        encode, mark = encoder(path), np.array([end], dtype="<u4").tobytes()
         schema = pa.schema([
             ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
             ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("units", pa.int32()),
             ("tail", pa.binary()),
         ])
-        for batch in batches:
+        parts = (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS))
+        for batch in parts:
             rows = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encode(text.as_py()) + mark
+            coded = encode(batch["text"].to_pylist())
+            for doc, ids in zip(batch["doc_id"].to_pylist(), coded, strict=True):
+                ids += mark
                 count = len(ids) // 4
                 body = count - count % unit
                 for start in range(0, body, sequence):
