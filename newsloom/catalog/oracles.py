@@ -515,14 +515,14 @@ def ruled(title: str, body: str) -> dict[str, str]:
         "startup_website": f"CASE WHEN {relevant} THEN "
         f"nullif(regexp_extract({body}, 'https?://[a-z0-9.-]+'), '') END",
         "news_summary": f"CASE WHEN {relevant} THEN "
-        f"nullif({trim(f'''regexp_extract({body}, '^[^.]*[.]')''')}, '') END",
+        f"nullif({trim(f'''regexp_extract({body}, '(?s)^(.*?[.])(?:\\s|$)', 1)''')}, '') END",
     }
 
 
 _RULES = ruled("title", "excerpt")
 
 rule_extraction = f"""
-WITH {_DOCS}, short AS (SELECT doc_id, title, {cut('body', 2000)} AS excerpt FROM docs)
+WITH {_DOCS}, short AS (SELECT doc_id, title, body AS excerpt FROM docs)
 SELECT doc_id, {_RULES['is_relevant']} AS is_relevant, {_RULES['startup_name']} AS startup_name,
        {_RULES['startup_website']} AS startup_website, NULL::VARCHAR AS description,
        {_RULES['news_summary']} AS news_summary, false AS extraction_failed
@@ -625,6 +625,7 @@ per_url AS (SELECT url, count(*) AS n_events FROM decided GROUP BY 1),
 indexed AS (
   SELECT url, hash_now AS content_hash, action IN ('new', 'not_relevant') AS extraction_complete
   FROM decided WHERE key_now IS NOT NULL AND NOT is_duplicate
+  UNION ALL SELECT DISTINCT url, NULL, false FROM decided WHERE key_now IS NULL
 )
 SELECT url, a.key_now AS entry_key, a.source_id,
        nullif({trim("split_part(a.title, ' ', 1)")}, '') AS startup_name,
@@ -677,7 +678,7 @@ found AS (
 ),
 latest AS (SELECT {canonical('url')} AS url, max(page_id) AS page_id FROM pages GROUP BY 1),
 current AS (
-  SELECT t.url, a.title, {cut('a.body', 2000)} AS body FROM latest t JOIN parsed a USING (page_id)
+  SELECT t.url, a.title, a.body FROM latest t JOIN parsed a USING (page_id)
 ),
 hashed AS (SELECT *, {content('title', 'body')} AS now FROM current),
 idx AS (
@@ -813,7 +814,7 @@ arrivals AS (
   UNION ALL SELECT 1, page_id, url FROM pages
 ),
 rows_in AS (
-  SELECT r.batch, r.page_id, {canonical('r.raw')} AS url, a.title, {cut('a.body', 2000)} AS body
+  SELECT r.batch, r.page_id, {canonical('r.raw')} AS url, a.title, a.body
   FROM arrivals r JOIN parsed a USING (page_id)
 ),
 named AS (

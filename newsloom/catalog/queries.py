@@ -498,7 +498,7 @@ def extraction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = si.documents(spark, sf_dir).select("doc_id", "url", "title", "body_excerpt")
-    done = extract_with(rows, si.EXTRACTOR, max_chars=2000)
+    done = extract_with(rows, si.EXTRACTOR, max_chars=None)
     return done.select("doc_id", "extraction.*")
 
 
@@ -760,7 +760,7 @@ def _domain_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     )
     latest = fetch_pages(pages.select(canonical_url("url").alias("url")).distinct(), pages)
     known = (
-        extract_articles(latest, [spec])
+        extract_articles(latest, [spec], None)
         .withColumn("now", content_hash("title", "body_excerpt"))
         .join(
             pages.select("page_id", F.col("url").alias("raw")).withColumn(

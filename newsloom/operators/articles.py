@@ -28,16 +28,20 @@ def _parsed(markup: Column, specs: Sequence[SourceSpec]) -> Column:
     rules = {s.source_id: (s.article_parser, s.selectors) for s in specs}
     only = next(iter(rules.values())) if len(specs) == 1 else None
 
-    @F.pandas_udf("struct<title string, body string>")
+    @F.pandas_udf("struct<title string, body string, error string>")
     def parse(pages: pd.Series, sources: pd.Series) -> pd.DataFrame:
         found = []
         for page, source in zip(pages, sources, strict=True):
-            own, selectors = only or rules[source]
             if page is None:
-                found.append((None, None))
-            else:
-                found.append(own(page) if own else page_article(page, selectors))
-        return pd.DataFrame(found, columns=["title", "body"], dtype=object)
+                found.append((None, None, None))
+                continue
+            try:
+                own, selectors = only or rules[source]
+                title, body = own(page) if own else page_article(page, selectors)
+                found.append((title, body, None))
+            except Exception as error:  # noqa: BLE001 - a page must not end the job
+                found.append((None, None, f"article_parse: {type(error).__name__}: {error}"))
+        return pd.DataFrame(found, columns=["title", "body", "error"], dtype=object)
 
     return parse(markup, F.lit("") if only else F.col("source_id"))
 
@@ -45,10 +49,11 @@ def _parsed(markup: Column, specs: Sequence[SourceSpec]) -> Column:
 def extract_articles(
     pages: DataFrame,
     specs: Sequence[SourceSpec],
-    max_chars: int = EXTRACT_MAX_CHARS,
+    max_chars: int | None = EXTRACT_MAX_CHARS,
     html: str = "html",
 ) -> DataFrame:
-    """Add ``title`` (trimmed) and ``body_excerpt`` (plain text, cut) of each page.
+    """Add ``title`` (trimmed) and ``body_excerpt`` (plain text, cut if ``max_chars`` is
+    given) of each page. A page whose parser fails gets the error as ``fetch_error``.
 
     Selecting runs in Python workers on the markup alone; turning the body's markup
     into text stays in the JVM."""
@@ -56,7 +61,11 @@ def extract_articles(
         pages.withColumn("_parsed", _parsed(F.col(html), specs))
         .withColumn("title", js_trim("_parsed.title"))
         .withColumn("_text", html_to_text("_parsed.body"))
-        .withColumn("body_excerpt", truncate_text("_text", max_chars))
+        .withColumn(
+            "body_excerpt",
+            F.col("_text") if max_chars is None else truncate_text("_text", max_chars),
+        )
+        .withColumn("fetch_error", F.coalesce("fetch_error", "_parsed.error"))
         .drop("_parsed", "_text")
     )
 
@@ -109,7 +118,7 @@ def join_articles(
 
 
 def fallback_article(
-    articles: DataFrame, specs: Sequence[SourceSpec], max_chars: int = EXTRACT_MAX_CHARS
+    articles: DataFrame, specs: Sequence[SourceSpec], max_chars: int | None = EXTRACT_MAX_CHARS
 ) -> DataFrame:
     """Add ``_title`` and ``_body``, the article of a thin page by its ``_snapshot``: the
     first text is the title and the rest the body, read as if they stood in a small page
@@ -130,7 +139,7 @@ def fallback_article(
         articles.withColumn("_texts", snapshot_texts("_snapshot"))
         .withColumn("_text", html_to_text(body))
         .withColumn("_title", F.when(titled, first).otherwise(F.lit("")))
-        .withColumn("_body", F.when(bodied, truncate_text("_text", max_chars)).otherwise(F.lit("")))
+        .withColumn("_body", F.when(bodied, F.col("_text") if max_chars is None else truncate_text("_text", max_chars)).otherwise(F.lit("")))
         .drop("_texts", "_text")
     )
 
@@ -139,7 +148,7 @@ def apply_fallback(
     articles: DataFrame,
     snapshots: DataFrame,
     specs: Sequence[SourceSpec],
-    max_chars: int = EXTRACT_MAX_CHARS,
+    max_chars: int | None = EXTRACT_MAX_CHARS,
     min_chars: int = MIN_HTML_CHARS,
     max_rows: int | None = None,
 ) -> DataFrame:

@@ -77,13 +77,28 @@ def change_status(
     same = F.col("_last").eqNullSafe(F.col("content_hash"))
     return joined.withColumn(
         "change_status",
-        F.when(F.col("_seen").isNull(), F.lit("new"))
+        # a URL without a hash was listed and not read so far
+        F.when(F.col("_seen").isNull() | F.col("_last").isNull(), F.lit("new"))
         .when(~same, F.lit("updated"))
         .when(F.col("_redo"), F.lit("retry"))
         .otherwise(F.lit("unchanged")),
     ).drop("_last", "_redo", "_seen")
 
 
+def unfinished(
+    index: DataFrame, news: DataFrame | None = None, prefix: str = ENTRY_KEY_PREFIX
+) -> DataFrame:
+    """The indexed URLs, as ``url``, that a run reads again although their listing is
+    unchanged: not read so far, extraction incomplete or not known to be complete, or no
+    summary stored."""
+    open_urls = index.where(~F.coalesce("extraction_complete", F.lit(False))).select("url")
+    if news is None:
+        return open_urls
+    bare = news.where(is_blank("news_summary")).select("entry_key")
+    keyed = index.select("url", entry_key("url", "content_hash", prefix).alias("entry_key"))
+    return open_urls.unionByName(keyed.join(bare, "entry_key", "left_semi").select("url")).distinct()
+
+
 def section_diff(sections: DataFrame, previous: DataFrame | None) -> DataFrame:
     """Add ``is_unchanged``: does the page show the same links as when last seen? A page
     that was never seen, or that was not fetched, counts as changed."""
@@ -105,8 +120,14 @@ def merge_section_snapshots(previous: DataFrame, current: DataFrame) -> DataFram
 
 
 def merge_url_index(previous: DataFrame, run: DataFrame) -> DataFrame:
-    """Latest content per URL. ``run`` has the index columns and ``seq``, the scan order."""
-    return merge_keyed(previous, run, "url", ["last_seen_at", "seq"], drop=("seq",))
+    """Latest content per URL. ``run`` has the index columns and ``seq``, the scan order.
+    A row without content hash, of a URL that was not read, leaves the hash as it was and
+    gives way to one with it."""
+    read = run.withColumn("_read", F.col("content_hash").isNotNull())
+    return merge_keyed(
+        previous, read, "url", ["_read", "last_seen_at", "seq"],
+        drop=("_read", "seq"), fill=("content_hash",),
+    )
 
 
 def first_seen(links: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -13,6 +13,9 @@ def early_reason() -> Column:
     """Why a row ends before it gets a key; null for rows that go on."""
     return (
         F.when(F.col("url").isNull(), F.lit("invalid_url"))
+        .when(
+            F.col("fetch_error").startswith("article_parse: "), F.col("fetch_error")
+        )
         .when(
             F.col("fetch_error").isNotNull(), F.concat(F.lit("article_fetch: "), "fetch_error")
         )

@@ -20,9 +20,13 @@ from newsloom.specs import EXTRACT_MAX_CHARS
 # A batch of payload texts to a batch of raw answers; None is a failure.
 Extractor = Callable[[list[str]], Sequence[str | None]]
 
+#: Payloads of one call.
+BATCH_SIZE = 256
+
 
 def _answers(fn: Extractor, payloads: list[str]) -> list[str | None]:
-    """Answers of a batch. If the batch fails, each payload is tried by itself."""
+    """Answers of a batch. A batch that fails is tried again in halves, so one payload that
+    cannot be answered costs a few calls and not one for each of the others."""
     try:
         found = list(fn(payloads))
         if len(found) != len(payloads):
@@ -31,18 +35,25 @@ def _answers(fn: Extractor, payloads: list[str]) -> list[str | None]:
     except Exception:  # noqa: BLE001 - a failing extractor must not fail the job
         if len(payloads) == 1:
             return [None]
-        return [_answers(fn, [p])[0] for p in payloads]
+        half = len(payloads) // 2
+        return _answers(fn, payloads[:half]) + _answers(fn, payloads[half:])
 
 
-def ask_extractor(payload: Column, fn: Extractor) -> Column:
-    """Raw answer per payload; null payloads are not asked about."""
+def ask_extractor(payload: Column, fn: Extractor, batch_size: int = BATCH_SIZE) -> Column:
+    """Raw answer per payload, ``batch_size`` payloads at a time; null ones are not asked
+    about."""
 
     @F.pandas_udf("string")
     def ask(payloads: pd.Series) -> pd.Series:
         wanted = payloads.notna()
         out = pd.Series([None] * len(payloads), index=payloads.index, dtype=object)
         if wanted.any():
-            out[wanted] = _answers(fn, payloads[wanted].tolist())
+            asked = payloads[wanted].tolist()
+            out[wanted] = [
+                answer
+                for at in range(0, len(asked), batch_size)
+                for answer in _answers(fn, asked[at : at + batch_size])
+            ]
         return out
 
     # called once per row: the optimizer must neither repeat nor move it
@@ -53,23 +64,30 @@ def extract_with(
     rows: DataFrame,
     fn: Extractor | None,
     wanted: Column | None = None,
-    max_chars: int = EXTRACT_MAX_CHARS,
+    max_chars: int | None = EXTRACT_MAX_CHARS,
     parallelism: int | None = None,
-    keys: Sequence[str] = ("url",),
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """Add ``extraction`` to rows with ``url``, ``title`` and ``body_excerpt``.
 
     Rows that are not ``wanted`` cost nothing but a null. ``parallelism`` sets how many
-    tasks call the extractor at once; None leaves the partitions as they are."""
+    tasks call the extractor at once: the wanted rows are dealt out evenly, whatever their
+    keys, and the others stay where they are; as that reads ``rows`` twice, stage them.
+    None leaves the partitions as they are."""
     if fn is None:
         return rows.withColumn("extraction", F.lit(None).cast(EXTRACTION))
     wanted = F.lit(True) if wanted is None else wanted
     if parallelism is not None:
-        rows = rows.repartition(parallelism, *keys)
-    payload = extract_payload("url", "title", truncate_text("body_excerpt", max_chars))
+        asked = F.coalesce(wanted, F.lit(False))
+        some = rows.where(asked).repartition(parallelism)
+        rest = rows.where(~asked).withColumn("extraction", F.lit(None).cast(EXTRACTION))
+        return extract_with(some, fn, None, max_chars, None, batch_size).unionByName(rest)
+    body = F.col("body_excerpt")
+    body = body if max_chars is None else truncate_text("body_excerpt", max_chars)
+    payload = extract_payload("url", "title", body)
     return (
         rows.withColumn("_wanted", wanted)
-        .withColumn("_raw", ask_extractor(F.when(F.col("_wanted"), payload), fn))
+        .withColumn("_raw", ask_extractor(F.when(F.col("_wanted"), payload), fn, batch_size))
         .withColumn("extraction", F.when(F.col("_wanted"), parse_extraction("_raw")))
         .drop("_wanted", "_raw")
     )
@@ -82,7 +100,7 @@ class KeywordExtractor:
     An article is relevant when its title or body holds one of ``keywords`` as a
     whole word, whatever the case. The name is what stands in the title before the
     first keyword, or else its first word; the site is the first URL of the body, the
-    summary its first sentence."""
+    summary its first sentence, up to a dot before white space or the end."""
 
     keywords: tuple[str, ...] = ("raises", "raised", "secures", "bags", "acquires", "launches")
 
@@ -99,7 +117,7 @@ class KeywordExtractor:
         hit = keyword.search(title)
         name = title[: hit.start(1)].strip() if hit else ""
         site = re.search(r"https?://[a-z0-9.-]+", body)
-        sentence = re.match(r"[^.]*\.", body)
+        sentence = re.match(r"(?s).*?\.(?=\s|\Z)", body)
         return {
             "isRelevant": True,
             "startupName": name or title.split(" ")[0],

@@ -59,19 +59,20 @@ def native_hrefs(markup: str = "html") -> Column:
 
 
 def parsed_hrefs(markup: str, specs: Sequence[SourceSpec]) -> Column:
-    """Link texts by the HTML tokenizer, or by the source's own listing parser."""
+    """STRUCT<hrefs, error>: link texts by the HTML tokenizer, or by the source's own
+    listing parser, and why it failed."""
     parsers = {s.source_id: s.listing_parser or page_hrefs for s in specs}
     only = next(iter(parsers.values())) if len(specs) == 1 else None
 
-    @F.pandas_udf("array<string>")
-    def hrefs(pages: pd.Series, sources: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if page is None else (only or parsers[source])(page)
-                for page, source in zip(pages, sources, strict=True)
-            ],
-            dtype=object,
-        )
+    @F.pandas_udf("struct<hrefs array<string>, error string>")
+    def hrefs(pages: pd.Series, sources: pd.Series) -> pd.DataFrame:
+        found = []
+        for page, source in zip(pages, sources, strict=True):
+            try:
+                found.append((None if page is None else (only or parsers[source])(page), None))
+            except Exception as error:  # noqa: BLE001 - a page must not end the job
+                found.append((None, f"section_parse: {type(error).__name__}: {error}"))
+        return pd.DataFrame(found, columns=["hrefs", "error"], dtype=object)
 
     source = F.lit("") if only else F.col("source_id")
     return hrefs(F.col(markup), source)
@@ -98,13 +99,21 @@ def listing_links(
     """Add ``links``, the article links of each listing page in page order.
 
     The links of a page stay together in its row, so finding, filtering and
-    deduplicating them moves no data. ``parser="native"`` reads them by regular
+    deduplicating them moves no data. A page whose parser fails has no links and, where
+    there is that column, the error as ``fetch_error``. ``parser="native"`` reads them by regular
     expressions alone."""
     if parser not in ("dom", "native"):
         raise ValueError(f"unknown parser {parser!r}")
-    hrefs = native_hrefs(html) if parser == "native" else parsed_hrefs(html, specs)
-    found = pages.withColumn("_hrefs", hrefs)
-    return found.withColumn("links", article_links("_hrefs", base, specs)).drop("_hrefs")
+    if parser == "native":
+        found = pages.withColumn("_hrefs", native_hrefs(html))
+    else:
+        found = pages.withColumn("_read", parsed_hrefs(html, specs)).withColumn(
+            "_hrefs", F.col("_read.hrefs")
+        )
+        if "fetch_error" in pages.columns:
+            found = found.withColumn("fetch_error", F.coalesce("fetch_error", "_read.error"))
+    links = article_links("_hrefs", base, specs)
+    return found.withColumn("links", links).drop("_hrefs", "_read")
 
 
 def explode_links(pages: DataFrame, links: str = "links") -> DataFrame:

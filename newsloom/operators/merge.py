@@ -17,11 +17,13 @@ def merge_keyed(
     order: Sequence[str],
     keep: Sequence[str] = (),
     drop: Sequence[str] = (),
+    fill: Sequence[str] = (),
 ) -> DataFrame:
     """``existing`` (one row per key) with the rows of ``incoming`` put in.
 
     Among incoming rows of a key the last by ``order`` wins. A known key takes the
-    incoming values except in the ``keep`` columns. The wide existing rows are only
+    incoming values except in the ``keep`` columns, and in the ``fill`` columns where the
+    incoming value is null. The wide existing rows are only
     joined to the deduplicated batch, which Spark broadcasts when it measures it to
     be small; the second join shuffles keys alone. ``incoming`` is read twice: stage it
     when it is costly."""
@@ -33,6 +35,8 @@ def merge_keyed(
         *(
             F.col(c)
             if c == key or c in keep
+            else F.coalesce(F.col(f"_new.{c}"), F.col(c)).alias(c)
+            if c in fill
             else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
             .otherwise(F.col(c))
             .alias(c)

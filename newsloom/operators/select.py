@@ -26,8 +26,10 @@ def is_window_cap(max_items: int | None) -> bool:
     return max_items is not None and max_items <= WINDOW_CAP
 
 
-def first_sections(seeds: DataFrame, max_sections: int) -> DataFrame:
-    """The first listing pages of each source, in seed order."""
+def first_sections(seeds: DataFrame, max_sections: int | None) -> DataFrame:
+    """The first listing pages of each source, in seed order; all of them when None."""
+    if max_sections is None:
+        return seeds
     return seeds.where(F.col("section_ord") < max_sections)
 
 
@@ -83,13 +85,14 @@ def mark_duplicates(
     order: Sequence[str] = SCAN_ORDER,
 ) -> DataFrame:
     """Add ``is_duplicate``: has an earlier row of the run the same ``entry_key``? Rows
-    without a key never are."""
+    without a key never are. Rows of one place follow their URL, if there is one."""
+    order = [*order, *(c for c in ("url",) if c in rows.columns)]
     if is_window_cap(max_items):
         same = Window.partitionBy(*keys, "entry_key").orderBy(*order)
         flagged = rows.withColumn("_first", F.row_number().over(same) == 1)
     else:
-        # rows without a key are spread by their place
-        own = F.concat_ws(":", F.lit("row"), *order)
+        # rows without a key are spread by their URL and place
+        own = F.concat(F.lit("row:"), F.xxhash64(*order).cast("string"))
         keyed = rows.withColumn("_key", F.coalesce(F.col("entry_key"), own))
         flagged = flag_first(keyed, [*keys, "_key"], order, "_first").drop("_key")
     return flagged.withColumn(

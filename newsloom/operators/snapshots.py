@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from newsloom.functions.sql import all_of, any_of, let, literal
 from newsloom.functions.text import WS, WS_CHARS, WS_MEMBERS, is_blank, js_trim
@@ -82,13 +83,15 @@ def snapshot_links(
 
 
 def snapshot_article(
-    snapshot: str = "snapshot", max_chars: int = EXTRACT_MAX_CHARS
+    snapshot: str = "snapshot", max_chars: int | None = EXTRACT_MAX_CHARS
 ) -> Column:
-    """STRUCT<title, body_excerpt>: the first text as it is, the others joined and cut."""
+    """STRUCT<title, body_excerpt>: the first text as it is, the others joined, and cut if
+    ``max_chars`` is given."""
     rest = "array_join(slice(texts, 2, greatest(size(texts), 1)), '\\n')"
+    body = rest if max_chars is None else f"substring({rest}, 1, {max_chars})"
     article = (
         "named_struct('title', coalesce(try_element_at(texts, 1), ''), "
-        f"'body_excerpt', substring({rest}, 1, {max_chars}))"
+        f"'body_excerpt', {body})"
     )
     return F.expr(let(texts_sql(snapshot), "texts", article))
 
@@ -115,7 +118,7 @@ def is_paywalled(text: str, markers: PaywallMarkers) -> Column:
 
 
 def read_attempts(
-    snapshots: DataFrame, specs: Sequence[SourceSpec], max_chars: int = EXTRACT_MAX_CHARS
+    snapshots: DataFrame, specs: Sequence[SourceSpec], max_chars: int | None = EXTRACT_MAX_CHARS
 ) -> DataFrame:
     """Add ``paywalled``, ``title``, ``body_excerpt`` and ``complete`` to snapshots."""
     return (
@@ -136,21 +139,28 @@ def read_attempts(
 
 
 def select_attempts(
-    attempts: DataFrame, keys: Sequence[str] = ("url",), max_attempts: int = MAX_SNAPSHOT_ATTEMPTS
+    attempts: DataFrame,
+    keys: Sequence[str] = ("url",),
+    max_attempts: int | None = MAX_SNAPSHOT_ATTEMPTS,
 ) -> DataFrame:
     """One attempt per key: the first paywalled or complete one, else the last made.
 
     Only the small parsed columns travel, and each map task sends one row per key. Of
-    several snapshots of one attempt a paywalled one counts first."""
+    several snapshots of one attempt a paywalled one counts first. ``max_attempts`` counts
+    the attempts there are, whatever their numbers; None takes all."""
     stop = F.col("paywalled") | F.col("complete")
     rest = [c for c in attempts.columns if c not in keys and c != "snapshot"]
     row = F.struct(*rest)
     order = F.struct("attempt", ~F.col("paywalled"), "title", "body_excerpt")
     first_stop = F.min_by(row, F.when(stop, order))
     last = F.max_by(row, order)
+    if max_attempts is not None:
+        tried = Window.partitionBy(*keys).orderBy("attempt")
+        attempts = attempts.withColumn("_try", F.dense_rank().over(tried)).where(
+            F.col("_try") <= max_attempts
+        ).drop("_try")
     best = (
-        attempts.where(F.col("attempt") <= max_attempts)
-        .groupBy(*keys)
+        attempts.groupBy(*keys)
         .agg(F.coalesce(first_stop, last).alias("_row"))
     )
     return best.select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))

@@ -21,13 +21,16 @@ from newsloom.operators.runs import (
     union_events,
 )
 from newsloom.operators.select import SCAN_ORDER
-from newsloom.plans.discover import State, discover
+from newsloom.plans.discover import State, discover, left_out
 from newsloom.schemas import LOG_COLUMNS, NEWS_COLUMNS
 from newsloom.session import stage
 from newsloom.sources.store import Store, export_flat
 from newsloom.specs import RunConfig, SourceSpec
 
 
+SEQ = [("source_ord", "int"), ("section_ord", "int"), ("link_pos", "bigint")]
+
+
 @dataclass(frozen=True)
 class RunResult:
     outcomes: DataFrame
@@ -54,6 +57,27 @@ def news_rows(outcomes: DataFrame, discovered_at: str) -> DataFrame:
     )
 
 
+def open_rows(outcomes: DataFrame, pending: DataFrame | None, seen_at: str) -> DataFrame:
+    """URL index rows, without hash and not complete, of the URLs that a later run has to
+    read: those that ended without a key, as their page was missing, walled or empty, and
+    the ``pending`` ones that a limit left out."""
+    failed = outcomes.where(
+        F.col("entry_key").isNull() & F.col("url").isNotNull()
+        & ~F.coalesce(F.col("reason") == "invalid_url", F.lit(False))
+    ).select("run_id", "url")
+    if pending is not None:
+        failed = failed.unionByName(pending.select("run_id", "url"))
+    none = F.lit(None)
+    return failed.distinct().select(
+        "url",
+        none.cast("string").alias("content_hash"),
+        F.lit(seen_at).cast("timestamp").alias("last_seen_at"),
+        F.col("run_id").alias("last_run_id"),
+        F.lit(False).alias("extraction_complete"),
+        F.struct(*(none.cast(kind).alias(name) for name, kind in SEQ)).alias("seq"),
+    )
+
+
 def index_rows(outcomes: DataFrame, seen_at: str) -> DataFrame:
     """URL index rows of the articles that were read in this run.
 
@@ -73,7 +97,7 @@ def index_rows(outcomes: DataFrame, seen_at: str) -> DataFrame:
         F.lit(seen_at).cast("timestamp").alias("last_seen_at"),
         F.col("run_id").alias("last_run_id"),
         complete.alias("extraction_complete"),
-        F.struct("source_ord", *SCAN_ORDER).alias("seq"),
+        F.struct(*(F.col(name).cast(kind).alias(name) for name, kind in SEQ)).alias("seq"),
     )
 
 
@@ -111,20 +135,28 @@ def complete_run(
     durations: DataFrame | None = None,
     version: str | None = None,
     exports: str | None = None,
+    wanted: DataFrame | None = None,
 ) -> RunResult:
-    """Write a run: logs, section hashes and URL index first, the news version last.
+    """Write a run: logs, then the news, then the URL index and the section hashes. A run
+    that fails in between leaves articles that the next one reads again, and none that the
+    index calls done while the news lack them.
 
     The outcomes are staged once, so the extractor is not called again for each of the
-    tables. All writes can be repeated for the same ``version``."""
+    tables. All writes can be repeated for the same ``version``. ``wanted`` are the links
+    before the limits; those without outcome are carried over in the index."""
     version = version or config.run_id
     staged = stage(outcomes, "outcomes")
+    pending = None if wanted is None else left_out(wanted, staged)
     result = summarize(staged, sections, config, completed_at, durations)
     if config.store_tables:
         store.append_logs(result.events, config.run_date, version, completed_at)
+        store.upsert_news(news_rows(staged, completed_at), version)
+        index = index_rows(staged, completed_at).unionByName(
+            open_rows(staged, pending, completed_at)
+        )
+        store.update_url_index(stage(index, "index-rows"), version)
         if sections is not None:
             store.update_sections(section_rows(sections, completed_at), version)
-        store.update_url_index(index_rows(staged, completed_at), version)
-        store.upsert_news(news_rows(staged, completed_at), version)
     if config.store_flat:
         if exports is None:
             raise ValueError("store_flat needs a folder for exports")
@@ -145,9 +177,14 @@ def run_cycle(
     parallelism: int | None = None,
     exports: str | None = None,
     version: str | None = None,
+    durations: DataFrame | None = None,
 ) -> RunResult:
-    """One cycle: discover over all enabled sources from the stored state, then complete."""
+    """One cycle: discover over all enabled sources from the stored state, then complete.
+
+    ``durations`` (source_id, duration_ms) is what the caller measured, as fetching is not
+    part of the job. A version below the newest one of the store is refused."""
     version = version or config.run_id
+    store.check_version(version)
     found = discover(
         spark,
         specs,
@@ -166,4 +203,6 @@ def run_cycle(
         store,
         version=version,
         exports=exports,
+        wanted=found.wanted,
+        durations=durations,
     )

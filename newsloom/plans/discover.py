@@ -24,7 +24,7 @@ from newsloom.operators.articles import (
     is_thin_page,
     join_articles,
 )
-from newsloom.operators.change import change_status, fresh_links, section_diff
+from newsloom.operators.change import change_status, fresh_links, section_diff, unfinished
 from newsloom.operators.classify import accepted, classify, early_reason, to_extract
 from newsloom.operators.extract import Extractor, extract_with
 from newsloom.operators.links import by_source, explode_links, listing_links
@@ -69,10 +69,12 @@ class State:
 @dataclass(frozen=True)
 class Found:
     """``sections``: one row per processed listing page with ``action`` and ``reason``.
-    ``candidates``: one row per scanned link with its article."""
+    ``candidates``: one row per scanned link with its article. ``wanted``: where a limit
+    may have left links out, all that were to be scanned (run_id, source_id, url)."""
 
     sections: DataFrame
     candidates: DataFrame
+    wanted: DataFrame | None = None
 
 
 CANDIDATE_COLUMNS = (
@@ -90,7 +92,8 @@ def _section_action(fetch_error: str = "fetch_error") -> list:
         F.when(failed, F.lit("error"))
         .when(F.col("is_unchanged"), F.lit("section_unchanged"))
         .alias("action"),
-        F.when(failed, F.concat(F.lit("section_fetch: "), F.col(fetch_error)))
+        F.when(F.col(fetch_error).startswith("section_parse: "), F.col(fetch_error))
+        .when(failed, F.concat(F.lit("section_fetch: "), F.col(fetch_error)))
         .when(F.col("is_unchanged"), F.lit("unchanged"))
         .alias("reason"),
     ]
@@ -182,23 +185,28 @@ def html_candidates(
     if state.url_index is None:
         links = links.where(~F.col("is_unchanged"))
     else:
-        redo = state.url_index.where(~F.col("extraction_complete")).select("url")
-        flagged = spread_join(links, redo.withColumn("_redo", F.lit(True)), ["url"], "left")
-        links = flagged.where(~F.col("is_unchanged") | F.col("_redo").isNotNull()).drop("_redo")
+        # only the links of unchanged listings need the index
+        again = spread_join(
+            links.where("is_unchanged"),
+            unfinished(state.url_index, state.news, config.entry_key_prefix),
+            ["url"], "left_semi",
+        )
+        links = links.where(~F.col("is_unchanged")).unionByName(again)
     links = _drop_known(links.drop("is_unchanged"), specs, state.news)
-    scanned = cap_items(links, config.max_items)
-    if not is_small(most):
-        scanned = stage(scanned, "scanned")
+    if config.max_items is not None:
+        links = stage(links, "links")
+    # every later step reads the scanned links
+    scanned = stage(cap_items(links, config.max_items), "scanned")
 
     keys = scanned.select("source_id", "url").distinct()
     fetched = fetch_pages(keys, pages, most)
-    articles = extract_articles(fetched, specs, config.extract_max_chars)
+    articles = extract_articles(fetched, specs, None)
     if config.snapshot_fallback and snapshots is not None:
         articles = apply_fallback(
             articles,
             _latest_snapshots(snapshots, keys, most),
             specs,
-            config.extract_max_chars,
+            None,
             config.min_html_chars,
             max_rows=most,
         )
@@ -206,7 +214,24 @@ def html_candidates(
         scanned, articles.drop("html"), ["source_id", "url"], most
     ).withColumn("paywalled", F.lit(False))
     done = sections.select("*", *_section_action())
-    return Found(done.select(*SECTION_COLUMNS), candidates.select(*CANDIDATE_COLUMNS))
+    return Found(
+        done.select(*SECTION_COLUMNS),
+        candidates.select(*CANDIDATE_COLUMNS),
+        _wanted(links, config),
+    )
+
+
+def _wanted(links: DataFrame, config: RunConfig) -> DataFrame | None:
+    """The links before the limits, if there are any."""
+    if config.max_items is None and config.max_new_rows is None:
+        return None
+    return links.select("run_id", "source_id", "url")
+
+
+def left_out(wanted: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``run_id, source_id, url`` of the links that a limit kept from being scanned."""
+    key = ["run_id", "source_id", "url"]
+    return wanted.distinct().join(outcomes.select(*key).distinct(), key, "left_anti")
 
 
 def snapshot_candidates(
@@ -215,9 +240,13 @@ def snapshot_candidates(
     specs: Sequence[SourceSpec],
     config: RunConfig,
     state: State = State(),
+    max_sections: int | None = None,
 ) -> Found:
     """Listing snapshots to scanned articles, for sources read through snapshots.
 
+    ``max_sections`` is a bound on the number of seeds known beforehand; the few listing
+    snapshots are then found without moving the others.
+
     A listing may have several snapshots, one per scroll step; their links are merged
     in the order seen. A listing behind a login wall ends its source with an error."""
     first = first_sections(seeds, config.max_sections).withColumn(
@@ -225,9 +254,11 @@ def snapshot_candidates(
     )
     keyed = snapshots.withColumn("url", canonical_url("url"))
     # a listing may hold most of the snapshots: its steps are spread, not grouped
-    steps = spread_join(
-        keyed.withColumnRenamed("url", "section_key"), first, ["section_key"], "inner"
-    )
+    listed = keyed.withColumnRenamed("url", "section_key")
+    if is_small(max_sections):
+        steps = listed.join(F.broadcast(first), "section_key")
+    else:
+        steps = spread_join(listed, first, ["section_key"], "inner")
     read = snapshot_links(steps, specs).withColumn(
         "wall", F.expr(by_source(specs, lambda s: paywall_sql("snapshot", s.paywall)))
     )
@@ -262,18 +293,18 @@ def snapshot_candidates(
         # one place per step and position; only the order counts
         (F.shiftleft(F.col("attempt").cast("long"), 32) + F.col("link_pos")).alias("link_pos"),
     )
-    scanned = cap_items(_drop_known(merged, specs, state.news), config.max_items)
+    links = _drop_known(merged, specs, state.news)
+    if config.max_items is not None:
+        links = stage(links, "links")
+    scanned = stage(cap_items(links, config.max_items), "scanned")
     most = config.max_rows(specs)
-    if not is_small(most):
-        scanned = stage(scanned, "scanned")
 
     keys = scanned.select("source_id", "url").distinct()
-    tries = keyed.where(F.col("attempt") <= config.max_attempts)
     if is_small(most):
-        tried = tries.join(F.broadcast(keys), "url")
+        tried = keyed.join(F.broadcast(keys), "url")
     else:
-        tried = spread_join(tries, keys, ["url"], "inner")
-    parsed = read_attempts(tried, specs, config.extract_max_chars)
+        tried = spread_join(keyed, keys, ["url"], "inner")
+    parsed = read_attempts(tried, specs, None)
     chosen = select_attempts(parsed, ["source_id", "url"], config.max_attempts)
     articles = chosen.select(
         "source_id",
@@ -286,7 +317,11 @@ def snapshot_candidates(
     candidates = join_articles(scanned, articles, ["source_id", "url"], most).withColumn(
         "paywalled", F.coalesce("paywalled", F.lit(False))
     )
-    return Found(sections.select(*SECTION_COLUMNS), candidates.select(*CANDIDATE_COLUMNS))
+    return Found(
+        sections.select(*SECTION_COLUMNS),
+        candidates.select(*CANDIDATE_COLUMNS),
+        _wanted(links, config),
+    )
 
 
 def page_candidates(
@@ -296,11 +331,13 @@ def page_candidates(
 
     ``pages`` carries ``source_id``, ``source_ord``, ``section_ord`` and ``link_pos``."""
     return (
-        extract_articles(pages, specs, config.extract_max_chars)
+        extract_articles(pages, specs, None)
         .withColumn("run_id", F.lit(config.run_id))
+        # a URL that cannot be read keeps its text for the error row
+        .withColumn("raw_url", F.col("url"))
         .withColumn("url", canonical_url("url"))
         .withColumn("paywalled", F.lit(False))
-        .select(*CANDIDATE_COLUMNS)
+        .select(*CANDIDATE_COLUMNS, "raw_url")
     )
 
 
@@ -338,18 +375,20 @@ def settle(
     known = change_status(
         keyed, state.url_index, state.news, config.entry_key_prefix, max_rows=most
     )
-    if parallelism is not None:
-        # one shuffle for the duplicate check and the extractor's tasks
-        known = known.repartition(parallelism, "run_id", "source_id", "entry_key")
     flagged = mark_duplicates(known, config.max_items)
     if answers is not None:
         answered = flagged.withColumn(
             "extraction", F.when(to_extract(True), parse_extraction(answers))
         ).drop(answers)
     else:
+        if parallelism is not None and on:
+            flagged = stage(flagged, "flagged")
         answered = extract_with(
-            flagged, extractor, to_extract(on), config.extract_max_chars
+            flagged, extractor, to_extract(on), config.extract_max_chars,
+            parallelism if on else None,
         )
+    if "raw_url" in answered.columns:
+        answered = answered.withColumn("url", F.coalesce("url", "raw_url")).drop("raw_url")
     decided = classify(answered, on, config.status_mode)
     if config.max_new_rows is not None and not is_window_cap(config.max_items):
         decided = stage(decided, "decided")  # the extractor must not run again for the limit
@@ -385,15 +424,19 @@ def discover(
                 )
             )
         else:
-            parts.append(snapshot_candidates(own, table, chosen, config, state))
+            sections = sum(len(s.sections) for s in chosen)
+            parts.append(
+                snapshot_candidates(own, table, chosen, config, state, max_sections=sections)
+            )
     if not parts:
         raise ValueError("no enabled source has pages or snapshots to read")
-    sections, candidates = parts[0].sections, parts[0].candidates
+    sections, candidates, wanted = parts[0].sections, parts[0].candidates, parts[0].wanted
     for part in parts[1:]:
         sections = sections.unionByName(part.sections)
         candidates = candidates.unionByName(part.candidates)
+        wanted = wanted if wanted is None else wanted.unionByName(part.wanted)
     outcomes = settle(candidates, active, config, state, extractor, parallelism)
-    return Found(sections, outcomes)
+    return Found(sections, outcomes, wanted)
 
 
 def with_run(config: RunConfig, run_id: str) -> RunConfig:

@@ -18,6 +18,7 @@ from newsloom.functions.identity import iso_time
 from newsloom.operators.change import merge_section_snapshots, merge_url_index
 from newsloom.operators.merge import merge_news
 from newsloom.operators.runs import valid_event
+from newsloom.session import stage
 
 KEYED = {
     "news": schemas.NEWS,
@@ -54,8 +55,12 @@ class Store:
         path = f"{self.root}/{table}/{versions[-1]}"
         return self.spark.read.schema(KEYED[table]).parquet(path)
 
-    def has_version(self, table: str, version: str) -> bool:
-        return version in self._versions(table)
+    def check_version(self, version: str) -> None:
+        """Refuse a run older than what is stored: its tables would never be read."""
+        for table in KEYED:
+            newest = self._versions(table)[-1:]
+            if newest and version < newest[0]:
+                raise ValueError(f"{table} already has version {newest[0]}, after {version}")
 
     def publish(self, table: str, df: DataFrame, version: str) -> None:
         """Write the next version. Version names sort by time (run ids do); writing a
@@ -71,7 +76,8 @@ class Store:
         if not fs.exists(folder):
             return self.spark.createDataFrame([], schemas.LOGS)
         columns = schemas.struct_type(schemas.LOGS).fieldNames()
-        return self.spark.read.parquet(f"{self.root}/logs").select(*columns)
+        kept = f"{schemas.LOGS}, run_date string, batch string"
+        return self.spark.read.schema(kept).parquet(f"{self.root}/logs").select(*columns)
 
     def append_logs(self, events: DataFrame, run_date: str, batch: str, logged_at: str) -> None:
         """Add one batch of events, all with one time. Each batch has a partition of its
@@ -94,10 +100,14 @@ class Store:
                 .parquet(f"{self.root}/{table}")
             )
 
-    def upsert_news(self, rows: DataFrame, version: str) -> None:
-        """Put news rows (with ``seq``, their scan order) into the next news version."""
-        valid = rows.where(F.col("entry_status").isin(*schemas.ENTRY_STATUSES))
+    def upsert_news(self, rows: DataFrame, version: str) -> int:
+        """Put news rows (with ``seq``, their scan order) into the next news version; how
+        many keys were put in or replaced."""
+        valid = stage(
+            rows.where(F.col("entry_status").isin(*schemas.ENTRY_STATUSES)), "news-rows"
+        )
         self.publish("news", merge_news(self.read("news", version), valid), version)
+        return valid.select("entry_key").distinct().count()
 
     def update_sections(self, current: DataFrame, version: str) -> None:
         merged = merge_section_snapshots(self.read("section_snapshot", version), current)

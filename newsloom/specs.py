@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-# Default limits and sizes of a run.
+# The limits and sizes of ``limited``.
 MAX_ITEMS_PER_RUN = 50
 MAX_NEW_ROWS_PER_RUN = 20
 MAX_SECTIONS_PER_RUN = 10
@@ -95,12 +95,14 @@ class RunConfig:
     run_id: str
     run_date: str
     started_at: str
-    max_items: int | None = MAX_ITEMS_PER_RUN
-    max_new_rows: int | None = MAX_NEW_ROWS_PER_RUN
-    max_sections: int = MAX_SECTIONS_PER_RUN
-    extract_max_chars: int = EXTRACT_MAX_CHARS
+    # limits; None is none. What a limit leaves out is carried over to the next run
+    max_items: int | None = None
+    max_new_rows: int | None = None
+    max_sections: int | None = None
+    max_attempts: int | None = None
+    # characters of the body that the extractor is given; hashes are of the whole text
+    extract_max_chars: int | None = None
     min_html_chars: int = MIN_HTML_CHARS
-    max_attempts: int = MAX_SNAPSHOT_ATTEMPTS
     entry_key_prefix: str = ENTRY_KEY_PREFIX
     snapshot_fallback: bool = False
     status_mode: str = "index"  # "index": new or updated; "current": always new
@@ -112,7 +114,7 @@ class RunConfig:
             raise ValueError("at least one of store_tables and store_flat must be on")
         if self.status_mode not in ("index", "current"):
             raise ValueError(f"unknown status mode {self.status_mode!r}")
-        for name in ("max_items", "max_new_rows"):
+        for name in ("max_items", "max_new_rows", "max_sections", "max_attempts"):
             cap = getattr(self, name)
             if cap is not None and cap < 1:
                 raise ValueError(f"{name} must be positive or None")
@@ -122,6 +124,18 @@ class RunConfig:
         return None if self.max_items is None else self.max_items * len(specs)
 
 
+def limited(config: RunConfig) -> RunConfig:
+    """The settings with the usual limits of a run over sites on the web."""
+    return replace(
+        config,
+        max_items=MAX_ITEMS_PER_RUN,
+        max_new_rows=MAX_NEW_ROWS_PER_RUN,
+        max_sections=MAX_SECTIONS_PER_RUN,
+        max_attempts=MAX_SNAPSHOT_ATTEMPTS,
+        extract_max_chars=EXTRACT_MAX_CHARS,
+    )
+
+
 def enabled(specs: Iterable[SourceSpec]) -> list[SourceSpec]:
     """The sources that are switched on, in the given order."""
     return [s for s in specs if s.enabled]

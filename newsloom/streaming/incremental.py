@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsloom import schemas
 from newsloom.operators.extract import Extractor
-from newsloom.operators.skew import flag_first
 from newsloom.plans.complete import complete_run, run_cycle
 from newsloom.plans.discover import State, page_candidates, settle, with_run
 from newsloom.sources.store import Store
@@ -86,7 +85,8 @@ def stream_articles(
     parallelism: int | None = None,
 ) -> StreamingQuery:
     """Article pages without listings: each arriving page is scanned once and judged
-    against the URLs and contents stored so far. The scan order is the fetch time."""
+    against the URLs and contents stored so far. The scan order is the fetch time, then
+    the URL."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         own = batch_config(config, batch_id)
@@ -94,7 +94,7 @@ def stream_articles(
             batch.withColumn("source_id", F.lit(spec.source_id))
             .withColumn("source_ord", F.lit(0))
             .withColumn("section_ord", F.lit(0))
-            .withColumn("link_pos", F.unix_micros("fetched_at"))
+            .withColumn("link_pos", F.coalesce(F.unix_micros("fetched_at"), F.lit(0)))
         )
         target = Store(batch.sparkSession, store.root)
         state = State.of(target, own.run_id)
@@ -104,12 +104,3 @@ def stream_articles(
         complete_run(outcomes, None, own, own.started_at, target)
 
     return _start(pages, checkpoint, each)
-
-
-def drop_repeats(pages: DataFrame, keys: Sequence[str] = ("entry_key",)) -> DataFrame:
-    """Within one stream, each key once (kept as streaming state); for a batch table the
-    same by the balanced first-row rule."""
-    if pages.isStreaming:
-        return pages.dropDuplicates(list(keys))
-    first = flag_first(pages, list(keys), [c for c in pages.columns if c not in keys], "_first")
-    return first.where("_first").drop("_first")
