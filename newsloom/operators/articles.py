@@ -57,6 +57,9 @@ def extract_articles(
 
     Selecting runs in Python workers on the markup alone; turning the body's markup
     into text stays in the JVM."""
+    error = F.col("_parsed.error")
+    if "fetch_error" in pages.columns:
+        error = F.coalesce("fetch_error", error)
     return (
         pages.withColumn("_parsed", _parsed(F.col(html), specs))
         .withColumn("title", js_trim("_parsed.title"))
@@ -65,7 +68,7 @@ def extract_articles(
             "body_excerpt",
             F.col("_text") if max_chars is None else truncate_text("_text", max_chars),
         )
-        .withColumn("fetch_error", F.coalesce("fetch_error", "_parsed.error"))
+        .withColumn("fetch_error", error)
         .drop("_parsed", "_text")
     )
 

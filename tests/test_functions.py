@@ -76,7 +76,7 @@ def test_resolve_href(spark):
 
 def test_article_rules(spark):
     slug = {
-        "https://agfundernews.com/rainbow-crops-raises-11m": True,
+        "https://agfundernews.com/harbor-kelp-raises-11m": True,
         "https://www.agfundernews.com/Rainbow-2": True,
         "https://agfundernews.com/tag/agtech": False,
         "https://agfundernews.com/about": False,
@@ -87,7 +87,7 @@ def test_article_rules(spark):
         "junk": False,
     }
     prefix = {
-        "https://inc42.com/buzz/recykal-bags-23-mn/": True,
+        "https://inc42.com/buzz/heron-bags-23-mn/": True,
         "https://inc42.com/features/indian-startup-ipo-tracker-2026/": True,
         "https://inc42.com/BUZZ/x": True,
         "https://inc42.com/buzz/": False,
@@ -183,10 +183,10 @@ def test_link_list_hash_ignores_order_but_not_repeats(spark):
 
 
 def test_run_identity(spark):
-    row = spark.sql("SELECT timestamp'2026-06-24 08:27:49.321' AS ts").select(
+    row = spark.sql("SELECT timestamp'2025-03-09 11:05:02.004' AS ts").select(
         identity.run_id("ts").alias("r"), identity.run_date("ts").alias("d"), identity.iso_time("ts").alias("i")
     ).first()
-    assert tuple(row) == ("2026-06-24T08-27-49-321Z", "2026-06-24", "2026-06-24T08:27:49.321Z")
+    assert tuple(row) == ("2025-03-09T11-05-02-004Z", "2025-03-09", "2025-03-09T11:05:02.004Z")
 
 
 def test_payload_is_the_json_text_of_three_fields(spark):
@@ -203,7 +203,7 @@ def test_payload_is_the_json_text_of_three_fields(spark):
 FENCED = '```json\n{"isRelevant":false,"startupName":null}\n```'
 ANSWERS = [
     # raw answer, relevant, name, failed
-    ('{"isRelevant":true,"startupName":" Rainbow Crops ","newsSummary":"x"}', True, "Rainbow Crops", False),
+    ('{"isRelevant":true,"startupName":" Harbor Kelp ","newsSummary":"x"}', True, "Harbor Kelp", False),
     (FENCED, False, None, False),
     ('```\n{"isRelevant":true}```', True, None, False),
     ('{"isRelevant":"false"}', True, None, False),
@@ -244,10 +244,10 @@ def test_parse_extraction(spark):
     [
         (False, None, None, True),
         (None, None, None, True),
-        (True, "Picketa", "Raised $1.5m", True),
-        (True, "Picketa", None, False),
+        (True, "Tide", "Raised $1.5m", True),
+        (True, "Tide", None, False),
         (True, None, "Raised", False),
-        (True, "Picketa", "  ", False),
+        (True, "Tide", "  ", False),
     ],
 )
 def test_complete_extraction(spark, relevant, name, summary, complete):

@@ -314,15 +314,15 @@ def test_flat_files_by_header_or_position(spark, tmp_path):
 
 
 def test_recorded_files(spark, tmp_path):
-    index = {"https://h.com/a": {"contentHash": "x", "lastSeenAt": "2026-06-24T07:57:08.688Z",
+    index = {"https://h.com/a": {"contentHash": "x", "lastSeenAt": "2025-03-09T10:00:01.500Z",
                                  "lastRunId": "r", "extractionComplete": False},
              "https://h.com/b": {"contentHash": "y", "extractionComplete": True}}
     crawl = [{"sourceId": "inc42", "url": "u", "action": "updated",
-              "at": "2026-06-24T08:28:07.304Z", "entryKey": "k"},
+              "at": "2025-03-09T11:06:00.250Z", "entryKey": "k"},
              {"sourceId": "inc42", "url": "v", "action": "error",
-              "at": "2026-06-24T08:28:16.721Z", "reason": "incomplete_extraction"}]
+              "at": "2025-03-09T11:07:30.750Z", "reason": "incomplete_extraction"}]
     stats = {shown: i for i, (_, shown) in enumerate(schemas.STATS)}
-    summary = {"runId": "r", "runDate": "2026-06-24", "storage": {"excel": True, "postgres": False},
+    summary = {"runId": "r", "runDate": "2025-03-09", "storage": {"excel": True, "postgres": False},
                "totals": stats, "sources": [{"id": "inc42", **stats}]}
     for name, value in (("index", index), ("crawl", crawl), ("summary", summary)):
         (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=2))

@@ -23,7 +23,7 @@ from newsloom.operators.merge import merge_news
 from newsloom.operators.runs import check_sum, freshness_stats, run_totals, source_stats
 from newsloom.operators.select import cap_items, cap_new_rows, first_sections, mark_duplicates
 from newsloom.schemas import EXTRACTION, NEWS, URL_INDEX
-from newsloom.specs import RunConfig
+from newsloom.specs import RunConfig, limited
 
 
 def scan_rows(spark, seed=7, sources=6, repeats=4):
@@ -181,7 +181,7 @@ def test_change_status(spark):
         "todo": "retry",
         "blank": "retry",
         "absent": "new",
-        "unknown": "updated",
+        "unknown": "new",
         None: "new",
     }
     assert change_status(rows, None).select("change_status").distinct().first()[0] == "new"
@@ -278,13 +278,13 @@ def test_extractor_sees_a_cut_body_once_per_row(spark):
 
 def test_keyword_extractor(spark):
     rows = [
-        ("u1", "Picketa raises $1.5m", "See https://picketa.com for it. More."),
+        ("u1", "Tide raises $1.5m", "See https://tideworks.com for it. More."),
         ("u2", "Weather", "Nothing here."),
         ("u3", "Quiet title", "The firm raised money"),
     ]
     got = {r.url: r.extraction for r in extract_with(articles(spark, rows), KeywordExtractor()).collect()}
-    assert got["u1"].startup_name == "Picketa" and got["u1"].startup_website == "https://picketa.com"
-    assert got["u1"].news_summary == "See https://picketa."
+    assert got["u1"].startup_name == "Tide" and got["u1"].startup_website == "https://tideworks.com"
+    assert got["u1"].news_summary == "See https://tideworks.com for it."
     assert not got["u2"].is_relevant and got["u3"].news_summary is None
 
 
@@ -342,7 +342,9 @@ def test_counters(spark):
 
 def test_settings_are_checked():
     config = RunConfig("r", "d", "s")
-    assert (config.max_items, config.max_new_rows, config.max_sections) == (50, 20, 10)
+    assert (config.max_items, config.max_new_rows, config.max_sections) == (None, None, None)
+    usual = limited(config)
+    assert (usual.max_items, usual.max_new_rows, usual.max_sections) == (50, 20, 10)
     with pytest.raises(ValueError):
         replace(config, store_tables=False)
     with pytest.raises(ValueError):

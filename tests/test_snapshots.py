@@ -43,17 +43,17 @@ def test_long_texts_and_many_escapes_need_no_stack(spark):
 def test_urls_and_links(spark):
     snapshot = """
 - link "Sign in" url=https://inc42.com/login
-- link "A" [ref=e1, url=https://inc42.com/buzz/aquapulse-funding/?utm=1, focused]
-- link "A again" url=HTTPS://www.inc42.com/buzz/aquapulse-funding] url=https://inc42.com/buzz/b
+- link "A" [ref=e1, url=https://inc42.com/buzz/reed-mill-opens/?utm=1, focused]
+- link "A again" url=HTTPS://www.inc42.com/buzz/reed-mill-opens] url=https://inc42.com/buzz/b
 curl=https://inc42.com/buzz/no-node
 """
     assert one(spark, snapshot, snapshot_urls()) == [
         "https://inc42.com/login",
-        "https://inc42.com/buzz/aquapulse-funding",
-        "https://www.inc42.com/buzz/aquapulse-funding",
+        "https://inc42.com/buzz/reed-mill-opens",
+        "https://www.inc42.com/buzz/reed-mill-opens",
         "https://inc42.com/buzz/b",
     ]
-    wanted = ["https://inc42.com/buzz/aquapulse-funding", "https://inc42.com/buzz/b"]
+    wanted = ["https://inc42.com/buzz/reed-mill-opens", "https://inc42.com/buzz/b"]
     assert one(spark, snapshot, snapshot_article_links("snapshot", [INC42_FEED])) == wanted
     df = spark.createDataFrame([("inc42", snapshot)], "source_id string, snapshot string")
     assert snapshot_links(df, [INC42_FEED]).first().links == wanted
@@ -109,6 +109,10 @@ def test_attempts(spark):
         ("never", 2, shot("t2", "x")),
         ("late", 3, shot("t3", "x")),
         ("late", 4, shot("t4", long)),
+        ("high", 5, shot("t5", "x")),
+        ("high", 7, shot("t7", "x")),
+        ("high", 9, shot("t9", "x")),
+        ("high", 11, shot("t11", long)),
         ("twice", 1, shot("t", long)),
         ("twice", 1, shot("t", long + " sign in to read")),
     ]
@@ -118,7 +122,8 @@ def test_attempts(spark):
         "complete": (2, False, True),
         "wall": (2, True, False),
         "never": (2, False, False),
-        "late": (3, False, False),
+        "late": (4, False, True),
+        "high": (9, False, False),  # attempts count by rank, whatever their numbers
         "twice": (1, True, True),
     }
 
