@@ -75,11 +75,23 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Groups after more links."""
+    between = components(_relabel(links, found))
+    tops = between.select(F.col("node").alias("component"), F.col("component").alias("_top"))
+    moved = found.join(tops, "component", "left").select(
+        "node", F.coalesce("_top", "component").alias("component")
+    )
+    fresh = between.join(found.select("node"), "node", "left_anti")
+    return stage(moved.unionByName(fresh), "groups")
+
+
 def grow(
     members: DataFrame,
     confirm: Callable[[DataFrame], DataFrame],
     carried: tuple[str, ...] = (),
     may: Column | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``node, component`` of the links that ``confirm`` finds inside buckets.
 
@@ -89,7 +101,11 @@ def grow(
     with, then with the other centres. Where a bucket still holds nodes of several groups,
     more centres are drawn, ``GROWTH`` times as many in each round, and compared with the
     members of other groups, until a bucket is one group or all its members have been
-    centres: no link between buckets' members that would join two groups is left out."""
+    centres: no link between buckets' members that would join two groups is left out.
+
+    ``finish`` can take the place of the rounds after the stars: it is given the members of
+    the open buckets with their ``component`` and returns links ``a, b`` that join all
+    groups of a bucket that have any link."""
     own = members.select("node", *carried).distinct()
 
     def allowed(pairs: DataFrame) -> DataFrame:
@@ -123,6 +139,9 @@ def grow(
         widest = live.agg(F.max("n")).first()[0]
         if widest is None:
             return found
+        if finish is not None and width > 1:
+            more = stage(finish(live), "links")
+            return found if more.isEmpty() else _joined(found, more)
         if width == 1:
             chosen = F.col("node") == F.col("centre")
         else:  # about ``width`` of each bucket, all of a small one
@@ -139,13 +158,7 @@ def grow(
         )
         more = stage(confirm(allowed(pairs)), "links")
         if not more.isEmpty():
-            between = components(_relabel(more, found))
-            tops = between.select(F.col("node").alias("component"), F.col("component").alias("_top"))
-            moved = found.join(tops, "component", "left").select(
-                "node", F.coalesce("_top", "component").alias("component")
-            )
-            fresh = between.join(found.select("node"), "node", "left_anti")
-            found = stage(moved.unionByName(fresh), "groups")
+            found = _joined(found, more)
         drop(live)
         if width > 1 and width >= widest:
             return found

@@ -6,9 +6,11 @@ the component of the first filled bin in a random order of its own (optimal dens
 two sketches agree there as often as elsewhere). Bands of components are bucket keys.
 
 Documents with equal sets are one node. In each bucket only a star of pairs around one
-centre is compared, on the full sets; buckets that still hold several groups get more centres
-(``groups.grow``). So pairs stay few in large groups, and no link found by the bands is lost
-that would join two groups.
+centre is compared, on the full sets (``groups.grow``). Where a bucket still holds several
+groups after that, its sets meet in one task, in blocks of at most ``BLOCK`` members, which
+compares the members outside the largest group with all others and returns one link for each
+such member and group. So pairs stay few in large groups, and no link found by the bands is
+lost that would join two groups.
 
 With 48 bands of 5 components, a pair at similarity 0.75 shares no bucket with probability
 2e-6. Links themselves are exact: ``100 * intersection >= 75 * union``.
@@ -36,6 +38,9 @@ PERCENT = 75
 BANDS = 48
 ROWS = 5
 CACHE = 200_000
+BLOCK = 2048
+#: Columns of the table of common hashes at a time.
+WIDE = 4096
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -155,6 +160,67 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def bridges(sets: list[np.ndarray], group: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of places with similar sets and different groups: for each place outside the
+    largest group, one per other group that it is similar to."""
+    names, counts = np.unique(group, return_counts=True)
+    apart = np.flatnonzero(group != names[counts.argmax()])
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values, column, often = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = often[column] > 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(apart), len(sets)), dtype=np.float32)
+    place = np.full(len(sets), -1)
+    place[apart] = np.arange(len(apart))
+    kept = np.unique(column)
+    for start in range(0, len(kept), WIDE):
+        low, high = np.searchsorted(column, [kept[start], kept[min(start + WIDE, len(kept)) - 1] + 1])
+        has = np.zeros((len(sets), WIDE), dtype=np.float32)
+        has[owner[low:high], np.searchsorted(kept, column[low:high]) - start] = 1
+        common += has[apart] @ has.T
+    found = []
+    for k, i in enumerate(apart):
+        union = sizes[i] + sizes - common[k]
+        near = np.flatnonzero((100 * common[k] >= percent * union) & (group != group[i]))
+        _, first = np.unique(group[near], return_index=True)
+        found += [(int(i), int(near[j])) for j in first]
+    return found
+
+
+def _compare(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        nodes = table["node"].to_numpy()
+        group = table["component"].to_numpy()
+        pairs = []
+        if len(np.unique(group)) > 1:
+            lists = table["hashes"].combine_chunks()
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            sets = [flat[ends[i] : ends[i + 1]] for i in range(len(nodes))]
+            pairs = [(nodes[i], nodes[j]) for i, j in bridges(sets, group, percent)]
+        a, b = zip(*pairs, strict=True) if pairs else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _settle(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the groups of open buckets; two blocks of a bucket meet in a task."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("node"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    met = live.select("bucket", "node", "component", own.alias("own"), other.alias("other"))
+    return (
+        met.join(sets.select(F.col("id").alias("node"), "hashes"), "node")
+        .groupBy("bucket", F.least("own", "other"), F.greatest("own", "other"))
+        .applyInArrow(_compare(percent), "a bigint, b bigint")
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = WORDS,
@@ -200,7 +266,8 @@ def near_duplicates(
     )
     alike = F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent
     groups = grow(
-        members, lambda pairs: _confirm(pairs, sets, percent), ("size",), alike
+        members, lambda pairs: _confirm(pairs, sets, percent), ("size",), alike,
+        lambda live: _settle(live, sets, percent),
     )
     return (
         sketches.select("doc_id", "n_shingles", "digest")

@@ -371,3 +371,22 @@ def test_the_kernel_counts_weighted_subsequences():
     pairs = [("clown", "clxown"), ("abc", "abc"), ("aabbc", "abcab"), ("abc", "xyz")]
     one, two = (toxicity._codes([p[k] for p in pairs], 8) for k in (0, 1))
     assert np.allclose(toxicity.kernel(one, two), [plain(*p) for p in pairs], rtol=1e-4)
+
+
+def test_bridges_join_all_groups_that_touch():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**62, 60)
+    sets = [np.unique(np.concatenate([base[rng.random(60) < 0.9], rng.integers(0, 2**62, k)])) for k in rng.integers(0, 30, 80)]
+    group = rng.integers(0, 6, 80)
+    found = minhash.bridges(sets, group, 75)
+    similar = {
+        (i, j) for i in range(80) for j in range(80)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert found and set(found) <= similar and all(group[i] != group[j] for i, j in found)
+    asked, made = Groups(range(6)), Groups(range(6))
+    for i, j in similar:
+        asked.join(int(group[i]), int(group[j]))
+    for i, j in found:
+        made.join(int(group[i]), int(group[j]))
+    assert [asked.top(x) for x in range(6)] == [made.top(x) for x in range(6)]
