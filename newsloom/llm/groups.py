@@ -96,8 +96,8 @@ def grow(
     """``node, component`` of the links that ``confirm`` finds inside buckets.
 
     ``members`` has ``bucket, node, n, centre`` (members of the bucket, its smallest node)
-    and ``carried`` columns of the node; the condition ``may`` on them, as ``a_<column>`` and
-    ``b_<column>``, can rule a pair out. Only stars are compared: first each node with the centre it shares most buckets
+    and ``carried`` columns of the node; the symmetric condition ``may`` on them, as
+    ``a_<column>`` and ``b_<column>``, can rule a pair out. Only stars are compared: first each node with the centre it shares most buckets
     with, then with the other centres. Where a bucket still holds nodes of several groups,
     more centres are drawn, ``GROWTH`` times as many in each round, and compared with the
     members of other groups, until a bucket is one group or all its members have been
@@ -148,15 +148,20 @@ def grow(
             draw = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / float(1 << 30)
             chosen = draw * F.col("n") < width
         centres = live.where(chosen).select(
-            "bucket", F.col("node").alias("_centre"), F.col("component").alias("_group")
+            "bucket", F.col("node").alias("_centre"), F.col("component").alias("_group"),
+            *(F.col(c).alias(f"b_{c}") for c in carried),
         )
-        met = live.select("bucket", "node", "component").join(centres, "bucket")
+        met = live.select(
+            "bucket", "node", "component", *(F.col(c).alias(f"a_{c}") for c in carried)
+        ).join(centres, "bucket")
+        # pairs that are ruled out end in the join
+        apart = F.col("component") != F.col("_group")
         pairs = (
-            met.where(F.col("component") != F.col("_group"))
+            met.where(apart if may is None else apart & may)
             .select(F.least("node", "_centre").alias("a"), F.greatest("node", "_centre").alias("b"))
             .distinct()
         )
-        more = stage(confirm(allowed(pairs)), "links")
+        more = stage(confirm(pairs), "links")
         if not more.isEmpty():
             found = _joined(found, more)
         drop(live)

@@ -123,6 +123,8 @@ def test_lines_against_all_pairs(spark):
     sims = {line: _sim(line) for line in lines}
     for n, a in enumerate(lines):
         for b in lines[:n]:
+            if min(len(a.split(" ")), len(b.split(" "))) < line_dedup.FUZZY_WORDS:
+                continue
             if (sims[a] ^ sims[b]).bit_count() <= 2:
                 if _edits(a, b) <= min(int(max(len(a), len(b)) * 0.1), 200):
                     places.join(first[a], first[b])
