@@ -88,11 +88,13 @@ class Block:
             found = np.concatenate([found, fresh])
             scores = np.concatenate([scores, np.einsum("ij,j->i", self.rows[fresh], query)])
             if len(found) >= count:
-                kept = np.lexsort((self.ids[found], -scores))[: max(count, 1)]
-                worst = scores[kept[-1]] / (length * self.longest)
+                worst = np.partition(scores, -count)[-count] / (length * self.longest)
                 distance = self.longest * math.sqrt(max(0.0, 2 - 2 * worst))
                 if distance <= radius:
                     break
+        if len(found) > count:
+            good = scores >= np.partition(scores, -count)[-count]
+            found, scores = found[good], scores[good]
         best = np.lexsort((self.ids[found], -scores))[:count]
         return [(int(self.ids[found[i]]), float(scores[i])) for i in best]
 
