@@ -318,15 +318,18 @@ def test_strict_spans(spark):
     assert pii.find(docs(spark, [])).count() == 0
 
 
-def test_the_trees_find_disguised_data(spark):
+def test_generators_propose_disguised_data_and_spare_prose(spark):
     rows = []
     for i in range(300):
         rows.append((i, f"{prose(9, i)} mail u{i}.x@mail{i % 9}.example.com {prose(4, i)} token a{i}f{i}e", "s"))
         rows.append((1000 + i, f"{prose(5, i)} host 10.{i % 200}.3.{i % 90} ratio {i}/{i + 1} of {i * 7} {prose(4, i)}", "s"))
-    rows += [(5000, "mail u5.x at mail4.example dot com today", "s"), (5001, prose(40, 4), "s")]
+    # written as one of the addresses above, in disguise
+    rows += [(5000, f"{prose(9, 3)} mail u3.x at mail3 dot example dot com {prose(4, 3)} token", "s"),
+             (5001, prose(40, 4), "s")]
     got = {r.doc_id: r for r in pii.find(docs(spark, rows)).collect()}
-    assert got[5000].n_email == 0 and got[5000].spans.startswith("email:")
-    assert got[5001].spans == ""
+    assert got[5000].n_email == 0 and got[5001].spans == ""
+    assert any(kind == 0 for kind, _, _ in pii.loose_spans(rows[-2][1]))
+    assert all(got[i].n_email == 1 and "email:" in got[i].spans for i in range(300))
 
 
 # --- toxicity -------------------------------------------------------------------------
@@ -339,7 +342,7 @@ def test_toxicity_learns_gapped_insults(spark):
         bad = i % 4 == 0
         text = ". ".join(prose(9, 31 * i + k) for k in range(4))
         if bad:
-            text += f". You {insults[i % 3]} {prose(3, i)}"
+            text += f". {prose(2, i + 7)} {insults[i % 3]} {prose(3, i)}"
             text += f". {insults[(i + 1) % 3]}!" if i % 8 else ""
         rows.append((i, text, "s"))
         marks.append((i, int(bad)))
