@@ -140,6 +140,54 @@ def test_lines_against_all_pairs(spark):
     assert dropped > 30
 
 
+def _changed(line, seed, whole):
+    """A copy with edits up to a tenth: of single letters all over, or of whole words."""
+    rng = np.random.default_rng(seed)
+    out = list(line)
+    most = len(line) // 10
+    if whole:
+        parts, left = line.split(" "), most
+        for k in rng.permutation(len(parts)):
+            if len(parts[k]) <= left:
+                left -= len(parts[k])
+                parts[k] = "z" * len(parts[k])
+        return " ".join(parts)
+    for _ in range(most):
+        k, how = int(rng.integers(len(out))), rng.random()
+        if how < 0.5:
+            out[k] = "z"
+        elif how < 0.75:
+            del out[k]
+        else:
+            out.insert(k, "z")
+    return "".join(out)
+
+
+def test_lines_within_a_tenth_are_found(spark):
+    """Recall against edit distance alone, whatever the sketches, by words of the line."""
+    pairs = []
+    for count in (10, 20, 36, 60, 100):
+        for i in range(40):
+            line = prose(count, 5000 + 100 * count + i)
+            pairs.append((count, line, _normal(_changed(line, i, i % 2))))
+    long = list(prose(1100, 77))
+    for k in range(0, len(long), len(long) // 400):
+        long[k] = "z" if long[k] != " " else " "
+    pairs.append((1100, prose(1100, 77), "".join(long)))
+    longer = F.greatest(F.length("one"), F.length("two"))
+    alike = {
+        r.k for r in spark.createDataFrame(
+            [(k, one, two) for k, (_, one, two) in enumerate(pairs)], "k int, one string, two string"
+        ).where((F.levenshtein("one", "two") <= longer * 0.1) & (F.col("one") != F.col("two"))).collect()
+    }
+    assert len(pairs) - 1 in alike and len(alike) > 200
+    rows = [(2 * k + n, lines[n], "s") for k, (_, *lines) in enumerate(pairs) for n in (0, 1)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup(docs(spark, rows)).collect()}
+    for count in {count for count, _, _ in pairs}:
+        own = [k for k in alike if pairs[k][0] == count]
+        assert sum(got[2 * k + 1] for k in own) >= 0.9 * len(own), count
+
+
 def test_lines_of_odd_rows(spark):
     frame = docs(spark, odd_rows()).withColumn("extra", F.lit("x")).withColumn("n", F.lit(0))
     got = line_dedup.dedup(frame)
