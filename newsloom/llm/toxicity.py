@@ -283,8 +283,11 @@ def _curve(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
     return weights[:-1], float(weights[-1])
 
 
-def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model | None:
-    """The model from texts of both labels, or None if they cannot be told apart."""
+def fit(
+    toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, odds: float | None = None
+) -> Model | None:
+    """The model from texts of both labels, or None if they cannot be told apart. ``odds`` are
+    those of a toxic document where the texts come from, if they differ from the texts'."""
     docs = [(1, sentences(t)) for t in toxic] + [(0, sentences(t)) for t in clean]
     telling = _telling(docs)
     chosen = _landmarks(telling, landmarks)
@@ -322,6 +325,8 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
         _worst([float(sum(word[place[w]] for w in s)) for s in doc]) for _, doc in docs
     ])
     slopes, shift = _curve(margins, np.array([float(label) for label, _ in docs]))
+    if odds is not None:
+        shift += float(np.log(odds * len(clean) / len(toxic)))
     return Model(chosen, weights, slopes, shift)
 
 
@@ -348,7 +353,12 @@ def train(
         texts.append([r.text for r in sorted(rows.collect(), key=lambda r: (r.doc_id, r.text))])
     if not texts[0] or not texts[1]:
         return None
-    return fit(texts[0], texts[1])
+    # the samples are bounded per label, so their shares are not those of the table
+    counts = {
+        r.toxic: r.n for r in docs.select("doc_id").join(marks, "doc_id")
+        .groupBy("toxic").agg(F.count("*").alias("n")).collect()
+    }
+    return fit(texts[0], texts[1], odds=counts[1] / counts[0])
 
 
 def _score(model: Model | None):

@@ -383,6 +383,23 @@ def test_generators_propose_disguised_data_and_spare_prose(spark):
 # --- toxicity -------------------------------------------------------------------------
 
 
+def test_toxicity_keeps_the_shares_of_the_table(spark, monkeypatch):
+    rows, marks = [], []
+    for i in range(300):
+        bad = i % 5 == 0
+        rows.append((i, prose(12, 31 * i) + (" grubnoddle vilksnout" if bad else ""), "s"))
+        marks.append((i, int(bad)))
+    frame, labels = docs(spark, rows), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    seen, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: seen.append(a) or fit(*a, **k))
+    model = toxicity.train(frame, labels, 20, 20)
+    marked = labels.where(~toxicity.held_out())
+    bad = marked.where("toxic = 1").count()
+    natural = bad / (marked.count() - bad)
+    assert [len(texts) for texts in seen[0]] == [20, 20] and natural < 0.5
+    assert abs(model.shift - fit(*seen[0]).shift - np.log(natural)) < 1e-9
+
+
 def test_toxicity_learns_gapped_insults(spark):
     rows, marks = [], []
     insults = ("grubnoddle", "vilksnout", "patzwurm")
