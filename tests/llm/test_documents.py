@@ -391,6 +391,18 @@ def test_the_trees_find_disguised_data(spark):
     assert got[5001].spans == ""
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    def vectors(kind, label, count):
+        return [[float(kind), float(i), float(label)] + [0.0] * 17 for i in range(count)]
+
+    rows = [(vectors(k, 1, 40), vectors(k, 0, 40)) for k in range(4)]
+    rows += [(vectors(0, 1, 1) * 3000, vectors(0, 0, 1) * 3000)]
+    frame = spark.createDataFrame(rows, "positive array<array<double>>, negative array<array<double>>")
+    frame = frame.withColumn("proposed", F.transform("negative", lambda v: F.struct(v.alias("features"))))
+    trees, limits = pii.train(frame, 320)
+    assert sorted(limits) == [0, 1, 2, 3]
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 
