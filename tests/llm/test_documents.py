@@ -166,7 +166,7 @@ def _changed(line, seed, whole):
 def test_lines_within_a_tenth_are_found(spark):
     """Recall against edit distance alone, whatever the sketches, by words of the line."""
     pairs = []
-    for count in (10, 20, 36, 60, 100):
+    for count in (5, 6, 8, 10, 20, 36, 60, 100):
         for i in range(40):
             line = prose(count, 5000 + 100 * count + i)
             pairs.append((count, line, _normal(_changed(line, i, i % 2))))
