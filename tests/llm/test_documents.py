@@ -188,6 +188,13 @@ def test_lines_within_a_tenth_are_found(spark):
         assert sum(got[2 * k + 1] for k in own) >= 0.9 * len(own), count
 
 
+def test_short_lines_and_lines_without_blanks_repeat(spark):
+    han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60))
+    rows = [(1, f"Read more\n{han}", "s"), (2, f"read more!\n{han[:30]}\u4e00{han[31:]}", "s")]
+    got = {r.doc_id: r for r in line_dedup.dedup(docs(spark, rows)).collect()}
+    assert got[1].n_dropped == 0 and got[2].n_dropped == 2 and got[2].text == ""
+
+
 def test_lines_of_odd_rows(spark):
     frame = docs(spark, odd_rows()).withColumn("extra", F.lit("x")).withColumn("n", F.lit(0))
     got = line_dedup.dedup(frame)
