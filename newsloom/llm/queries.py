@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
+    factors,
     line_dedup,
     minhash,
     mixing,
@@ -83,6 +84,13 @@ def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return factors.dedup(docs, keep_first=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the documents, a tenth of which are first made periodic from some word on."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -128,6 +136,7 @@ def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op11_repeated_bytes": repeated_bytes,
     "op12_periodic_runs": periodic_runs,
     "op13_spelling_groups": spelling_groups,
     "op9_warc_derivatives": warc_derivatives,
