@@ -13,7 +13,8 @@ one narrow row. An anchor that occurs once ends there. Equal segments are counte
 only where an anchor has several different segments, their bytes are fetched, once each, and
 their windows are ranked by their first 8, 16, 32 bytes and so on up to ``length``. Among
 equal windows, in order of position, the one before is the previous smaller position. Ranges
-of windows go back to the texts, which are cut.
+of windows go back to the texts, which are cut. (Grams whose hash is zero in its low bits come
+first, so few places have to be compared for the smallest.)
 
 Anchors with more than ``MEET`` different segments (a passage with many surroundings) do not
 meet in one task: their windows are counted by hash, 64 bits beside the 64 of the anchor.
@@ -42,6 +43,8 @@ LENGTH = 200
 GRAM = 32
 #: Bytes of a text, or of segments, that are worked on at a time.
 BLOCK = 1 << 18
+#: Low bits that are zero in the hashes which count first as anchors.
+SPARSE = 15
 #: Rows handed to Spark at a time.
 ROWS = 20_000
 #: Different segments of an anchor that meet in one task.
@@ -84,24 +87,119 @@ def _rolled(data: np.ndarray, size: int) -> np.ndarray:
         width *= 2
 
 
+def _dense(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``at, start, count``: the smallest of each ``window`` hashes, of equals the first, and
+    the run of windows that have it."""
+    least, at = hashes, np.arange(len(hashes))
+    width = 1
+    while width < window:
+        step = min(width, window - width)
+        right = least[step:] < least[:-step]
+        least = np.where(right, least[step:], least[:-step])
+        at = np.where(right, at[step:], at[:-step])
+        width += step
+    start = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+    return at[start], start, np.diff(np.append(start, len(at)))
+
+
+def _nearest(at: np.ndarray, value: np.ndarray, window: int, step: int) -> np.ndarray:
+    """For each place the nearest one before it (``step`` -1) whose value is not greater, or
+    after it (1) whose value is smaller, if that is less than ``window`` away; else -1."""
+    found = np.full(len(at), -1)
+    rows, k = np.arange(len(at)), step
+    while len(rows):
+        other = rows + k
+        inside = (other >= 0) & (other < len(at))
+        rows, other = rows[inside], other[inside]
+        near = np.abs(at[other] - at[rows]) < window
+        rows, other = rows[near], other[near]
+        hit = value[other] <= value[rows] if step < 0 else value[other] < value[rows]
+        found[rows[hit]] = other[hit]
+        rows, k = rows[~hit], k + step
+    return found
+
+
+def _smallest(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, where only hashes that are zero in some low bits count, one in
+    ``SPARSE + 1``; windows without such a hash are left to ``_dense``."""
+    last = len(hashes) - window
+    at = np.flatnonzero((hashes & np.uint64(SPARSE)) == 0)
+    value = hashes[at]
+    start, stop = np.maximum(at - window + 1, 0), np.minimum(at, last)
+    before, after = _nearest(at, value, window, -1), _nearest(at, value, window, 1)
+    met = before >= 0
+    start[met] = np.maximum(start[met], at[before[met]] + 1)
+    met = after >= 0
+    stop[met] = np.minimum(stop[met], at[after[met]] - window)
+    kept = start <= stop
+    found = [(at[kept], start[kept], (stop - start + 1)[kept])]
+    edges = np.concatenate([[-1], at, [len(hashes)]])
+    for k in np.flatnonzero(np.diff(edges) > window):
+        low, high = edges[k] + 1, edges[k + 1]
+        places, first, count = _dense(hashes[low:high], window)
+        found.append((places + low, first + low, count))
+    places, first, count = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(first) if len(found) > 1 else slice(None)
+    return places[order], first[order], count[order]
+
+
+def _blocks(texts: list[bytes], length: int, block: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """``text, place, piece`` in lists of about ``block`` bytes: whole texts, or pieces of a
+    long one that overlap by one window less a byte."""
+    held, size = [], 0
+    for i, data in enumerate(texts):
+        for low in range(0, len(data) - length + 1, block):
+            piece = data[low : low + block + length - 1]
+            held.append((i, low, piece))
+            size += len(piece)
+            if size >= block:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def anchors(
-    data: bytes, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``hash, start, count``: the anchor of each segment, its first window and their number."""
-    whole = np.frombuffer(data, dtype=np.uint8)
-    for low in range(0, len(data) - length + 1, block):
-        hashes = _rolled(whole[low : low + block + length - 1], gram)
-        least, at = hashes, np.arange(len(hashes), dtype=np.int32)
-        width, window = 1, length - gram + 1
-        while width < window:
-            step = min(width, window - width)
-            right = least[step:] < least[:-step]  # the first of equals is the anchor
-            least = np.where(right, least[step:], least[:-step])
-            at = np.where(right, at[step:], at[:-step])
-            width += step
-        start = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
-        count = np.diff(np.append(start, len(at)))
-        yield hashes[at[start]].view(np.int64), start + low, count
+    texts: list[bytes], length: int = LENGTH, gram: int = GRAM, block: int = BLOCK
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+    """``text, hash, start, count, bytes`` of the segments of texts: the text's number, the
+    anchor, its first window, their number, and all bytes of these windows."""
+    for held in _blocks(texts, length, block):
+        whole = b"".join(piece for _, _, piece in held)
+        sizes = np.array([len(piece) for _, _, piece in held])
+        first = np.cumsum(sizes) - sizes
+        hashes = _rolled(np.frombuffer(whole, dtype=np.uint8), gram)
+        at, start, count = _smallest(hashes, length - gram + 1)
+        # windows that lie in one piece
+        own = np.searchsorted(first, at, side="right") - 1
+        stop = np.minimum(start + count, (first + sizes - length + 1)[own])
+        start = np.maximum(start, first[own])
+        kept = start < stop
+        at, start, stop, own = at[kept], start[kept], stop[kept], own[kept]
+        text, low = (np.array(c, dtype=np.int64) for c in list(zip(*held, strict=True))[:2])
+        ends = (stop + length - 1).tolist()
+        data = [whole[a:b] for a, b in zip(start.tolist(), ends, strict=True)]
+        places = start - first[own] + low[own]
+        yield text[own], hashes[at].view(np.int64), places, stop - start, data
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return [text.encode() for text in batch["text"].to_pylist()]
+
+
+def _anchor_hashes(length: int, gram: int):
+    """The anchors alone, for counting them."""
+
+    def found(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+        for _, hashes, *_ in anchors(_texts(batch), length, gram):
+            yield [hashes]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                yield from _gathered(found(batch), ["anchor"])
+
+    return run
 
 
 def _signed(x: int) -> int:
@@ -113,16 +211,12 @@ def _segments(length: int, gram: int):
 
     def found(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
         own = [batch[c].to_numpy(zero_copy_only=False) for c in OWN]
-        for i, text in enumerate(batch["text"]):
-            data = text.as_py().encode()
-            for hashes, start, count in anchors(data, length, gram):
-                ends = (start + count + length - 1).tolist()
-                digests = [
-                    _signed(xxhash.xxh3_64_intdigest(data[a:b]))
-                    for a, b in zip(start.tolist(), ends, strict=True)
-                ]
-                same = [np.full(len(start), c[i]) for c in own]
-                yield [*same, hashes, np.array(digests), start, count.astype(np.int32)]
+        for text, hashes, start, count, data in anchors(_texts(batch), length, gram):
+            digests = [_signed(xxhash.xxh3_64_intdigest(d)) for d in data]
+            same = [c[text] for c in own]
+            yield [
+                *same, hashes, np.array(digests, dtype=np.int64), start, count.astype(np.int32),
+            ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -208,16 +302,27 @@ def _spans(rows: list[dict], length: int, keep_first: bool) -> pa.RecordBatch:
 
 
 def _meet(length: int, keep_first: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, anchor = [], 0, None
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+        held = []
         for batch in batches:
             for row in batch.to_pylist():
-                if row["anchor"] != anchor and size > BLOCK:
-                    yield _spans(held, length, keep_first)
-                    held, size = [], 0
-                anchor = row["anchor"]
+                if held and row["anchor"] != held[0]["anchor"]:
+                    yield held
+                    held = []
                 held.append(row)
-                size += len(row["data"])
+        if held:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for group in groups(batches):
+            if not keep_first and all(row["n"] > 1 for row in group):
+                continue  # all of these go as a whole
+            held += group
+            size += sum(len(row["data"]) for row in group)
+            if size > BLOCK:
+                yield _spans(held, length, keep_first)
+                held, size = [], 0
         if held:
             yield _spans(held, length, keep_first)
 
@@ -296,13 +401,16 @@ def spans(
         "ord bigint, k1 bigint, k2 bigint, anchor bigint, segment bigint, start bigint, count int",
     )
     # anchors that occur once are most of them
+    hashes = texts.select("text").mapInArrow(_anchor_hashes(length, gram), "anchor bigint")
     again = stage(
-        found.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"),
+        hashes.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"),
         "anchors",
     )
+    # a segment has one anchor; grouping by that too would keep hot anchors together
     members = stage(
         found.join(again, "anchor", "left_semi")
-        .groupBy("anchor", "segment", *own, "start", "count").agg(F.count("*").alias("m")),
+        .groupBy("segment", *own, "start", "count")
+        .agg(F.first("anchor").alias("anchor"), F.count("*").alias("m")),
         "segments",
     )
     place = F.struct(*own, "start")

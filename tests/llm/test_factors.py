@@ -64,18 +64,31 @@ def test_anchors_depend_on_the_window_alone():
     draw = random.Random(4)
     shared = bytes(draw.randrange(97, 123) for _ in range(700))
     data = bytes(draw.randrange(97, 123) for _ in range(333)) + shared + b"!" * 400
+    texts = [shared, b"", b"x" * 199, data, b"ab" * 300, shared]
     with np.errstate(over="ignore"):
-        for block in (50, 1000):
-            seen = []
-            for text in (shared, data):
-                windows = {}
-                for hashes, start, count in factors.anchors(text, 200, 32, block):
-                    for h, s, c in zip(hashes, start, count, strict=True):
-                        for k in range(c):
-                            windows[int(s) + k] = int(h)
-                assert sorted(windows) == list(range(len(text) - 199))
-                seen.append(windows)
-            assert all(seen[1][333 + s] == h for s, h in seen[0].items())
+        for block in (50, 1000, 100_000):
+            windows = [{} for _ in texts]
+            for segments in factors.anchors(texts, 200, 32, block):
+                for i, h, s, c, d in zip(*segments, strict=True):
+                    assert d == texts[i][s : s + c + 199]
+                    windows[i] |= {int(s) + k: int(h) for k in range(c)}
+            for text, found in zip(texts, windows, strict=True):
+                assert sorted(found) == list(range(max(0, len(text) - 199)))
+            assert windows[0] == windows[5]
+            assert all(windows[3][333 + s] == h for s, h in windows[0].items())
+
+
+def test_the_smallest_hash_of_each_window():
+    draw = np.random.default_rng(3)
+    for size, span, window in ((300, 1 << 20, 20), (4000, 1 << 60, 169), (500, 40, 30), (50, 9, 50)):
+        hashes = draw.integers(0, span, size, dtype=np.uint64)
+        at, start, count = factors._smallest(hashes, window)
+        low = (hashes & np.uint64(factors.SPARSE)) == 0
+        want = []
+        for s in range(size - window + 1):
+            places = [k for k in range(s, s + window) if low[k]] or range(s, s + window)
+            want.append(min(places, key=lambda k: (hashes[k], k)))
+        assert np.repeat(at, count).tolist() == want and start[0] == 0
 
 
 def test_cut():
