@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +15,11 @@ from newsloom.operators.skew import keep_first, spread_join
 from newsloom.specs import ENTRY_KEY_PREFIX
 
 
-def known_urls(news: DataFrame) -> DataFrame:
-    """The distinct canonical URLs of the stored news, as ``_url``."""
-    return (
-        news.select(canonical_url("source_url").alias("_url"))
-        .where(F.col("_url").isNotNull())
-        .distinct()
-    )
+def known_urls(news: DataFrame, canonical: bool = False) -> DataFrame:
+    """The canonical URLs of the news, as ``_url``, each as often as it is there.
+    ``canonical``: they are stored as such."""
+    url = F.col("source_url") if canonical else canonical_url("source_url")
+    return news.select(url.alias("_url")).where(F.col("_url").isNotNull())
 
 
 def split_invalid(links: DataFrame, url: str = "url") -> tuple[DataFrame, DataFrame]:
@@ -29,18 +29,22 @@ def split_invalid(links: DataFrame, url: str = "url") -> tuple[DataFrame, DataFr
 
 
 def fresh_links(
-    links: DataFrame, news: DataFrame, url: str = "url", max_rows: int | None = None
+    links: DataFrame,
+    news: DataFrame,
+    url: str = "url",
+    max_rows: int | None = None,
+    canonical: bool = False,
 ) -> DataFrame:
     """The links whose canonical URL is not in the news, as they were written."""
     keyed = links.withColumn("_url", canonical_url(url))
-    known = known_urls(news)
+    known = known_urls(news, canonical)
     return spread_join(keyed, known, ["_url"], "left_anti", max_rows=max_rows).drop("_url")
 
 
 def mark_known(links: DataFrame, news: DataFrame, url: str = "url") -> DataFrame:
     """Add ``is_known``: is the canonical URL of the link in the news?"""
     keyed = links.withColumn("_url", canonical_url(url))
-    known = known_urls(news).withColumn("is_known", F.lit(True))
+    known = known_urls(news).distinct().withColumn("is_known", F.lit(True))
     return (
         spread_join(keyed, known, ["_url"], "left")
         .withColumn("is_known", F.coalesce("is_known", F.lit(False)))
@@ -114,19 +118,28 @@ def section_diff(sections: DataFrame, previous: DataFrame | None) -> DataFrame:
     )
 
 
-def merge_section_snapshots(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """Latest hash per listing page. ``current``: section_url, content_hash, checked_at."""
-    return merge_keyed(previous, current, "section_url", ["checked_at", "content_hash"])
+Place = Callable[[DataFrame], DataFrame]
+
+
+def merge_section_snapshots(
+    previous: DataFrame, current: DataFrame, place: Place | None = None
+) -> DataFrame:
+    """Latest hash per listing page. ``current``: section_url, content_hash, checked_at. A
+    row without hash, of a page that could not be read, leaves the hash as it was."""
+    return merge_keyed(
+        previous, current, "section_url", ["checked_at", "content_hash"],
+        fill=("content_hash",), place=place,
+    )
 
 
-def merge_url_index(previous: DataFrame, run: DataFrame) -> DataFrame:
+def merge_url_index(previous: DataFrame, run: DataFrame, place: Place | None = None) -> DataFrame:
     """Latest content per URL. ``run`` has the index columns and ``seq``, the scan order.
     A row without content hash, of a URL that was not read, leaves the hash as it was and
     gives way to one with it."""
     read = run.withColumn("_read", F.col("content_hash").isNotNull())
     return merge_keyed(
         previous, read, "url", ["_read", "last_seen_at", "seq"],
-        drop=("_read", "seq"), fill=("content_hash",),
+        drop=("_read", "seq"), fill=("content_hash",), place=place,
     )
 
 

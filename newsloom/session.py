@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # rows placed by one column may be joined on it and others without a shuffle
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -1,9 +1,9 @@
 """Writing: the tables of a store and the flat export.
 
-A store is a folder of parquet tables. Logs are appended. The keyed tables (news,
-section snapshots, URL index) are written whole to a new version folder; Spark's
-``_SUCCESS`` file, written last, makes a version visible, so readers never see half
-of one and a failed run leaves the last version in place.
+A store is a folder of parquet tables. Logs are appended. The keyed tables (news, section
+snapshots, URL index) lie in buckets of their URL (``keyed``): a run rewrites only the buckets
+its rows fall into, and a version becomes visible as a whole, so readers never see half of one
+and a failed run leaves the last version in place.
 """
 
 from __future__ import annotations
@@ -19,55 +19,50 @@ from newsloom.operators.change import merge_section_snapshots, merge_url_index
 from newsloom.operators.merge import merge_news
 from newsloom.operators.runs import valid_event
 from newsloom.session import stage
+from newsloom.sources.keyed import BUCKETS, KeyedTable
 
+#: Schema and URL column, which is canonical, of the keyed tables.
 KEYED = {
-    "news": schemas.NEWS,
-    "section_snapshot": schemas.SECTION_SNAPSHOT,
-    "url_index": schemas.URL_INDEX,
+    "news": (schemas.NEWS, "source_url"),
+    "section_snapshot": (schemas.SECTION_SNAPSHOT, "section_url"),
+    "url_index": (schemas.URL_INDEX, "url"),
 }
 
 
 class Store:
-    """The tables of one folder on any file system Spark can reach."""
+    """The tables of one folder on any file system Spark can reach. ``buckets`` is the number
+    of buckets of keyed tables that are not there yet."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-
-    def _versions(self, table: str, before: str | None = None) -> list[str]:
-        """Complete versions, oldest first; with ``before`` only those older than it."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(f"{self.root}/{table}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        paths = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory()]
-        done = [p for p in paths if fs.exists(hadoop.Path(p, "_SUCCESS"))]
-        names = sorted(p.getName() for p in done)
-        return [n for n in names if before is None or n < before]
+        self.tables = {
+            name: KeyedTable(spark, f"{self.root}/{name}", schema, cluster, buckets)
+            for name, (schema, cluster) in KEYED.items()
+        }
 
     def read(self, table: str, before: str | None = None) -> DataFrame:
         """The newest version of a keyed table; empty before the first. A run reads what
         was there ``before`` its own version, so that it can be repeated."""
-        versions = self._versions(table, before)
-        if not versions:
-            return self.spark.createDataFrame([], KEYED[table])
-        path = f"{self.root}/{table}/{versions[-1]}"
-        return self.spark.read.schema(KEYED[table]).parquet(path)
+        return self.tables[table].read(before)
+
+    def look_up(
+        self, table: str, keys: DataFrame, column: str = "url", before: str | None = None
+    ) -> DataFrame:
+        """The rows of a keyed table whose URL is among ``keys``, without moving the others."""
+        return self.tables[table].look_up(keys, column, before)
 
     def check_version(self, version: str) -> None:
         """Refuse a run older than what is stored: its tables would never be read."""
-        for table in KEYED:
-            newest = self._versions(table)[-1:]
+        for name, table in self.tables.items():
+            newest = table.versions()[-1:]
             if newest and version < newest[0]:
-                raise ValueError(f"{table} already has version {newest[0]}, after {version}")
+                raise ValueError(f"{name} already has version {newest[0]}, after {version}")
 
-    def publish(self, table: str, df: DataFrame, version: str) -> None:
-        """Write the next version. Version names sort by time (run ids do); writing a
-        version again replaces it and gives the same rows."""
-        columns = schemas.struct_type(KEYED[table]).fieldNames()
-        path = f"{self.root}/{table}/{version}"
-        df.select(*columns).write.mode("overwrite").parquet(path)
+    def vacuum(self, keep: int = 2) -> None:
+        """Drop old versions of the keyed tables."""
+        for table in self.tables.values():
+            table.vacuum(keep)
 
     def read_logs(self) -> DataFrame:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -106,16 +101,18 @@ class Store:
         valid = stage(
             rows.where(F.col("entry_status").isin(*schemas.ENTRY_STATUSES)), "news-rows"
         )
-        self.publish("news", merge_news(self.read("news", version), valid), version)
+        self.tables["news"].upsert(
+            valid, version, lambda old, batch, place: merge_news(old, batch, place=place)
+        )
         return valid.select("entry_key").distinct().count()
 
     def update_sections(self, current: DataFrame, version: str) -> None:
-        merged = merge_section_snapshots(self.read("section_snapshot", version), current)
-        self.publish("section_snapshot", merged, version)
+        """Put in listing hashes. ``current`` is read several times: stage it."""
+        self.tables["section_snapshot"].upsert(current, version, merge_section_snapshots)
 
     def update_url_index(self, run: DataFrame, version: str) -> None:
-        merged = merge_url_index(self.read("url_index", version), run)
-        self.publish("url_index", merged, version)
+        """Put in URL index rows. ``run`` is read several times: stage it."""
+        self.tables["url_index"].upsert(run, version, merge_url_index)
 
 
 def flat_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

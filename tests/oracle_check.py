@@ -55,8 +55,7 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
 
 
 def main(folder: str, chosen: list[str]) -> int:
-    from newsloom.catalog.oracles import ORACLES
-    from newsloom.catalog.queries import QUERIES
+    from newsloom.catalog import ORACLES, QUERIES
     from newsloom.session import build_session
 
     spark = build_session(
