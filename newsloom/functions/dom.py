@@ -1,15 +1,18 @@
 """Small helpers run inside Python workers: what a page's markup holds.
 
-One pass over the tokens of a page, in time linear in its length whatever the markup,
-and without ever failing on it. Only the stack of open elements is kept, never a tree.
+One pass over the tokens of a page, without ever failing on it. Only the open elements are
+kept, never a tree. Each knows how many steps of each selector the elements around it have
+met, so a start tag is judged by looking at the innermost one alone, and the innermost open
+element of a name is looked up by name. Time is therefore linear in the length of the page,
+but for one case: ending an inline element that a step of a selector named while others stay
+open inside it costs a look at those.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.entities import html5
 
 from newsloom.functions.text import WS_CHARS
@@ -32,7 +35,10 @@ _REFERENCE = re.compile(
     r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[a-zA-Z][a-zA-Z0-9]*+(?:;|(?!=)))"
 )
 # elements whose content is text up to their end tag; True where references are decoded
-_TEXT_ONLY = {"script": False, "style": False, "title": True, "textarea": True}
+_TEXT_ONLY = {
+    "script": False, "style": False, "xmp": False, "iframe": False, "noembed": False,
+    "noframes": False, "title": True, "textarea": True,
+}
 _TEXT_END = {
     name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in _TEXT_ONLY
 }
@@ -124,26 +130,64 @@ class _Compound:
         self.attr = match["attr"]
         self.value = match["value"]
 
-    def fits(self, tag: str, attrs: dict[str, str]) -> bool:
+    def fits(self, tag: str, attrs: dict[str, str], classes: frozenset[str]) -> bool:
         if self.tag and tag != self.tag:
             return False
         if self.attr and attrs.get(self.attr) != self.value:
             return False
-        return not self.classes or self.classes <= set(attrs.get("class", "").split())
+        return self.classes <= classes
+
+
+_NONE: frozenset[str] = frozenset()
+
+
+def _classes(attrs: dict[str, str]) -> frozenset[str]:
+    return frozenset(attrs["class"].split()) if "class" in attrs else _NONE
 
 
 def _path(selector: str) -> list[_Compound]:
     return [_Compound(step) for step in selector.split()]
 
 
+class _Element:
+    """An open element in the chain of open ones. ``steps``: of each selector with several
+    steps, how many of the first ones this element and those around it have met."""
+
+    __slots__ = (
+        "attrs", "captures", "classes", "hidden", "inner", "is_open", "name", "outer", "place",
+        "steps",
+    )
+
+    def __init__(
+        self, name: str, attrs: dict[str, str], outer: _Element | None, place: int, hidden: bool
+    ) -> None:
+        self.name, self.attrs, self.classes = name, attrs, _classes(attrs)
+        self.outer, self.place = outer, place
+        self.hidden = hidden  # inside a template
+        self.inner: _Element | None = None
+        self.steps: tuple[int, ...] = ()
+        self.captures: tuple[str, ...] = ()
+        self.is_open = True
+
+
 class _Finder:
-    """Text, markup and ``content`` attribute of the first match of each selector."""
+    """Text, markup and ``content`` attribute of the first match of each selector.
+
+    What stands inside a ``template`` belongs to no selector, but to the text and markup of
+    the elements around it."""
 
     def __init__(self, selectors: tuple[str, ...]) -> None:
-        self.paths = {s: _path(s) for s in selectors}
-        self.open: list[tuple[str, dict[str, str]]] = []
-        self.counts: Counter[str] = Counter()
-        self.capturing: dict[str, tuple[str, dict[str, str]]] = {}
+        paths = {s: _path(s) for s in selectors}
+        self.deep = [path for path in paths.values() if len(path) > 1]
+        # selectors without a match so far, and where the steps of each are counted
+        places = {id(path): i for i, path in enumerate(self.deep)}
+        self.wanted = {s: (path, places.get(id(path))) for s, path in paths.items()}
+        self.start_steps = (0,) * len(self.deep)
+        self.innermost: _Element | None = None
+        self.named: dict[str, list[_Element]] = {}
+        self.made = 0
+        self.templates = 0
+        self.capturing: dict[str, None] = {}
         self.markup: dict[str, list[str]] = {}
         self.text: dict[str, list[str]] = {}
         self.content: dict[str, str] = {}
@@ -168,64 +212,102 @@ class _Finder:
             if text:
                 self.text[selector].append(text)
 
-    def _drop(self, index: int) -> None:
-        element = self.open.pop(index)
-        self.counts[element[0]] -= 1
-        for selector in [s for s, e in self.capturing.items() if e is element]:
+    def _last(self, names: Iterable[str]) -> _Element | None:
+        """The innermost open element of these names."""
+        found = None
+        for name in names:
+            stack = self.named.get(name)
+            while stack and not stack[-1].is_open:
+                stack.pop()
+            if stack and (found is None or stack[-1].place > found.place):
+                found = stack[-1]
+        return found
+
+    def _drop(self, element: _Element) -> None:
+        """End an open element; those inside it stay open."""
+        element.is_open = False
+        outer, inner = element.outer, element.inner
+        if outer is not None:
+            outer.inner = inner
+        if inner is None:
+            self.innermost = outer
+        else:
+            inner.outer = outer
+            if element.steps != (outer.steps if outer else self.start_steps):
+                while inner is not None:  # the steps that it met count no more
+                    inner.steps = self._steps(inner, inner.outer)
+                    inner = inner.inner
+        self.templates -= element.name == "template"
+        for selector in element.captures:
             del self.capturing[selector]
-        self._emit(f"</{element[0]}>")
+        if self.capturing:
+            self._emit(f"</{element.name}>")
 
     def _close_to(self, names: tuple[str, ...], barriers: frozenset | tuple) -> bool:
         """Close up to the innermost open element of these names before a barrier."""
-        if not any(self.counts[name] for name in names):
+        element = self._last(names)
+        if element is None:
             return False
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name in names:
-                while len(self.open) > i:
-                    self._drop(len(self.open) - 1)
-                return True
-            if name in barriers:
-                return False
-        return False
+        barrier = self._last(barriers)
+        if barrier is not None and barrier.place > element.place:
+            return False
+        while element.is_open:
+            self._drop(self.innermost)
+        return True
+
+    def _steps(self, element: _Element, outer: _Element | None) -> tuple[int, ...]:
+        before = outer.steps if outer else self.start_steps
+        if not before or element.hidden:
+            return before
+        after = before
+        for i, path in enumerate(self.deep):
+            met = before[i]
+            if met + 1 < len(path) and path[met].fits(element.name, element.attrs, element.classes):
+                after = (*after[:i], met + 1, *after[i + 1 :])
+        return after
 
     def _start(self, tag: str, found: dict[str, str]) -> None:
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and "p" in self.named:
             self._close_to(("p",), _SCOPE)
         if tag in _SIBLINGS:
             names, containers = _SIBLINGS[tag]
             self._close_to(names, containers)
-        shown = "".join(f' {k}="{_escape(v, quote=True)}"' for k, v in found.items())
-        self._emit(f"<{tag}{shown}>")
-        element = (tag, found)
-        for selector, path in self.paths.items():
-            if selector not in self.markup and self._matches(path, element):
+        if self.capturing:
+            shown = "".join(f' {k}="{_escape(v, quote=True)}"' for k, v in found.items())
+            self._emit(f"<{tag}{shown}>")
+        outer = self.innermost
+        self.made += 1
+        element = _Element(tag, found, outer, self.made, self.templates > 0)
+        if not self.templates:
+            around = outer.steps if outer else self.start_steps
+            met = [
+                selector
+                for selector, (path, place) in self.wanted.items()
+                if (place is None or around[place] + 1 >= len(path))
+                and path[-1].fits(tag, found, element.classes)
+            ]
+            for selector in met:  # the first match only
+                del self.wanted[selector]
                 self.markup[selector], self.text[selector] = [], []
                 self.content[selector] = found.get("content", "")
                 if tag not in _VOID:
-                    self.capturing[selector] = element
+                    self.capturing[selector] = None
+                    element.captures += (selector,)
         if tag not in _VOID:
-            self.open.append(element)
-            self.counts[tag] += 1
-
-    def _matches(self, path: list[_Compound], element: tuple[str, dict[str, str]]) -> bool:
-        if not path[-1].fits(*element):
-            return False
-        step = len(path) - 2
-        for above in reversed(self.open):
-            if step >= 0 and path[step].fits(*above):
-                step -= 1
-        return step < 0
+            element.steps = self._steps(element, outer)
+            if outer is not None:
+                outer.inner = element
+            self.innermost = element
+            self.named.setdefault(tag, []).append(element)
+            self.templates += tag == "template"
 
     def _end(self, tag: str) -> None:
         if tag == "br":
             self._emit("<br>")
         elif tag in _INLINE:
-            if self.counts[tag]:
-                for i in range(len(self.open) - 1, -1, -1):
-                    if self.open[i][0] == tag:
-                        self._drop(i)
-                        return
+            element = self._last((tag,))
+            if element is not None:
+                self._drop(element)
         elif tag not in _VOID and not self._close_to((tag,), _SCOPE - {tag}) and tag == "p":
             self._emit("<p></p>")
 
@@ -238,12 +320,14 @@ def _escape(text: str, quote: bool = False) -> str:
 
 
 def page_hrefs(markup: str) -> list[str]:
-    """The ``href`` of every link of a page, in order."""
-    return [
-        content["href"]
-        for kind, name, content in _tokens(markup)
-        if kind == "start" and name == "a" and "href" in content
-    ]
+    """The ``href`` of every link of a page, in order; not of those inside a ``template``."""
+    found, templates = [], 0
+    for kind, name, content in _tokens(markup):
+        if name == "template":
+            templates = max(0, templates + (1 if kind == "start" else -1))
+        elif kind == "start" and name == "a" and not templates and "href" in content:
+            found.append(content["href"])
+    return found
 
 
 def page_article(markup: str, selectors: Selectors) -> tuple[str, str]:

@@ -1,7 +1,10 @@
 """Listing pages, article pages, thin pages."""
 
+import random
+import time
 from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsloom import schemas
@@ -15,7 +18,7 @@ from newsloom.operators.articles import (
     native_article,
 )
 from newsloom.operators.links import explode_links, listing_links, native_hrefs
-from newsloom.sites import AGFUNDER, INC42_PAGES
+from newsloom.sites import AGFUNDER, INC42_PAGES, SOURCES
 from newsloom.specs import Selectors
 
 LISTING = """<!doctype html><title>front <a href="/in-title">no</a></title>
@@ -205,6 +208,84 @@ def test_broken_markup_neither_fails_nor_takes_long():
     assert page_article("<h1>a<![CDATA[b]]>c</h1><div>d<br/x", rules) == ("ac", "d")
 
 
+@pytest.mark.parametrize("spec", SOURCES, ids=lambda s: s.source_id)
+def test_nested_markup_takes_linear_time(spec):
+    selectors = replace(spec.selectors, bodies=(*spec.selectors.bodies, ".a .b div", "p .c span"))
+
+    def seconds(count, page):
+        started = time.process_time()
+        page_article(page(count), selectors)
+        return time.process_time() - started
+
+    pages = (
+        lambda n: "<div class='a'>" * n,
+        lambda n: "<div class='text-wrapper'>" * n,
+        lambda n: "<p><object>" + "<x><div>" * (n // 2),
+        lambda n: "<span class=a>" * (n // 2) + "</span>" * (n // 2),
+        lambda n: "<b><div>" * (n // 4) + "</b>" * (n // 4) + "</div>" * (n // 4),
+        lambda n: "<span class=a><div>" * (n // 4) + "</span>" * (n // 4),
+        lambda n: "<ul><li>" * (n // 2),
+        lambda n: "<table><tr><td>" * (n // 3),
+    )
+    for page in pages:  # eight times the markup; a quadratic walk takes 64 times as long
+        assert seconds(160_000, page) < 20 * seconds(20_000, page) + 0.5, page(20)
+
+
+def _plain_match(chain, path):
+    """The last of a chain of (tag, class) fits the path, the rest around it in order."""
+    def fits(step, element):
+        tag, _, name = step.partition(".")
+        return (not tag or tag == element[0]) and (not name or name == element[1])
+
+    if not chain or not fits(path[-1], chain[-1]):
+        return False
+    rest = list(path[:-1])
+    for element in chain[:-1]:
+        if rest and fits(rest[0], element):
+            rest.pop(0)
+    return not rest
+
+
+def test_descendant_selectors_equal_a_search_of_the_chain():
+    draw = random.Random(6)
+    paths = [(".a", ".b"), ("span.a", "div", ".b"), ("div", "div", "div.c"), ("b", "span.c")]
+    for _ in range(400):
+        chain, markup, first, number = [], [], {}, 0
+        for _ in range(draw.randint(3, 40)):
+            if chain and draw.random() < 0.4:
+                inline = [i for i, e in enumerate(chain) if e[0] in ("span", "b")]
+                at = draw.choice(inline) if inline and draw.random() < 0.5 else len(chain) - 1
+                tag = chain[at][0]
+                at = max(i for i, e in enumerate(chain) if e[0] == tag)
+                markup.append(f"</{tag}>")
+                # an inline element ends alone, another takes with it what is open inside
+                chain = chain[:at] + (chain[at + 1 :] if tag in ("span", "b") else [])
+            else:
+                element = draw.choice(("div", "span", "b")), draw.choice(("a", "b", "c"))
+                chain.append(element)
+                number += 1
+                markup.append(f"<{element[0]} class={element[1]} id=n{number}><i>{number}</i>")
+                for path in paths:
+                    if path not in first and _plain_match(chain, path):
+                        first[path] = str(number)
+        for path in paths:
+            body = page_article("".join(markup), Selectors(bodies=(" ".join(path),)))[1]
+            got = body.partition("<i>")[2].partition("</i>")[0] if body else None
+            assert got == first.get(path), (path, "".join(markup))
+
+
+def test_templates_and_raw_text():
+    rules = Selectors(titles=("h1",), bodies=("article",))
+    page = (
+        "<template><h1>shape</h1><article>row</article><a href=/t>t</a></template>"
+        "<iframe><h1>frame</h1></iframe><xmp><h1>raw</h1></xmp><noframes><article>n</article>"
+        "</noframes><h1>Real</h1><article>x<template><p>y</p></template>z</article><a href=/u>u</a>"
+    )
+    assert page_article(page, rules) == ("Real", "x<template><p>y</p></template>z")
+    assert page_hrefs(page) == ["/u"]
+    assert page_hrefs("</template><a href=/v>") == ["/v"]
+
+
 def test_attribute_values():
     cases = {
         "<a href='/s?a=1&copy=2&amp;b=3&lt=4'>": "/s?a=1&copy=2&b=3&lt=4",
