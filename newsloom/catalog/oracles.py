@@ -616,6 +616,22 @@ SELECT l.entry_key, l.url AS source_url, coalesce(f.source_id, 'again') AS sourc
        'updated' AS entry_status, '1970-01-03T00:00:00.000Z' AS discovered_at, l.content_hash
 FROM lasts l LEFT JOIN firsts f USING (entry_key)"""
 
+bucketed_upsert = f"""
+WITH {_DOCS},
+firsts AS (
+  SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY entry_key ORDER BY doc_id DESC) = 1
+),
+seconds AS (
+  SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+  QUALIFY row_number() OVER (PARTITION BY entry_key ORDER BY doc_id DESC) = 1
+)
+SELECT f.entry_key, f.source_id, 'doc ' || coalesce(s.doc_id, f.doc_id) AS description,
+       CASE WHEN s.doc_id IS NULL THEN 'new' ELSE 'updated' END AS entry_status,
+       CASE WHEN s.doc_id IS NULL THEN '1970-01-02T00:00:00.000Z'
+            ELSE '1970-01-03T00:00:00.000Z' END AS discovered_at,
+       true AS files_as_expected
+FROM firsts f LEFT JOIN seconds s USING (entry_key)"""
+
 _ACCEPTED = "SELECT * FROM decided WHERE action = 'new'"
 
 news_store = f"""
@@ -883,6 +899,9 @@ ORACLES: dict[str, str] = {
     "fresh_urls": fresh_urls,
     "freshness": freshness,
     "change_states": change_states,
+    "change_states_stored": change_states,
+    "fresh_urls_stored": fresh_urls,
+    "bucketed_upsert": bucketed_upsert,
     "url_index_merge": url_index_merge,
     "scan_caps": scan_caps,
     "event_caps": event_caps,

@@ -61,7 +61,7 @@ from newsloom.operators.runs import (
     size_profile,
     source_stats,
 )
-from newsloom.operators.select import cap_items, cap_new_rows, mark_duplicates
+from newsloom.operators.select import cap_items, cap_scan, mark_duplicates
 from newsloom.operators.skew import keep_first
 from newsloom.operators.snapshots import (
     is_article_complete,
@@ -375,6 +375,74 @@ def url_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("last_seen_at", iso_time("last_seen_at"))
 
 
+def _as_news(rows: DataFrame) -> DataFrame:
+    """News rows with nulls for what is not given, in the order given as ``seq``."""
+    fields = schemas.struct_type(schemas.NEWS).fields
+    return rows.select(
+        *(
+            F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in fields
+        ),
+        F.col("seq") if "seq" in rows.columns else F.lit(0).alias("seq"),
+    )
+
+
+def change_states_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same states, of news and an index that lie in the buckets of a store."""
+    docs, index, news = _document_index(spark, sf_dir)
+    store = Store(spark, _folder(spark, "state"), buckets=8)
+    urls = docs.select("entry_key", F.col("url").alias("source_url"))
+    known = news.join(urls.distinct(), "entry_key").withColumn("entry_status", F.lit("new"))
+    store.upsert_news(_as_news(known), "v1")
+    store.update_url_index(stage(index.withColumn("seq", F.lit(0)), "index"), "v1")
+    rows = docs.select("doc_id", "url", "content_hash", "entry_key")
+    near = State.of(store, "v2").near(rows)
+    return change_status(rows, near.url_index, near.news).select("doc_id", "change_status")
+
+
+def fresh_urls_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fresh URLs, of news that lie in the buckets of a store."""
+    links = si.pages(spark, sf_dir).select("page_id", "url")
+    store = Store(spark, _folder(spark, "news"), buckets=8)
+    feed = _feed_news(spark, sf_dir).distinct().select(
+        "source_url", F.md5("source_url").alias("entry_key"), F.lit("new").alias("entry_status")
+    )
+    store.upsert_news(_as_news(feed), "v1")
+    near = State.of(store, "v2").near(links.select(canonical_url("url").alias("url")))
+    return fresh_links(links, near.news, canonical=True)
+
+
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as news in 64 buckets, then the toxic ones once more: what is stored, and
+    whether the file of each row is the old one just where its bucket got none of those."""
+    docs = stage(_keyed_documents(spark, sf_dir).drop("text"), "keyed")
+    labels = si.table(spark, sf_dir, "labels")
+    first = _news(docs, "new", 1)
+    second = _news(docs.join(labels.where("toxic = 1"), "doc_id", "left_semi"), "updated", 2)
+    store = Store(spark, _folder(spark, "buckets"), buckets=64)
+    table = store.tables["news"]
+    store.upsert_news(first, "v1")
+    before = table.folders()[0]
+    store.upsert_news(second, "v2")
+    after, buckets = table.folders()
+    touched = stage(second, "second").select(
+        F.pmod(F.hash("source_url"), F.lit(buckets)).alias("bucket"), F.lit(True).alias("hit")
+    ).distinct()
+    files = spark.createDataFrame(
+        [(b, before[b] == after[b]) for b in sorted(after)], "bucket int, same_file boolean"
+    ).join(touched, "bucket", "left")
+    return (
+        store.read("news")
+        .withColumn("bucket", F.pmod(F.hash("source_url"), F.lit(buckets)))
+        .join(F.broadcast(files), "bucket")
+        .select(
+            "entry_key", "source_id", "description", "entry_status",
+            iso_time("discovered_at").alias("discovered_at"),
+            (F.col("same_file") == F.col("hit").isNull()).alias("files_as_expected"),
+        )
+    )
+
+
 # --- limits -------------------------------------------------------------------------
 
 
@@ -387,7 +455,7 @@ def scan_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Limits too large for one task: block-wise running counts per event type."""
+    """Limits too large for one task: running counts per event type, in one ranged pass."""
     events = si.table(spark, sf_dir, "events").select(
         F.lit("r").alias("run_id"),
         F.col("event_type").alias("source_id"),
@@ -395,8 +463,7 @@ def event_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("link_pos"),
         "value",
     )
-    scanned = cap_items(events, 1500)
-    kept = cap_new_rows(scanned, 900, F.col("value") > 10, None)
+    kept = cap_scan(events, 1500, 900, F.col("value") > 10)
     return kept.select("source_id", F.col("link_pos").alias("event_id"), "value")
 
 
@@ -921,6 +988,9 @@ QUERIES: dict[str, Query] = {
         freshness,
         change_states,
         url_index_merge,
+        change_states_stored,
+        fresh_urls_stored,
+        bucketed_upsert,
         scan_caps,
         event_caps,
         snapshot_articles,

@@ -9,6 +9,9 @@ pages, ``events`` crawl events.
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +27,30 @@ from newsloom.specs import (
 LANGS = ("de", "en", "es", "fr")
 DOMAINS = ("com", "net", "org")
 NO_CUT = 1_000_000_000
-NO_LIMIT = 1_000_000_000
 
 CONFIG = RunConfig(
     run_id="2024-02-01T00-00-00-000Z",
     run_date="2024-02-01",
     started_at="2024-02-01T00:00:00Z",
-    max_sections=NO_LIMIT,
 )
 COMPLETED_AT = "2024-02-01T00:10:00Z"
 
 EXTRACTOR = KeywordExtractor(("the", "nicht", "elle", "worthless", "license"))
 
+
+@dataclass(frozen=True)
+class SignedExtractor:
+    """The keyword extractor, whose answers say which one gave them."""
+
+    name: str
+
+    def __call__(self, payloads: list[str]) -> list[str]:
+        return [
+            json.dumps(json.loads(answer) | {"isRelevant": True, "description": self.name})
+            for answer in EXTRACTOR(payloads)
+        ]
+
+
 SLUG_RULE = ArticleRule(
     excluded_paths=("/", "/and"),
     blocked_prefixes=("/tion",),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import count_words
@@ -23,19 +23,35 @@ _COUNTED = (
 )
 
 
-def source_stats(activity: DataFrame, durations: DataFrame | None = None) -> DataFrame:
+def run_spine(spark: SparkSession, runs: Sequence[str], sources: Sequence[str]) -> DataFrame:
+    """``run_id, source_id`` of each run and source, whether they have activity or not."""
+    return spark.createDataFrame(
+        [(run, source) for run in runs for source in sources], "run_id string, source_id string"
+    )
+
+
+def source_stats(
+    activity: DataFrame, durations: DataFrame | None = None, spine: DataFrame | None = None
+) -> DataFrame:
     """The nine counters per run and source.
 
     ``activity`` has one row per processed listing page (``kind`` "section", action
     null, ``section_unchanged`` or ``error``) and per scanned article (``kind``
     "article"). ``durations`` (source_id, duration_ms) is handed in, one row per
-    source. The sums are combined before the shuffle, so a large source is no burden."""
+    source. The sums are combined before the shuffle, so a large source is no burden.
+    ``spine`` (run_id, source_id, each once) adds a row of zeros for each run and source
+    without activity."""
     counts = activity.groupBy("run_id", "source_id").agg(
         F.count_if(F.col("kind") == "section").alias("sections_checked"),
         F.count_if(F.col("action") == "section_unchanged").alias("sections_skipped"),
         F.count_if(F.col("kind") == "article").alias("articles_scanned"),
         *(F.count_if(F.col("action") == action).alias(name) for name, action in _COUNTED),
     )
+    if spine is not None:
+        names = [c for c in counts.columns if c not in ("run_id", "source_id")]
+        counts = spine.join(counts, ["run_id", "source_id"], "full").select(
+            "run_id", "source_id", *(F.coalesce(n, F.lit(0)).alias(n) for n in names)
+        )
     if durations is None:
         return counts.withColumn("duration_ms", F.lit(0).cast("long"))
     return counts.join(durations, "source_id", "left").select(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsloom.operators.skew import flag_first, rows_before_limit
+from newsloom.operators.skew import flag_first, rows_before_limit, rows_before_limits
 
 WINDOW_CAP = 200
 RUN_SOURCE = ("run_id", "source_id")
@@ -26,11 +26,42 @@ def is_window_cap(max_items: int | None) -> bool:
     return max_items is not None and max_items <= WINDOW_CAP
 
 
-def first_sections(seeds: DataFrame, max_sections: int | None) -> DataFrame:
-    """The first listing pages of each source, in seed order; all of them when None."""
+def first_sections(
+    seeds: DataFrame, max_sections: int | None, previous: DataFrame | None = None
+) -> DataFrame:
+    """The first listing pages of each source, in seed order; all of them when None.
+
+    With ``previous``, the stored section hashes, those that were never checked come first,
+    then those checked longest ago, so that what the limit leaves out is read by the next
+    runs. ``seeds`` is read twice then."""
     if max_sections is None:
         return seeds
-    return seeds.where(F.col("section_ord") < max_sections)
+    if previous is None:
+        return seeds.where(F.col("section_ord") < max_sections)
+    checked = previous.select("section_url", F.unix_micros("checked_at").alias("_checked"))
+    aged = seeds.join(checked, "section_url", "left").withColumn(
+        "_checked", F.coalesce("_checked", F.lit(-1))
+    )
+    chosen = cap_items(aged, max_sections, ["source_id"], ["_checked", "section_ord"])
+    return chosen.select(*seeds.columns)
+
+
+def cap_scan(
+    rows: DataFrame,
+    max_items: int | None,
+    max_new: int | None,
+    accepted: Column,
+    keys: Sequence[str] = RUN_SOURCE,
+    order: Sequence[str] = SCAN_ORDER,
+) -> DataFrame:
+    """``cap_items`` and ``cap_new_rows`` at once, for rows whose outcome is known: one
+    ranged and staged pass gives the running counts of both."""
+    limits = []
+    if max_items is not None:
+        limits.append((F.lit(1), max_items))
+    if max_new is not None:
+        limits.append((F.when(accepted, F.lit(1)).otherwise(F.lit(0)), max_new))
+    return rows_before_limits(rows, keys, order, limits) if limits else rows
 
 
 def cap_items(

@@ -1,7 +1,7 @@
 """Building blocks that stay balanced when one key holds a large share of all rows.
 
 * ``keep_first`` / ``flag_first``: first row per key,
-* ``rows_before_limit``: the start of an ordered group of any size, up to a sum,
+* ``rows_before_limit(s)``: the start of an ordered group of any size, up to sums,
 * ``spread_join``: join of a table with hot keys to a table with one row per key.
 
 None of them brings a whole group into one task, and none drops rows.
@@ -78,18 +78,32 @@ def rows_before_limit(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, limit: int
 ) -> DataFrame:
     """The rows of each key before which ``value`` (never negative) sums to less than
-    ``limit``, in the given order, which must tell the rows of a key apart.
+    ``limit``, in the given order; see ``rows_before_limits``."""
+    return rows_before_limits(df, keys, order, [(value, limit)])
+
+
+def rows_before_limits(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    limits: Sequence[tuple[Column, int]],
+) -> DataFrame:
+    """The rows of each key before which each value (never negative) sums to less than its
+    limit, in the given order, which must tell the rows of a key apart. As each limit keeps
+    a beginning of the key, it does not matter in which order they are applied.
 
     The rows are cut into ranges of keys and order, so a large key lies in many ranges,
     and staged with their range number, which a lost task can therefore not change. What
-    came before a range is a running sum over at most one small row per key and range.
-    Ranges that start beyond the limit fall away; the others are sorted by themselves.
+    came before a range is a running sum over at most one small row per key and range, for
+    all limits at once. Ranges that start beyond a limit fall away; the others are sorted by
+    themselves.
 
     ``df`` is read twice, as finding the ranges takes a sample of it. If it is costly,
     stage it first."""
     parts = shuffle_partitions(df.sparkSession)
+    names = [f"_value{i}" for i in range(len(limits))]
     ranged = stage(
-        df.withColumn("_value", value)
+        df.withColumns({n: v for n, (v, _) in zip(names, limits, strict=True)})
         .repartitionByRange(parts, *keys, *order)
         .withColumn("_range", F.spark_partition_id()),
         "ranges",
@@ -97,17 +111,32 @@ def rows_before_limit(
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     outer = before.partitionBy(*keys).orderBy("_range")
     inner = before.partitionBy(*keys, "_range").orderBy(*order)
+    open_ranges, open_rows = F.lit(True), F.lit(True)
+    for name, (_, limit) in zip(names, limits, strict=True):
+        open_ranges &= F.col(f"_base{name}") < limit
+        open_rows &= F.col(f"_before{name}") < limit
     bases = (
         ranged.groupBy(*keys, "_range")
-        .agg(F.sum("_value").alias("_total"))
-        .select(*keys, "_range", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_base"))
-        .where(F.col("_base") < limit)
+        .agg(*(F.sum(n).alias(f"_total{n}") for n in names))
+        .select(
+            *keys,
+            "_range",
+            *(
+                F.coalesce(F.sum(f"_total{n}").over(outer), F.lit(0)).alias(f"_base{n}")
+                for n in names
+            ),
+        )
+        .where(open_ranges)
     )
+    earlier = {
+        f"_before{n}": F.col(f"_base{n}") + F.coalesce(F.sum(n).over(inner), F.lit(0))
+        for n in names
+    }
     return (
         ranged.join(bases, [*keys, "_range"])
-        .withColumn("_before", F.col("_base") + F.coalesce(F.sum("_value").over(inner), F.lit(0)))
-        .where(F.col("_before") < limit)
-        .drop("_value", "_range", "_base", "_before")
+        .withColumns(earlier)
+        .where(open_rows)
+        .select(*df.columns)
     )
 
 

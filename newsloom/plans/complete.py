@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from newsloom.functions.answers import is_complete_extraction
 from newsloom.operators.classify import stored
 from newsloom.operators.extract import Extractor
+from newsloom.operators.journal import AnswerJournal
 from newsloom.operators.runs import (
     activity,
     article_events,
+    run_spine,
     run_summary,
     section_events,
     source_stats,
@@ -25,7 +27,7 @@ from newsloom.plans.discover import State, discover, left_out
 from newsloom.schemas import LOG_COLUMNS, NEWS_COLUMNS
 from newsloom.session import stage
 from newsloom.sources.store import Store, export_flat
-from newsloom.specs import RunConfig, SourceSpec
+from newsloom.specs import RunConfig, SourceSpec, enabled
 
 
 SEQ = [("source_ord", "int"), ("section_ord", "int"), ("link_pos", "bigint")]
@@ -37,6 +39,23 @@ class RunResult:
     stats: DataFrame
     summary: DataFrame
     events: DataFrame
+    left: DataFrame | None = None
+
+
+def left_counts(
+    links: DataFrame | None, sections: DataFrame | None
+) -> DataFrame | None:
+    """Per run and source the links and listing pages that limits leave to later runs."""
+    parts = [
+        rows.select("run_id", "source_id", F.lit(kind).alias("kind"))
+        for rows, kind in ((links, "link"), (sections, "section")) if rows is not None
+    ]
+    if not parts:
+        return None
+    return union_events(*parts).groupBy("run_id", "source_id").agg(
+        F.count_if(F.col("kind") == "link").alias("links_left"),
+        F.count_if(F.col("kind") == "section").alias("sections_left"),
+    )
 
 
 def news_rows(outcomes: DataFrame, discovered_at: str) -> DataFrame:
@@ -101,9 +120,19 @@ def index_rows(outcomes: DataFrame, seen_at: str) -> DataFrame:
     )
 
 
-def section_rows(sections: DataFrame, checked_at: str) -> DataFrame:
-    """Listing hashes of the pages that were read."""
-    return sections.where(F.col("link_hash").isNotNull() & F.col("reason").isNull()).select(
+def section_rows(sections: DataFrame, checked_at: str, failed: bool = False) -> DataFrame:
+    """Listing hashes of the pages that were read, and when. With ``failed`` also of those
+    that could not be read, which leaves their hash as it was: where a limit rotates the
+    pages, they must not come first each time."""
+    read = F.col("link_hash").isNotNull() & (
+        F.col("reason").isNull() | F.col("action").eqNullSafe("section_unchanged")
+    )
+    if failed:
+        read |= F.col("action").eqNullSafe("error")
+        sections = sections.withColumn(
+            "link_hash", F.when(~F.col("action").eqNullSafe("error"), F.col("link_hash"))
+        )
+    return sections.where(read).select(
         "section_url",
         F.col("link_hash").alias("content_hash"),
         F.lit(checked_at).cast("timestamp").alias("checked_at"),
@@ -116,9 +145,11 @@ def summarize(
     config: RunConfig,
     completed_at: str,
     durations: DataFrame | None = None,
+    spine: DataFrame | None = None,
 ) -> RunResult:
-    """Counters, summary and log events of classified rows, without writing anything."""
-    stats = source_stats(activity(outcomes, sections), durations)
+    """Counters, summary and log events of classified rows, without writing anything. With a
+    ``spine`` (run_id, source_id) runs and sources without activity count too."""
+    stats = source_stats(activity(outcomes, sections), durations, spine)
     summary = run_summary(stats, config, completed_at)
     parts = [article_events(outcomes), summary_event(summary)]
     if sections is not None:
@@ -136,6 +167,8 @@ def complete_run(
     version: str | None = None,
     exports: str | None = None,
     wanted: DataFrame | None = None,
+    left_sections: DataFrame | None = None,
+    spine: DataFrame | None = None,
 ) -> RunResult:
     """Write a run: logs, then the news, then the URL index and the section hashes. A run
     that fails in between leaves articles that the next one reads again, and none that the
@@ -143,11 +176,15 @@ def complete_run(
 
     The outcomes are staged once, so the extractor is not called again for each of the
     tables. All writes can be repeated for the same ``version``. ``wanted`` are the links
-    before the limits; those without outcome are carried over in the index."""
+    before the limits; those without outcome are carried over in the index. Sections that a
+    limit left out are the next run's first, as they were checked longest ago."""
     version = version or config.run_id
     staged = stage(outcomes, "outcomes")
     pending = None if wanted is None else left_out(wanted, staged)
-    result = summarize(staged, sections, config, completed_at, durations)
+    result = replace(
+        summarize(staged, sections, config, completed_at, durations, spine),
+        left=left_counts(pending, left_sections),
+    )
     if config.store_tables:
         store.append_logs(result.events, config.run_date, version, completed_at)
         store.upsert_news(news_rows(staged, completed_at), version)
@@ -156,7 +193,13 @@ def complete_run(
         )
         store.update_url_index(stage(index, "index-rows"), version)
         if sections is not None:
-            store.update_sections(section_rows(sections, completed_at), version)
+            store.update_sections(
+                stage(
+                    section_rows(sections, completed_at, config.max_sections is not None),
+                    "section-rows",
+                ),
+                version,
+            )
     if config.store_flat:
         if exports is None:
             raise ValueError("store_flat needs a folder for exports")
@@ -178,6 +221,7 @@ def run_cycle(
     exports: str | None = None,
     version: str | None = None,
     durations: DataFrame | None = None,
+    journal: AnswerJournal | None = None,
 ) -> RunResult:
     """One cycle: discover over all enabled sources from the stored state, then complete.
 
@@ -194,7 +238,9 @@ def run_cycle(
         State.of(store, version),
         extractor,
         parallelism,
+        journal,
     )
+    spine = run_spine(spark, [config.run_id], [s.source_id for s in enabled(specs)])
     return complete_run(
         found.candidates,
         found.sections,
@@ -205,4 +251,6 @@ def run_cycle(
         exports=exports,
         wanted=found.wanted,
         durations=durations,
+        left_sections=found.left_sections,
+        spine=spine,
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from newsloom.operators.articles import (
 from newsloom.operators.change import change_status, fresh_links, section_diff, unfinished
 from newsloom.operators.classify import accepted, classify, early_reason, to_extract
 from newsloom.operators.extract import Extractor, extract_with
+from newsloom.operators.journal import AnswerJournal
 from newsloom.operators.links import by_source, explode_links, listing_links
 from newsloom.operators.select import (
     cap_items,
@@ -50,11 +52,14 @@ from newsloom.specs import RunConfig, SourceSpec, enabled
 
 @dataclass(frozen=True)
 class State:
-    """What earlier runs left behind; None where there is nothing."""
+    """What earlier runs left behind; None where there is nothing. Of a ``store``, runs look
+    up the rows of their own URLs (``near``); its URLs are canonical."""
 
     news: DataFrame | None = None
     url_index: DataFrame | None = None
     section_snapshot: DataFrame | None = None
+    store: Store | None = None
+    version: str | None = None
 
     @staticmethod
     def of(store: Store, version: str) -> State:
@@ -63,6 +68,19 @@ class State:
             store.read("news", version),
             store.read("url_index", version),
             store.read("section_snapshot", version),
+            store,
+            version,
+        )
+
+    def near(self, links: DataFrame, url: str = "url") -> State:
+        """The state cut to the URLs of ``links``, which is read several times. Tables that
+        are not of a store stay whole."""
+        if self.store is None:
+            return self
+        return replace(
+            self,
+            news=self.store.look_up("news", links, url, self.version),
+            url_index=self.store.look_up("url_index", links, url, self.version),
         )
 
 
@@ -70,11 +88,13 @@ class State:
 class Found:
     """``sections``: one row per processed listing page with ``action`` and ``reason``.
     ``candidates``: one row per scanned link with its article. ``wanted``: where a limit
-    may have left links out, all that were to be scanned (run_id, source_id, url)."""
+    may have left links out, all that were to be scanned (run_id, source_id, url).
+    ``left_sections``: the listing pages that a limit leaves to later runs."""
 
     sections: DataFrame
     candidates: DataFrame
     wanted: DataFrame | None = None
+    left_sections: DataFrame | None = None
 
 
 CANDIDATE_COLUMNS = (
@@ -128,16 +148,18 @@ def _latest_snapshots(
 
 
 def _drop_known(
-    links: DataFrame, specs: Sequence[SourceSpec], news: DataFrame | None
+    links: DataFrame, specs: Sequence[SourceSpec], state: State
 ) -> DataFrame:
     """Without the URLs that are in the news, for the sources that want fresh ones only."""
     picky = [s.source_id for s in specs if s.fresh_only]
-    if news is None or not picky:
+    if state.news is None or not picky:
         return links
-    if len(picky) == len(specs):
-        return fresh_links(links, news)
+    if state.store is not None:
+        links = stage(links, "found-links")
     chosen = F.col("source_id").isin(picky)
-    return links.where(~chosen).unionByName(fresh_links(links.where(chosen), news))
+    some = links if len(picky) == len(specs) else links.where(chosen)
+    fresh = fresh_links(some, state.near(some).news, canonical=state.store is not None)
+    return fresh if len(picky) == len(specs) else links.where(~chosen).unionByName(fresh)
 
 
 def html_candidates(
@@ -154,7 +176,7 @@ def html_candidates(
 
     ``max_sections`` is a bound on the number of seeds known beforehand, None when the
     seeds are a table of unknown size."""
-    first = first_sections(seeds, config.max_sections)
+    first, left = _choose_sections(seeds, config, state)
     listings = join_sections(first, pages, max_sections)
     most = config.max_rows(specs)
     if config.snapshot_fallback and snapshots is not None:
@@ -186,13 +208,14 @@ def html_candidates(
         links = links.where(~F.col("is_unchanged"))
     else:
         # only the links of unchanged listings need the index
+        same = links.where("is_unchanged")
+        near = state.near(same)
         again = spread_join(
-            links.where("is_unchanged"),
-            unfinished(state.url_index, state.news, config.entry_key_prefix),
-            ["url"], "left_semi",
+            same, unfinished(near.url_index, near.news, config.entry_key_prefix), ["url"],
+            "left_semi",
         )
         links = links.where(~F.col("is_unchanged")).unionByName(again)
-    links = _drop_known(links.drop("is_unchanged"), specs, state.news)
+    links = _drop_known(links.drop("is_unchanged"), specs, state)
     if config.max_items is not None:
         links = stage(links, "links")
     # every later step reads the scanned links
@@ -218,7 +241,22 @@ def html_candidates(
         done.select(*SECTION_COLUMNS),
         candidates.select(*CANDIDATE_COLUMNS),
         _wanted(links, config),
+        left,
+    )
+
+
+def _choose_sections(
+    seeds: DataFrame, config: RunConfig, state: State
+) -> tuple[DataFrame, DataFrame | None]:
+    """The listing pages of this run, and those a limit leaves out (run_id, source_id,
+    section_url)."""
+    if config.max_sections is None:
+        return seeds, None
+    chosen = stage(first_sections(seeds, config.max_sections, state.section_snapshot), "seeds")
+    left = seeds.join(
+        chosen.select("source_id", "section_url"), ["source_id", "section_url"], "left_anti"
     )
+    return chosen, left.select(F.lit(config.run_id).alias("run_id"), "source_id", "section_url")
 
 
 def _wanted(links: DataFrame, config: RunConfig) -> DataFrame | None:
@@ -249,9 +287,8 @@ def snapshot_candidates(
 
     A listing may have several snapshots, one per scroll step; their links are merged
     in the order seen. A listing behind a login wall ends its source with an error."""
-    first = first_sections(seeds, config.max_sections).withColumn(
-        "section_key", canonical_url("section_url")
-    )
+    first, left = _choose_sections(seeds, config, state)
+    first = first.withColumn("section_key", canonical_url("section_url"))
     keyed = snapshots.withColumn("url", canonical_url("url"))
     # a listing may hold most of the snapshots: its steps are spread, not grouped
     listed = keyed.withColumnRenamed("url", "section_key")
@@ -293,7 +330,7 @@ def snapshot_candidates(
         # one place per step and position; only the order counts
         (F.shiftleft(F.col("attempt").cast("long"), 32) + F.col("link_pos")).alias("link_pos"),
     )
-    links = _drop_known(merged, specs, state.news)
+    links = _drop_known(merged, specs, state)
     if config.max_items is not None:
         links = stage(links, "links")
     scanned = stage(cap_items(links, config.max_items), "scanned")
@@ -321,6 +358,7 @@ def snapshot_candidates(
         sections.select(*SECTION_COLUMNS),
         candidates.select(*CANDIDATE_COLUMNS),
         _wanted(links, config),
+        left,
     )
 
 
@@ -349,18 +387,24 @@ def settle(
     extractor: Extractor | None = None,
     parallelism: int | None = None,
     answers: str | None = None,
+    journal: AnswerJournal | None = None,
 ) -> DataFrame:
     """One outcome per candidate: identity, duplicates, change, extraction, decision, limit.
 
     The row order of a source only matters for duplicates and the limit on new rows;
     everything between runs in parallel over all rows. The candidates have been cut to
-    ``config.max_items`` per source; without that limit they are staged, as the look-up
-    in the URL index reads them twice. ``answers`` names a column of
-    raw answers that were obtained beforehand; it takes the place of the extractor."""
+    ``config.max_items`` per source; they are staged for look-ups in a store, and without
+    that limit, as the look-up in the URL index reads them twice. ``answers`` names a column of
+    raw answers that were obtained beforehand; it takes the place of the extractor. With a
+    ``journal`` only payloads are asked that no run has answered. Candidates that come with
+    a ``change_status`` are not looked up in the state."""
     on = extractor is not None or answers is not None
     most = config.max_rows(specs)
-    if state.url_index is not None and not is_small(most):
-        candidates = stage(candidates, "candidates")
+    judged = "change_status" in candidates.columns
+    if not judged:
+        if state.store is not None or (state.url_index is not None and not is_small(most)):
+            candidates = stage(candidates, "candidates")
+        state = state.near(candidates)
     keyed = (
         candidates.withColumn(
             "min_body_chars", F.expr(by_source(specs, lambda s: str(s.min_body_chars)))
@@ -372,7 +416,7 @@ def settle(
         )
         .withColumn("entry_key", entry_key("url", "content_hash", config.entry_key_prefix))
     )
-    known = change_status(
+    known = keyed if judged else change_status(
         keyed, state.url_index, state.news, config.entry_key_prefix, max_rows=most
     )
     flagged = mark_duplicates(known, config.max_items)
@@ -381,11 +425,12 @@ def settle(
             "extraction", F.when(to_extract(True), parse_extraction(answers))
         ).drop(answers)
     else:
-        if parallelism is not None and on:
+        if parallelism is not None and on and journal is None:
             flagged = stage(flagged, "flagged")
         answered = extract_with(
             flagged, extractor, to_extract(on), config.extract_max_chars,
-            parallelism if on else None,
+            parallelism if on else None, seconds=config.extract_seconds, journal=journal,
+            run_id=config.run_id,
         )
     if "raw_url" in answered.columns:
         answered = answered.withColumn("url", F.coalesce("url", "raw_url")).drop("raw_url")
@@ -404,6 +449,7 @@ def discover(
     state: State = State(),
     extractor: Extractor | None = None,
     parallelism: int | None = None,
+    journal: AnswerJournal | None = None,
 ) -> Found:
     """All enabled sources in one job, HTML and snapshot sources side by side.
 
@@ -430,13 +476,19 @@ def discover(
             )
     if not parts:
         raise ValueError("no enabled source has pages or snapshots to read")
-    sections, candidates, wanted = parts[0].sections, parts[0].candidates, parts[0].wanted
-    for part in parts[1:]:
-        sections = sections.unionByName(part.sections)
-        candidates = candidates.unionByName(part.candidates)
-        wanted = wanted if wanted is None else wanted.unionByName(part.wanted)
-    outcomes = settle(candidates, active, config, state, extractor, parallelism)
-    return Found(sections, outcomes, wanted)
+    def united(frames: list[DataFrame | None]) -> DataFrame | None:
+        if frames[0] is None:  # a limit holds for all kinds of sources or for none
+            return None
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    candidates = united([p.candidates for p in parts])
+    outcomes = settle(
+        candidates, active, config, state, extractor, parallelism, journal=journal
+    )
+    return Found(
+        united([p.sections for p in parts]), outcomes, united([p.wanted for p in parts]),
+        united([p.left_sections for p in parts]),
+    )
 
 
 def with_run(config: RunConfig, run_id: str) -> RunConfig:

@@ -102,6 +102,8 @@ class RunConfig:
     max_attempts: int | None = None
     # characters of the body that the extractor is given; hashes are of the whole text
     extract_max_chars: int | None = None
+    # seconds after which a batch of the extractor is given up
+    extract_seconds: float | None = None
     min_html_chars: int = MIN_HTML_CHARS
     entry_key_prefix: str = ENTRY_KEY_PREFIX
     snapshot_fallback: bool = False
