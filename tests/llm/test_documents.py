@@ -81,16 +81,6 @@ def _normal(line):
     return re.sub(r"(?:[^\w]|_)+", " ", line.lower()).strip(" ")
 
 
-def _majority(hashes):
-    return sum(1 << b for b in range(56) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def _sim(line):
-    votes = [xxhash.xxh64_intdigest(w, seed=42) & (1 << 56) - 1 for w in line.split(" ")]
-    runs = [_majority(votes[i : i + 127]) for i in range(0, len(votes), 127)]
-    return runs[0] if len(runs) == 1 else _majority(runs)
-
-
 def _edits(a, b):
     before = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -120,14 +110,11 @@ def test_lines_against_all_pairs(spark):
                 first.setdefault(line, (i, pos))
     places = Groups(first.values())
     lines = list(first)
-    sims = {line: _sim(line) for line in lines}
     for n, a in enumerate(lines):
         for b in lines[:n]:
-            if min(len(a.split(" ")), len(b.split(" "))) < line_dedup.FUZZY_WORDS:
-                continue
-            if (sims[a] ^ sims[b]).bit_count() <= 2:
-                if _edits(a, b) <= min(int(max(len(a), len(b)) * 0.1), 200):
-                    places.join(first[a], first[b])
+            most = int(max(len(a), len(b)) * line_dedup.EDIT_SHARE)
+            if abs(len(a) - len(b)) <= most and _edits(a, b) <= most:
+                places.join(first[a], first[b])
     got = {r.doc_id: r for r in line_dedup.dedup(docs(spark, rows)).collect()}
     dropped = 0
     for i, text, _ in rows:

@@ -220,7 +220,8 @@ def test_the_stages_take_effect(spark, tmp_path):
             assert docs.columns == list(corpus_pipeline.COLUMNS)
     clean = {r.doc_id for r in seen["drop_toxic"]}
     assert len(clean & set(range(0, 240, 6))) <= 2 and len(clean) >= 198
-    assert sum("each document repeats" in (r.text or "") for r in seen["drop_lines"]) == 1
+    # document 500 has the line with " more" at its end: 5 edits, more than a tenth of it
+    assert sum("each document repeats" in (r.text or "") for r in seen["drop_lines"]) == 2
     mixed = seen["mix_sources"]
     assert {r.doc_id for r in mixed} <= {r.doc_id for r in seen["drop_copies"]}
     packed = seen["pack_sequences"]
