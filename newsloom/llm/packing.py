@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -33,8 +34,8 @@ from newsloom.llm.common import running_sums, stage
 SEQUENCE = 4096
 UNIT = 64
 END = 2
-CACHE = 400_000
-TEXTS = 200
+CACHE = 500_000
+TEXTS = 500
 
 
 class Encoder:
@@ -55,15 +56,14 @@ class Encoder:
         if len(self.known) > CACHE:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new = []
-        for word in set().union(*split).difference(known):
-            if word in older:
-                known[word] = older[word]
-            else:
-                new.append(word)
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, ids in zip(new, coded, strict=True):
-            known[word] = np.array(ids.ids, dtype="<u4").tobytes()
+        missing = set().union(*split).difference(known)
+        again = missing.intersection(older)
+        known.update((word, older[word]) for word in again)
+        new = list(missing.difference(again))
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
+        ends = list(accumulate([4 * len(i) for i in ids], initial=0))
+        known.update(zip(new, (flat[a:b] for a, b in pairwise(ends)), strict=True))
         return [b"".join([known[w] for w in words]) for words in split]
 
 
