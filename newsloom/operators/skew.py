@@ -17,9 +17,12 @@ from pyspark.sql.window import Window
 
 from newsloom.session import shuffle_partitions, stage
 
-# Hot keys are found by counting. At most this many are spread; a key beyond the
-# first 1,000 holds less than a thousandth of the rows and joins as it is.
-MAX_HOT_KEYS = 1000
+# Hot keys are found by frequent-items sketches, one for each shard of the keys' hashes. A key
+# that is not among the first of its shard holds less than a thousandth of the shard.
+SHARDS = 64
+HOT_PER_SHARD = 1000
+TRACKED_PER_SHARD = 10_000
+#: Rows of a key that one task of a join takes.
 HOT_KEY_ROWS = 100_000
 
 # A table that the configuration bounds to this many rows may be broadcast, and joins as
@@ -140,6 +143,24 @@ def rows_before_limits(
     )
 
 
+def hot_keys(keys: DataFrame, on: Sequence[str], rows: int, most: int) -> DataFrame:
+    """``_key_hash, _salts``: keys with at least ``rows`` rows and over how many salts, one
+    for each ``rows`` and at most ``most``, they are to be spread. The counts are those of
+    sketches that are merged before the shuffle; they are near enough to spread by."""
+    counted = f"approx_top_k(_key_hash, {HOT_PER_SHARD}, {TRACKED_PER_SHARD})"
+    return (
+        keys.select(F.xxhash64(*on).alias("_key_hash"))
+        .groupBy(F.pmod("_key_hash", F.lit(SHARDS)).alias("_shard"))
+        .agg(F.expr(counted).alias("_items"))
+        .select(F.inline("_items").alias("_key_hash", "_count"))
+        .where(F.col("_count") >= rows)
+        .select(
+            "_key_hash",
+            F.least(F.ceil(F.col("_count") / rows), F.lit(most)).cast("int").alias("_salts"),
+        )
+    )
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -150,10 +171,10 @@ def spread_join(
 ) -> DataFrame:
     """Join ``left``, where a key may be very frequent, to ``right`` with one row per key.
 
-    The hot keys are counted on ``left`` (key column only, combined before the
-    shuffle). Their rows are spread over all shuffle partitions and the matching
-    right rows repeated; every other row joins as usual. The broadcast list holds at
-    most ``MAX_HOT_KEYS`` 8-byte hashes, whatever the data. ``max_rows`` is a bound on
+    The hot keys of ``left`` are estimated (key column only, in sketches). The rows of a hot
+    key are dealt out over salts in proportion to their number, and its right row is copied
+    as often; every other row joins as usual. The broadcast list holds at most ``SHARDS`` x
+    ``HOT_PER_SHARD`` entries of 12 bytes, whatever the data. ``max_rows`` is a bound on
     ``left`` known beforehand; a small table needs none of this.
 
     ``left`` is read twice. If it is costly, stage it first."""
@@ -161,29 +182,23 @@ def spread_join(
         return left.join(right, list(on), how)
     parts = shuffle_partitions(left.sparkSession)
     hashed = F.xxhash64(*on)
-    hot = (
-        left.select(hashed.alias("_key_hash"))
-        .groupBy("_key_hash")
-        .count()
-        .where(F.col("count") >= hot_rows)
-        .orderBy(F.desc("count"), "_key_hash")
-        .limit(MAX_HOT_KEYS)
-        .select("_key_hash", F.lit(True).alias("_hot"))
-    )
+    hot = hot_keys(left, on, hot_rows, parts)
     wide = (
         left.withColumn("_map", _map_salt(parts))
         .withColumn("_key_hash", hashed)
         .join(F.broadcast(hot), "_key_hash", "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.col("_map")).otherwise(F.lit(0)))
-        .drop("_key_hash", "_hot", "_map")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn(
+            "_salt",
+            F.when(F.col("_salts").isNotNull(), F.pmod("_map", "_salts")).otherwise(F.lit(0)),
+        )
+        .drop("_key_hash", "_salts", "_map")
     )
     tall = (
         right.withColumn("_key_hash", hashed)
         .join(F.broadcast(hot), "_key_hash", "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_key_hash", "_hot")
+        .withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+        )
+        .drop("_key_hash", "_salts")
     )
     return wide.join(tall, [*on, "_salt"], how).drop("_salt")

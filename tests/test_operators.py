@@ -137,6 +137,31 @@ def test_hot_keys_are_spread(spark):
     assert used > 1
 
 
+def test_thousands_of_hot_keys_are_spread_by_their_counts(spark):
+    keys = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7 * 10).alias("n"))
+    left = keys.select("k", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("x")).repartition(16)
+    right = keys.select("k", (F.col("k") * 2).alias("y"))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salts = skew.hot_keys(left, ["k"], 10, 16).groupBy("_salts").count().collect()
+        assert sum(r["count"] for r in salts) == keys.where("n >= 9").count()
+        assert {r["_salts"] for r in salts} == {2, 3, 4, 5, 6, 7}
+        joined = skew.spread_join(left, right, ["k"], "inner", hot_rows=10)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == left.count() and max(sizes) < 1.3 * sum(sizes) / 16
+        assert joined.where("y != k * 2").count() == 0
+        one = left.withColumn("k", F.lit(7).cast("bigint"))
+        sizes = [r["count"] for r in skew.spread_join(one, right, ["k"], hot_rows=1000)
+                 .groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == left.count() and max(sizes) < 0.4 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_first_sections(spark):
     df = spark.createDataFrame([("a", i) for i in range(12)] + [("b", 0)], "source_id string, section_ord int")
     assert first_sections(df, 10).count() == 11
