@@ -76,7 +76,7 @@ def events(result):
 
 
 def test_three_runs_of_an_html_source(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
     extractor = KeywordExtractor()
 
     def run(n, **changes):
@@ -225,7 +225,7 @@ def test_snapshot_source(spark):
 
 def test_a_walled_feed_ends_its_source_only(spark, tmp_path):
     walled = [(FEED, 1, shots("Sign in to read") + "\n- link x url=https://inc42.com/buzz/one")]
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
     result = run_cycle(
         spark,
         [INC42_FEED, SITE],
@@ -271,7 +271,7 @@ def test_fallback_in_a_run(spark):
 
 
 def test_stores_of_rows(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
     assert store.read("news").count() == 0 and store.read_logs().count() == 0
     ddl = ", ".join(f"{c} string" for c in schemas.LOG_COLUMNS[:-1])
     entry = ("run-1", "agfunder", "new", "https://agfundernews.com/a", None, "key-1", None)
@@ -348,7 +348,7 @@ def test_seeds(spark):
 
 
 def test_stream_of_page_files(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
     folder, checkpoint = str(tmp_path / "pages"), str(tmp_path / "checkpoint")
     for run in (1, 2, 3):
         page_table(spark, pages_of(run)).coalesce(1).write.mode("append").parquet(folder)
@@ -386,7 +386,7 @@ def test_nothing_is_lost_over_runs_with_limits_and_missing_pages(spark, tmp_path
     site = replace(SITE, sections=SITE.sections[:1])
     want = {f"{BASE}{p}" for p in paths}
     for limit in ({"max_items": 2}, {"max_new_rows": 2}, {}):
-        store = Store(spark, str(tmp_path / "-".join(["store", *limit])))
+        store = Store(spark, str(tmp_path / "-".join(["store", *limit])), buckets=2)
         for n in range(1, 6):
             table = dict(pages)
             if n == 1:  # a page that is missing at first
@@ -397,7 +397,7 @@ def test_nothing_is_lost_over_runs_with_limits_and_missing_pages(spark, tmp_path
 
 
 def test_a_run_that_fails_after_the_news_loses_nothing(spark, tmp_path, monkeypatch):
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
     site = replace(SITE, sections=SITE.sections[:1])
 
     def run(n):
@@ -415,7 +415,7 @@ def test_a_run_that_fails_after_the_news_loses_nothing(spark, tmp_path, monkeypa
 
 
 def test_text_after_the_payload_cut_counts_as_a_change(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
     site = replace(SITE, sections=SITE.sections[:1])
     body = "Zeta raised it. " + "word " * 900
 
