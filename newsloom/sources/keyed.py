@@ -17,6 +17,7 @@ What the driver handles is the list of buckets, a setting of the table and not o
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -31,7 +32,8 @@ BUCKETS = 32
 #: Up to this share of the buckets, a look-up names them; beyond it the table is scanned.
 PRUNED_SHARE = 0.5
 
-_LIST = "bucket int, folder string, buckets int"
+#: Ending of the list of a version.
+_LIST = ".json"
 
 #: Deals rows out to the buckets of a table, so that a join leaves the stored side in place.
 Place = Callable[[DataFrame], DataFrame]
@@ -68,28 +70,41 @@ class KeyedTable:
         return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
 
     def versions(self, before: str | None = None) -> list[str]:
-        """Complete versions, oldest first; with ``before`` only those older than it."""
-        fs, _ = self._fs(self.root)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        names = [
-            n for n in self._children(f"{self.root}/versions")
-            if fs.exists(hadoop.Path(f"{self.root}/versions/{n}/_SUCCESS"))
-        ]
-        return sorted(n for n in names if before is None or n < before)
+        """Versions, oldest first; with ``before`` only those older than it."""
+        fs, where = self._fs(f"{self.root}/versions")
+        if not fs.exists(where):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(where) if s.isFile()]
+        found = sorted(n.removesuffix(_LIST) for n in names if n.endswith(_LIST))
+        return [n for n in found if before is None or n < before]
+
+    def _listed(self, version: str) -> tuple[dict[int, str], int]:
+        fs, where = self._fs(f"{self.root}/versions/{version}{_LIST}")
+        stream = fs.open(where)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        found = json.loads(text)
+        return {int(b): f for b, f in found["folders"].items()}, found["buckets"]
 
     def folders(self, before: str | None = None) -> tuple[dict[int, str], int]:
         """The folder of each bucket that has rows, in the newest version, and the number of
         buckets."""
         names = self.versions(before)
-        if not names:
-            return {}, self.new_buckets
-        rows = self.spark.read.schema(_LIST).parquet(f"{self.root}/versions/{names[-1]}").collect()
-        return {r.bucket: r.folder for r in rows if r.folder}, rows[0].buckets
+        return self._listed(names[-1]) if names else ({}, self.new_buckets)
 
     def _commit(self, version: str, folders: dict[int, str], buckets: int) -> None:
-        rows = [(b, f, buckets) for b, f in sorted(folders.items())] or [(0, None, buckets)]
-        listed = self.spark.createDataFrame(rows, _LIST).coalesce(1)
-        listed.write.mode("overwrite").parquet(f"{self.root}/versions/{version}")
+        """Make a version visible: its list is written aside, then renamed."""
+        fs, aside = self._fs(f"{self.root}/versions/{version}-{uuid.uuid4().hex}.tmp")
+        _, place = self._fs(f"{self.root}/versions/{version}{_LIST}")
+        out = fs.create(aside, True)
+        out.write(json.dumps({"buckets": buckets, "folders": folders}).encode())
+        out.close()
+        if fs.exists(place):  # a repeated version; the one before it stands in meanwhile
+            fs.delete(place, False)
+        if not fs.rename(aside, place):
+            raise OSError(f"version {version} of {self.root} could not be made visible")
 
     # --- reading --------------------------------------------------------------------
 
@@ -189,11 +204,8 @@ class KeyedTable:
         these names; call it when no reader uses older ones. Returns what went."""
         names = self.versions()
         old, kept = names[:-keep], names[-keep:]
-        used = set()
-        for name in kept:
-            listed = self.spark.read.schema(_LIST).parquet(f"{self.root}/versions/{name}")
-            used |= {(r.folder, r.bucket) for r in listed.collect()}
-        gone = [f"{self.root}/versions/{name}" for name in old]
+        used = {(f, b) for name in kept for b, f in self._listed(name)[0].items()}
+        gone = [f"{self.root}/versions/{name}{_LIST}" for name in old]
         newest = kept[-1] if kept else ""
         for folder in self._children(f"{self.root}/data"):
             if folder.rsplit("-", 1)[0] > newest:
