@@ -102,19 +102,28 @@ SELECT run_id, (sum(scanned) OVER day)::BIGINT AS total_scanned,
        scanned - "new" AS skipped
 FROM dense WINDOW day AS (PARTITION BY run_id)"""
 
-# thirty pages per run and domain: those never read, then those read longest ago, so the
-# places 0 to 89 go round the pages; a domain of fewer pages is read as a whole each time
+# thirty pages per run and domain: those never read (0), then those read longest ago
 section_limit = f"""
 WITH listed AS (
-  SELECT {domain('url')} AS source_id, {site('url')} || '/list/' || page_id AS section_url,
-         row_number() OVER (PARTITION BY {domain('url')} ORDER BY page_id) - 1 AS place,
-         count(*) OVER (PARTITION BY {domain('url')}) AS n
+  SELECT {domain('url')} AS source_id, {site('url')} || '/list/' || page_id AS section_url, page_id
   FROM pages
+),
+one AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY source_id ORDER BY page_id) <= 30
+                 THEN 1 ELSE 0 END AS run1
+  FROM listed
+),
+two AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY source_id ORDER BY run1, page_id) <= 30
+                 THEN 2 ELSE run1 END AS run2
+  FROM one
+),
+three AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY source_id ORDER BY run2, page_id) <= 30
+                 THEN 3 ELSE run2 END AS run3
+  FROM two
 )
-SELECT source_id, section_url,
-       (CASE WHEN n <= 30 THEN 3
-             WHEN place < 90 THEN (place + n * ((89 - place) // n)) // 30 + 1 END)::INTEGER AS run
-FROM listed"""
+SELECT source_id, section_url, nullif(run3, 0)::INTEGER AS run FROM three"""
 
 _T, _B = shown('"text"')
 
