@@ -33,11 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to a new shared folder and read it back; plans and retries start there."""
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/newsloom/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _staged.add(path)
     read = spark.read.schema(df.schema).parquet(path)
     read._staged_path = path

@@ -105,7 +105,7 @@ def test_lines_against_all_pairs(spark):
     for i, text, _ in rows:
         for pos, line in enumerate(text.split("\n")):
             line = _normal(line)
-            if len(line.split(" ")) >= line_dedup.MIN_WORDS:
+            if line:
                 where[i, pos] = line
                 first.setdefault(line, (i, pos))
     places = Groups(first.values())
@@ -128,10 +128,10 @@ def test_lines_against_all_pairs(spark):
 
 
 def _changed(line, seed, whole):
-    """A copy with edits up to a tenth: of single letters all over, or of whole words."""
+    """A copy with as many edits as are allowed: of single letters all over, or of whole words."""
     rng = np.random.default_rng(seed)
     out = list(line)
-    most = len(line) // 10
+    most = int(len(line) * line_dedup.EDIT_SHARE)
     if whole:
         parts, left = line.split(" "), most
         for k in rng.permutation(len(parts)):
@@ -150,22 +150,22 @@ def _changed(line, seed, whole):
     return "".join(out)
 
 
-def test_lines_within_a_tenth_are_found(spark):
-    """Recall against edit distance alone, whatever the sketches, by words of the line."""
+def test_lines_within_the_share_are_found(spark):
+    """Recall against edit distance alone, whatever the signatures, by words of the line."""
     pairs = []
     for count in (5, 6, 8, 10, 20, 36, 60, 100):
         for i in range(40):
             line = prose(count, 5000 + 100 * count + i)
             pairs.append((count, line, _normal(_changed(line, i, i % 2))))
     long = list(prose(1100, 77))
-    for k in range(0, len(long), len(long) // 400):
+    for k in range(0, len(long), len(long) // 100):
         long[k] = "z" if long[k] != " " else " "
     pairs.append((1100, prose(1100, 77), "".join(long)))
     longer = F.greatest(F.length("one"), F.length("two"))
     alike = {
         r.k for r in spark.createDataFrame(
             [(k, one, two) for k, (_, one, two) in enumerate(pairs)], "k int, one string, two string"
-        ).where((F.levenshtein("one", "two") <= longer * 0.1) & (F.col("one") != F.col("two"))).collect()
+        ).where((F.levenshtein("one", "two") <= F.floor(longer * line_dedup.EDIT_SHARE)) & (F.col("one") != F.col("two"))).collect()
     }
     assert len(pairs) - 1 in alike and len(alike) > 200
     rows = [(2 * k + n, lines[n], "s") for k, (_, *lines) in enumerate(pairs) for n in (0, 1)]
