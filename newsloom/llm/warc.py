@@ -145,6 +145,24 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(k.strip(), v.strip()) for k, _, v in pairs], payload
 
 
+def named_values(pairs: list[tuple[str, str]]) -> dict[str, str | list[str]]:
+    """Headers by name; one that is repeated has the list of its values, in order."""
+    found: dict[str, list[str]] = {}
+    for name, value in pairs:
+        found.setdefault(name, []).append(value)
+    return {name: values[0] if len(values) == 1 else values for name, values in found.items()}
+
+
+def decode(payload: bytes, http: list[tuple[str, str]]) -> str:
+    """The payload by the charset of its first Content-Type, by UTF-8 without a known one."""
+    types = [value for name, value in http if name.lower() == "content-type"]
+    given = re.search(r"charset\s*=\s*[\"']?([A-Za-z0-9._:-]+)", types[0], re.I) if types else None
+    try:
+        return payload.decode(given.group(1) if given else "utf-8", "replace")
+    except (LookupError, ValueError):  # not the name of a text encoding, or one that fails
+        return payload.decode("utf-8", "replace")
+
+
 def _respond(date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,10 +219,10 @@ def derive(row: dict) -> list[tuple]:
     status, http, payload = split_http(row["block"] or b"")
     found = digest(payload)
     given = row["payload_digest"]
-    page = read_page(payload.decode("utf-8", "replace"), target or "")
+    page = read_page(decode(payload, http), target or "")
     envelope = {
-        "warc": {h["name"]: h["value"] for h in row["headers"] or []},
-        "http": {"status": status, "headers": dict(http)},
+        "warc": named_values([(h["name"], h["value"]) for h in row["headers"] or []]),
+        "http": {"status": status, "headers": named_values(http)},
         "payload": {"length": len(payload), "digest": found, "valid": given in (None, found)},
         "html": {
             "title": " ".join("".join(page.title).split()), "description": page.description,
