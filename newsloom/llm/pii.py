@@ -10,9 +10,11 @@ The trees learn from the corpus itself: strict spans and disguised copies of the
 separators written in the ways the generators look for) are positive. Negative are only
 proposals that are known to be wrong (digits or ranges that do not fit, dates, ends of
 sentences) and decoys made of the words and numbers around strict spans: other proposals may
-be what is looked for. Equal feature vectors are one row with their number as weight. At most ``TRAIN_ROWS`` such
-rows are used, the same bounded share for each kind and label, and of each share every fourth
-row is held out; the patterns, generators and scores cover every whole text.
+be what is looked for. Equal feature vectors are one row with their number as weight. All such
+rows of the table are used, none is drawn: of each kind and label every fourth one, in the order
+of a hash, is held out, the trees learn from the others. A task of the training takes about
+``TASK_ROWS`` rows. (Where Spark's trees may split a feature is set by a seeded draw of its own;
+which split is best is counted over all rows.)
 
 Nulls and empty texts have no spans. Repeated rows come back as given, a null id stays null.
 Other columns are ignored. Without both positive and negative rows nothing is added.
@@ -29,13 +31,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import stage
+from newsloom.llm.common import running_sums, stage
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_ROWS = 20_000
+#: Distinct feature vectors that one task of the training takes.
+TASK_ROWS = 20_000
 #: Share of the added spans that must be right on the held-out rows.
 PRECISION = 0.98
 TREES = 12
@@ -285,19 +288,17 @@ def _spans(base: pd.Series, added: pd.Series) -> list[str]:
 
 def _thresholds(scored: DataFrame) -> dict[int, float]:
     """Per kind the lowest score at which held-out rows above it are right often enough."""
-    rows = scored.select("kind", "score", "label", "weight").toPandas()  # at most TRAIN_ROWS
-    found = {}
-    for kind, own in rows.groupby("kind"):
-        own = own.sort_values("score", ascending=False)
-        right = (own["label"] * own["weight"]).cumsum() / own["weight"].cumsum()
-        last = own["score"].ne(own["score"].shift(-1))
-        fine = own["score"][(right >= PRECISION) & last]
-        if len(fine):
-            found[int(kind)] = max(0.5, float(fine.min()) - 1e-9)
-    return found
+    levels = scored.groupBy("kind", (-F.col("score")).alias("below")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("all")
+    )
+    summed = running_sums(levels, ["kind"], ["below"], {"right_before": "right", "all_before": "all"})
+    share = (F.col("right_before") + F.col("right")) / (F.col("all_before") + F.col("all"))
+    found = summed.where(share >= PRECISION).groupBy("kind").agg(F.max("below").alias("below"))
+    # a row per kind
+    return {r["kind"]: max(0.5, -r["below"] - 1e-9) for r in found.collect()}
 
 
-def train(proposed: DataFrame, rows: int = TRAIN_ROWS):
+def train(proposed: DataFrame, task_rows: int = TASK_ROWS):
     """The trees and the thresholds, or None if there is nothing to tell apart."""
     examples = proposed.select(F.explode("positive").alias("features"), F.lit(1.0).alias("label"))
     others = proposed.select(F.explode("negative").alias("features"), F.lit(0.0).alias("label"))
@@ -305,35 +306,36 @@ def train(proposed: DataFrame, rows: int = TRAIN_ROWS):
         examples.unionByName(others)
         .groupBy("label", "features").agg(F.count("*").cast("double").alias("weight"))
         .withColumn("kind", F.get("features", F.lit(0)).cast("int"))
+        .withColumns({"drawn": F.xxhash64("features", F.lit("train")), "one": F.lit(1)})
     )
-    drawn = Window.partitionBy("kind", "label").orderBy(
-        F.xxhash64("features", F.lit("train")), "features"
+    # read twice, for the ranges and by them
+    ranked = running_sums(
+        stage(distinct, "pii-vectors"), ["kind", "label"], ["drawn", "features"], {"before": "one"}
     )
-    sample = stage(
-        distinct.withColumn("rank", F.row_number().over(drawn))
-        .where(F.col("rank") <= rows // (2 * len(KINDS)))
-        .select(
+    rows = stage(
+        ranked.select(
             "label", "kind", "weight", array_to_vector("features").alias("vector"),
-            (F.col("rank") % 4 == 2).alias("held_out"),
+            (F.col("before") % 4 == 1).alias("held_out"),
         ),
-        "pii-sample",
+        "pii-rows",
     )
-    fitted = sample.where("NOT held_out")
+    fitted = rows.where("NOT held_out")
     if fitted.select("label").distinct().count() < 2:
         return None
+    tasks = -(-fitted.count() // task_rows)
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7
-    ).fit(fitted.coalesce(4))
-    scored = trees.transform(sample.where("held_out"))
+    ).fit(fitted.repartition(max(4, tasks)))
+    scored = trees.transform(rows.where("held_out"))
     limits = _thresholds(scored.withColumn("score", vector_to_array("probability")[1]))
     return (trees, limits) if limits else None
 
 
-def find(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def find(docs: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added`` per row."""
     proposed = stage(docs.select("doc_id", "text").mapInArrow(_propose, _ROWS), "pii")
     numbered = proposed.withColumn("row", F.monotonically_increasing_id())
-    model = train(proposed, train_rows)
+    model = train(proposed, task_rows)
     added = "array<struct<kind:int, start:bigint, end:bigint, score:double>>"
     if model is None:
         both = numbered.withColumn("added", F.array().cast(added))

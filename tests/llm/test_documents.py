@@ -397,6 +397,34 @@ def test_copies_do_not_fill_the_sample(spark):
     assert sorted(limits) == [0, 1, 2, 3]
 
 
+def test_the_trees_learn_from_all_rows(spark, monkeypatch):
+    seen = []
+
+    class Counted(pii.GBTClassifier):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.agg(F.count("*"), F.sum("weight")).first())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Counted)
+
+    def vectors(kind, label, count):
+        return [[float(kind), float(i), float(label)] + [0.0] * 17 for i in range(count)]
+
+    rows = [(vectors(k, 1, 40), vectors(k, 0, 60)) for k in range(4)] * 2
+    frame = spark.createDataFrame(rows, "positive array<array<double>>, negative array<array<double>>")
+    trees, limits = pii.train(frame, 8)
+    assert [tuple(s) for s in seen] == [(4 * 75, 2 * 4 * 75.0)]  # every fourth is held out
+    assert sorted(limits) == [0, 1, 2, 3]
+
+
+def test_thresholds_are_the_lowest_scores_that_are_right_often_enough(spark):
+    rows = [(0, 0.9, 1.0, 97.0), (0, 0.8, 1.0, 2.0), (0, 0.8, 0.0, 1.0), (0, 0.7, 1.0, 50.0),
+            (0, 0.6, 0.0, 9.0), (1, 0.9, 0.0, 1.0), (2, 0.3, 1.0, 5.0)]
+    scored = spark.createDataFrame(rows, "kind int, score double, label double, weight double")
+    got = pii._thresholds(scored)
+    assert got == {0: 0.7 - 1e-9, 2: 0.5}
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 
