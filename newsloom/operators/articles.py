@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.dom import page_article
 from newsloom.functions.text import html_to_text, js_trim, truncate_text
 from newsloom.functions.urls import canonical_url
-from newsloom.operators.links import by_source
+from newsloom.operators.links import by_source, read_slices
 from newsloom.operators.skew import is_small, keep_first, spread_join
 from newsloom.operators.snapshots import snapshot_texts
 from newsloom.specs import EXTRACT_MAX_CHARS, MIN_HTML_CHARS, SourceSpec
@@ -28,20 +28,21 @@ def _parsed(markup: Column, specs: Sequence[SourceSpec]) -> Column:
     rules = {s.source_id: (s.article_parser, s.selectors) for s in specs}
     only = next(iter(rules.values())) if len(specs) == 1 else None
 
-    @F.pandas_udf("struct<title string, body string, error string>")
-    def parse(pages: pd.Series, sources: pd.Series) -> pd.DataFrame:
-        found = []
-        for page, source in zip(pages, sources, strict=True):
-            if page is None:
-                found.append((None, None, None))
-                continue
-            try:
-                own, selectors = only or rules[source]
-                title, body = own(page) if own else page_article(page, selectors)
-                found.append((title, body, None))
-            except Exception as error:  # noqa: BLE001 - a page must not end the job
-                found.append((None, None, f"article_parse: {type(error).__name__}: {error}"))
-        return pd.DataFrame(found, columns=["title", "body", "error"], dtype=object)
+    def read(page: str | None, source: str | None) -> dict | None:
+        if page is None:
+            return {}
+        try:
+            own, selectors = only or rules[source]
+            title, body = own(page) if own else page_article(page, selectors)
+            return {"title": title, "body": body}
+        except Exception as error:  # noqa: BLE001 - a page must not end the job
+            return {"error": f"article_parse: {type(error).__name__}: {error}"}
+
+    kind = pa.struct([("title", pa.string()), ("body", pa.string()), ("error", pa.string())])
+
+    @F.arrow_udf("struct<title string, body string, error string>")
+    def parse(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return read_slices(batches, read, kind)
 
     return parse(markup, F.lit("") if only else F.col("source_id"))
 

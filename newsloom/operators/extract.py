@@ -5,10 +5,10 @@ from __future__ import annotations
 import json
 import re
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,18 +80,19 @@ def ask_extractor(
     """Raw answer per payload, ``batch_size`` payloads and at most ``seconds`` at a time; null
     ones are not asked about."""
 
-    @F.pandas_udf("string")
-    def ask(payloads: pd.Series) -> pd.Series:
-        wanted = payloads.notna()
-        out = pd.Series([None] * len(payloads), index=payloads.index, dtype=object)
-        if wanted.any():
-            asked = payloads[wanted].tolist()
-            out[wanted] = [
+    @F.arrow_udf("string")
+    def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for payloads in batches:
+            asked = payloads.drop_null()
+            answers = iter([
                 answer
                 for at in range(0, len(asked), batch_size)
-                for answer in _answers(fn, asked[at : at + batch_size], seconds)
-            ]
-        return out
+                for answer in _answers(fn, asked.slice(at, batch_size).to_pylist(), seconds)
+            ])
+            yield pa.array(
+                [next(answers) if one.is_valid else None for one in payloads], pa.string(),
+                from_pandas=True,
+            )
 
     # called once per row: the optimizer must neither repeat nor move it
     return ask.asNondeterministic()(payload)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +20,9 @@ from newsloom.functions.urls import (
 )
 from newsloom.specs import SourceSpec
 
+#: Pages that a Python worker hands back at a time.
+PAGES = 64
+
 _BLOCKS = r"(?is)<!--.*?-->|<(script|style|textarea|title)\b.*?</\1\s*>"
 _LINK_TAG = r"""(?i)<a\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _HREF = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -58,21 +61,34 @@ def native_hrefs(markup: str = "html") -> Column:
     return F.expr(native_hrefs_sql(markup))
 
 
+def read_slices(
+    batches: Iterator[tuple[pa.Array, pa.Array]], read: Callable[..., dict], kind: pa.DataType
+) -> Iterator[pa.Array]:
+    """``read`` of each page and its source. A batch may hold thousands of pages, which stay in
+    Arrow; only ``PAGES`` of them and what is read of these are Python objects at a time."""
+    for pages, sources in batches:
+        for at in range(0, len(pages), PAGES):
+            some = zip(pages.slice(at, PAGES), sources.slice(at, PAGES), strict=True)
+            yield pa.array([read(page.as_py(), source.as_py()) for page, source in some], kind)
+
+
 def parsed_hrefs(markup: str, specs: Sequence[SourceSpec]) -> Column:
     """STRUCT<hrefs, error>: link texts by the HTML tokenizer, or by the source's own
     listing parser, and why it failed."""
     parsers = {s.source_id: s.listing_parser or page_hrefs for s in specs}
     only = next(iter(parsers.values())) if len(specs) == 1 else None
 
-    @F.pandas_udf("struct<hrefs array<string>, error string>")
-    def hrefs(pages: pd.Series, sources: pd.Series) -> pd.DataFrame:
-        found = []
-        for page, source in zip(pages, sources, strict=True):
-            try:
-                found.append((None if page is None else (only or parsers[source])(page), None))
-            except Exception as error:  # noqa: BLE001 - a page must not end the job
-                found.append((None, f"section_parse: {type(error).__name__}: {error}"))
-        return pd.DataFrame(found, columns=["hrefs", "error"], dtype=object)
+    def read(page: str | None, source: str | None) -> dict:
+        try:
+            return {"hrefs": None if page is None else (only or parsers[source])(page)}
+        except Exception as error:  # noqa: BLE001 - a page must not end the job
+            return {"error": f"section_parse: {type(error).__name__}: {error}"}
+
+    kind = pa.struct([("hrefs", pa.list_(pa.string())), ("error", pa.string())])
+
+    @F.arrow_udf("struct<hrefs array<string>, error string>")
+    def hrefs(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return read_slices(batches, read, kind)
 
     source = F.lit("") if only else F.col("source_id")
     return hrefs(F.col(markup), source)

@@ -296,3 +296,19 @@ def test_attribute_values():
         "<a href>": "",
     }
     assert {markup: page_hrefs(markup)[0] for markup in cases} == cases
+
+
+def test_a_worker_reads_a_few_pages_of_a_batch_at_a_time():
+    import pyarrow as pa
+
+    from newsloom.operators.links import PAGES, read_slices
+
+    read = []
+    count = 2 * PAGES + 5
+    batch = (pa.array([*map(str, range(count - 1)), None]), pa.array(["s"] * count))
+    found = read_slices(
+        iter([batch]), lambda page, source: read.append(page) or {"text": page}, pa.struct([("text", pa.string())])
+    )
+    assert len(next(found)) == PAGES == len(read)
+    rest = [row["text"].as_py() for part in found for row in part]
+    assert rest == [*map(str, range(PAGES, count - 1)), None]
