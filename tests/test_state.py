@@ -279,3 +279,58 @@ def test_payload_of_the_journal_is_that_of_the_extractor(spark, tmp_path):
     cut = F.concat(F.substring("body_excerpt", 1, 99), F.lit(chr(0x2026)))
     want = long.select(F.sha2(extract_payload("url", "title", cut), 256)).first()[0]
     assert [r.payload_hash for r in journal.table.read().collect()] == [want]
+
+
+def test_payloads_are_neither_written_nor_sent_to_be_looked_up(spark, tmp_path, monkeypatch):
+    from newsloom.operators import journal as module
+
+    written, stage = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: written.append(df.columns) or stage(df, name))
+    rows = [("a",), ("b",), ("b",), (None,), ("c",)]
+    payloads = spark.createDataFrame(rows, "payload string")
+    own = AnswerJournal(spark, str(tmp_path / "journal"), buckets=2)
+    first = own.answer(payloads.where("payload = 'a'"), lambda c: F.concat(F.lit("1"), c), "r1")
+    assert [r.answer for r in first.collect()] == ["1a"]
+    second = own.answer(payloads, lambda c: F.concat(F.lit("2"), c), "r2")
+    assert sorted(r.answer for r in second.collect()) == ["1a", "2b", "2c"]
+    assert written and not any("payload" in columns for columns in written)
+    rounds = AnswerJournal(spark, str(tmp_path / "rounds"), buckets=2, round_size=1)
+    many = rounds.answer(payloads, lambda c: F.concat(F.lit("3"), c), "r1")
+    assert sorted(r.answer for r in many.collect()) == ["3a", "3b", "3c"]
+
+
+def test_rows_of_a_url_are_judged_without_frames():
+    from datetime import datetime, timezone
+
+    from pyspark.sql import Row
+
+    from newsloom.streaming.seen import SeenUrls
+
+    class Value:
+        now = None
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+    def at(minute, zone=timezone.utc):
+        return datetime(2024, 5, 1, 12, minute, tzinfo=zone)
+
+    judge = SeenUrls(["url", "fetched_at", "content_hash"], 60_000, None)
+    judge.seen = Value()
+
+    def batch(*copies):
+        rows = (Row(url="u", fetched_at=t, content_hash=h) for t, h in copies)
+        return next(judge.handleInputRows(("u",), rows, None)).asDict()
+
+    got = batch((at(3), "b"), (None, "z"), (at(1), "a"))
+    assert (got["change_status"], got["content_hash"], got["n_seen"]) == ("new", "b", 3)
+    assert (got["first_seen"], got["last_seen"]) == (at(1), at(3))
+    # the state gives times back without a zone, in that of the process
+    value = judge.seen.now
+    judge.seen.now = (value[0], *(t.astimezone().replace(tzinfo=None) for t in value[1:3]), value[3])
+    got = batch((at(4), "b"))
+    assert (got["change_status"], got["n_seen"], got["first_seen"]) == ("unchanged", 4, at(1))
+    assert batch((at(6), "c"))["change_status"] == "new"  # two minutes later
