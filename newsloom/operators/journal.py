@@ -86,18 +86,25 @@ class AnswerJournal:
 
     def answer(self, payloads: DataFrame, ask, run_id: str) -> DataFrame:
         """``payload_hash, answer`` of ``payloads`` (payload). ``ask`` turns the column
-        ``payload`` into one of answers; it sees each unknown payload once."""
+        ``payload`` into one of answers; it sees each unknown payload once. ``payloads`` is
+        read twice, and written in more than one round only."""
         self.settle()
-        distinct = stage(
-            payloads.where("payload IS NOT NULL")
-            .withColumn("payload_hash", payload_hash("payload"))
-            .groupBy("payload_hash").agg(F.first("payload").alias("payload")),
-            "payloads",
+        hashed = payloads.where("payload IS NOT NULL").withColumn(
+            "payload_hash", payload_hash("payload")
         )
-        found = self.known(distinct)
-        todo = stage(distinct.join(found, "payload_hash", "left_anti"), "unanswered")
-        count = todo.count()
+        # only hashes are looked up; of the payloads, the unknown ones move once they are counted
+        hashes = stage(hashed.select("payload_hash").distinct(), "payload-hashes")
+        new = stage(
+            hashes.join(self.known(hashes), "payload_hash", "left_anti"), "unanswered"
+        )
+        count = new.count()
         rounds = -(-count // self.round_size)
+        todo = (
+            hashed.groupBy("payload_hash").agg(F.first("payload").alias("payload"))
+            .join(new, "payload_hash", "left_semi")
+        )
+        if rounds > 1:  # each round reads its share
+            todo = stage(todo, "to-ask")
         for number in range(rounds):
             own = F.pmod(F.xxhash64("payload_hash"), F.lit(rounds)) == number
             tasks = max(1, -(-count // (rounds * self.per_task)))
@@ -106,4 +113,4 @@ class AnswerJournal:
             )
             asked.write.parquet(f"{self.root}/rounds/{run_id}-{number:06d}-{uuid.uuid4().hex[:8]}")
         self.settle()
-        return self.known(distinct).select("payload_hash", "answer")
+        return self.known(hashes).select("payload_hash", "answer")
