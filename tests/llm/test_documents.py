@@ -1,6 +1,7 @@
 """Operators on documents against brute force, and their corner cases."""
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -175,6 +176,25 @@ def test_lines_within_the_share_are_found(spark):
         assert sum(got[2 * k + 1] for k in own) >= 0.9 * len(own), count
 
 
+def test_no_join_of_lines_holds_all_blocks(spark, monkeypatch):
+    """The disk a shuffle takes does not hold the bucket keys of all blocks at once."""
+    blocks, made = [], line_dedup.buckets
+    monkeypatch.setattr(line_dedup, "buckets", lambda signed, own: blocks.append(list(own)) or made(signed, own))
+    rows = [(1, prose(30, 1), "s"), (2, prose(30, 1).replace("sol", "sal", 1), "s")]
+    assert {r.n_dropped for r in line_dedup.dedup(docs(spark, rows)).collect()} == {0, 1}
+    assert sorted(sum(blocks, [])) == list(range(line_dedup.BLOCKS))
+    assert max(map(len, blocks)) <= line_dedup.BLOCKS // 5
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    from newsloom.llm.common import CLEANUP, stage
+
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before, setting = set(folder.rglob("shuffle_*.data")), spark.conf.get(CLEANUP)
+    stage(spark.range(10_000).repartition(3, "id"), "shuffled")
+    assert not set(folder.rglob("shuffle_*.data")) - before and spark.conf.get(CLEANUP) == setting
+
+
 def test_short_lines_and_lines_without_blanks_repeat(spark):
     han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60))
     rows = [(1, f"Read more\n{han}", "s"), (2, f"read more!\n{han[:30]}\u4e00{han[31:]}", "s")]
