@@ -6,7 +6,7 @@ on a random line is a sorted array. A query opens a window around its own projec
 line and widens it by virtual rehashing: with radius R the window is as wide as makes a
 vector at distance R collide on half of the lines. A vector that collides on enough lines is
 verified with its inner product. The search ends at the radius within which the wanted number
-of verified vectors lies; as ``MISS`` standard deviations are left to chance, a vector at
+of verified vectors lies, which is looked for by halving; as ``MISS`` standard deviations are left to chance, a vector at
 that very distance is missed once in 44 times, nearer ones less often.
 
 The vectors are cut into blocks of about ``BLOCK`` rows by a hash of the id, the queries, a
@@ -20,6 +20,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import math
 
 import numpy as np
@@ -37,6 +38,9 @@ WIDEN = 1.2
 FIRST_RADIUS = 0.2
 BLOCK = 16_384
 QUERIES = 512
+#: If more than this share of a block is verified at once, reading its rows in order costs less
+#: than picking them out.
+GATHER = 1 / 32
 
 #: Half of a normal distribution lies within this many standard deviations.
 HALF = 0.6744897501960817
@@ -51,50 +55,82 @@ class Block:
         rest = np.sqrt(np.maximum(longest**2 - (self.rows**2).sum(axis=1), 0))
         self.axes = np.random.default_rng(seed).standard_normal((rows.shape[1] + 1, lines))
         projected = np.hstack([self.rows, rest[:, None]]) @ self.axes
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order.T, axis=0).T
+        self.sorted = np.sort(projected, axis=0).T.copy()
+        order = np.argsort(projected, axis=0, kind="stable")
+        ranks = np.empty(order.shape, dtype=np.uint16 if len(ids) < 1 << 16 else np.uint32)
+        np.put_along_axis(ranks, order, np.arange(len(ids), dtype=ranks.dtype)[:, None], axis=0)
+        self.ranks = ranks.T.copy()
         self.least = math.floor(lines / 2 - MISS * math.sqrt(lines) / 2)
 
-    def search(self, own_id: int, query: np.ndarray, count: int) -> list[tuple[int, float]]:
-        """The best ``count`` verified vectors, best first."""
-        length = float(np.sqrt((query**2).sum()))
-        at = (query * (self.longest / length)) @ self.axes[:-1]
+    def _windows(self, queries: np.ndarray, radii: list[float]) -> tuple[np.ndarray, np.ndarray]:
+        """By query, radius and line: the first rank of a window, and how many it holds."""
+        reach = HALF * np.array(radii)
+        lengths = np.sqrt((queries**2).sum(axis=1))
+        at = (queries * (self.longest / lengths)[:, None]) @ self.axes[:-1]
+        low = np.empty((len(queries), len(radii), len(self.ranks)), dtype=np.int64)
+        high = np.empty_like(low)
+        for line, values in enumerate(self.sorted):
+            low[:, :, line] = np.searchsorted(values, at[:, line, None] - reach, side="left")
+            high[:, :, line] = np.searchsorted(values, at[:, line, None] + reach, side="right")
+        return low, high - low
+
+    def _collided(self, low: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """Which vectors lie in enough of the windows."""
+        kind = self.ranks.dtype
+        # ranks below the window wrap around and become large
+        inside = (self.ranks - low.astype(kind)[:, None]) < width.astype(kind)[:, None]
+        few = np.uint8 if len(self.ranks) < 256 else np.uint32
+        return inside.view(np.uint8).sum(axis=0, dtype=few) >= self.least
+
+    def _scores(self, places: np.ndarray, query: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,j->i", self.rows[places], query)
+
+    def search(self, own_ids: np.ndarray, queries: np.ndarray, count: int) -> list[list[tuple[int, float]]]:
+        """The best ``count`` verified vectors of each query, best first."""
         radii = [FIRST_RADIUS * self.longest]
         while radii[-1] < 2 * self.longest:
             radii.append(radii[-1] * WIDEN)
-        reach = HALF * np.array(radii)
-        size = len(self.ids)
-        low = np.empty((len(radii) + 1, len(at)), dtype=np.int64)
-        high = np.empty_like(low)
-        for line, centre in enumerate(at):
-            values = self.sorted[line]
-            low[1:, line] = np.searchsorted(values, centre - reach, side="left")
-            high[1:, line] = np.searchsorted(values, centre + reach, side="right")
-            low[0, line] = high[0, line] = np.searchsorted(values, centre)
-        hits = np.zeros(size, dtype=np.int64)
-        seen = self.ids == own_id
-        found, scores = np.empty(0, dtype=np.int64), np.empty(0)
-        for turn, radius in enumerate([*radii, math.inf], start=1):
-            if math.isinf(radius):  # every vector collides on every line
-                fresh = np.flatnonzero(~seen)
+        low, width = self._windows(queries, radii)
+        return [
+            self._widen(own, query, count, radii, low[k], width[k])
+            for k, (own, query) in enumerate(zip(own_ids, queries, strict=True))
+        ]
+
+    def _widen(self, own_id, query, count, radii, low, width) -> list[tuple[int, float]]:
+        length = float(np.sqrt((query**2).sum()))
+        other = self.ids != own_id
+        known = np.full(len(self.ids), np.nan)
+
+        def verified(turn: int) -> tuple[np.ndarray, np.ndarray]:
+            # with an endless radius every vector collides on every line
+            near = self._collided(low[turn], width[turn]) if turn < len(radii) else other
+            found = np.flatnonzero(near & other)
+            fresh = found[np.isnan(known[found])]
+            if len(fresh) > len(known) * GATHER:
+                known[fresh] = (self.rows @ query)[fresh]
             else:
-                parts = []
-                for line, order in enumerate(self.order):
-                    parts.append(order[low[turn, line] : low[turn - 1, line]])
-                    parts.append(order[high[turn - 1, line] : high[turn, line]])
-                hits += np.bincount(np.concatenate(parts), minlength=size)
-                fresh = np.flatnonzero((hits >= self.least) & ~seen)
-            seen[fresh] = True
-            found = np.concatenate([found, fresh])
-            scores = np.concatenate([scores, np.einsum("ij,j->i", self.rows[fresh], query)])
-            if len(found) >= count:
-                worst = np.partition(scores, -count)[-count] / (length * self.longest)
-                distance = self.longest * math.sqrt(max(0.0, 2 - 2 * worst))
-                if distance <= radius:
-                    break
+                known[fresh] = self._scores(fresh, query)
+            return found, known[found]
+
+        def ends(turn: int) -> bool:
+            # so many collisions are needed for ``count`` vectors
+            if width[turn].sum() < self.least * count:
+                return False
+            _, scores = verified(turn)
+            if len(scores) < count:
+                return False
+            worst = np.partition(scores, -count)[-count] / (length * self.longest)
+            return self.longest * math.sqrt(max(0.0, 2 - 2 * worst)) <= radii[turn]
+
+        # wider windows hold all that narrower ones do, so the first radius at which the
+        # search ends is found by halving
+        turn = bisect.bisect_left(range(len(radii)), True, key=ends)
+        found, scores = verified(turn)
         if len(found) > count:
-            good = scores >= np.partition(scores, -count)[-count]
-            found, scores = found[good], scores[good]
+            # products of the whole block may differ in the last bits; those kept are summed alike
+            slack = 1e-12 * length * self.longest
+            found = found[scores >= np.partition(scores, -count)[-count] - slack]
+        scores = self._scores(found, query)
         best = np.lexsort((self.ids[found], -scores))[:count]
         return [(int(self.ids[found[i]]), float(scores[i])) for i in best]
 
@@ -107,8 +143,9 @@ def _search(dimensions: int, longest: float, count: int, lines: int, seed: int):
         out: list[tuple[int, int, float]] = []
         if probe.any() and not probe.all():
             block = Block(ids[~probe], rows[~probe], longest, lines, seed)
-            for own, query in zip(ids[probe].tolist(), rows[probe], strict=True):
-                out += [(own, *hit) for hit in block.search(own, query, count)]
+            own = ids[probe]
+            for asked, hits in zip(own.tolist(), block.search(own, rows[probe], count), strict=True):
+                out += [(asked, *hit) for hit in hits]
         query_id, vec_id, score = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({
             "query_id": pa.array(query_id, pa.int64()),

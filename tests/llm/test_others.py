@@ -57,6 +57,24 @@ def test_nearest_against_brute_force(spark):
     assert neighbours.nearest(few.limit(0), F.lit(True)).count() == 0
 
 
+def test_collisions_are_counted_without_lists_of_rows():
+    """A block counts a query's collisions by ranks, at few radii, and finds what widening step by step finds."""
+    rows = np.random.default_rng(3).standard_normal((600, 16))
+    rows = np.vstack([rows, rows[:40]])  # copies tie
+    ids = np.arange(len(rows))
+    block = neighbours.Block(ids, rows, float(np.sqrt((rows**2).sum(axis=1)).max()), 64, 1)
+    turns, counted = [], block._collided
+    block._collided = lambda low, width: turns.append(1) or counted(low, width)
+    hits = found = 0
+    for own, got in zip(ids[::20], block.search(ids[::20], rows[::20], 20), strict=True):
+        score = rows @ rows[own]
+        best = [i for i in np.lexsort((ids, -score.round(12))) if i != own][:20]
+        hits, found = hits + len(set(best) & {i for i, _ in got}), found + len(got)
+        assert [i for i, _ in got] == sorted((i for i, _ in got), key=lambda i: (-score[i].round(12), i))
+    assert found == 20 * len(ids[::20]) and hits >= 0.95 * found
+    assert len(turns) <= 6 * len(ids[::20])
+
+
 def test_vector_duplicates_against_brute_force(spark):
     rows = vector_rows() + odd_vectors()
     got = {r.vec_id: r for r in multi_index.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
