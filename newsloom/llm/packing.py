@@ -19,6 +19,7 @@ each for itself. Other columns are ignored. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate, chain, pairwise
@@ -36,13 +37,21 @@ UNIT = 64
 END = 2
 CACHE = 500_000
 TEXTS = 500
+#: A word of letters of Latin-1 and marks after it that are a piece of their own. Quotes, which
+#: begin endings like 's, and the signs of special tokens are no such marks.
+PLAIN = re.compile('([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?#$%&*()"]*)')
+#: Plain words that are encoded as one text.
+TOGETHER = 200
+#: Ends the last token of a piece.
+SUFFIX = "</w>"
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers, word by word: the tokenizer never joins
     what white space parts and does not tell cases apart, so the ids of a word are the same
     wherever it stands. Words are kept in two generations of bounded size; those in use move
-    to the younger one, the older one goes when that is full."""
+    to the younger one, the older one goes when that is full. New words are encoded without
+    the marks after them, and many as one text if the tokenizer marks where words end."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,6 +59,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(SUFFIX)]] = True
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [_plain(text or "").replace("\n", " ").split(" ") for text in texts]
@@ -59,13 +71,46 @@ class Encoder:
         missing = set().union(*split).difference(known)
         again = missing.intersection(older)
         known.update((word, older[word]) for word in again)
-        new = list(missing.difference(again))
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
-        ends = list(accumulate([4 * len(i) for i in ids], initial=0))
-        known.update(zip(new, (flat[a:b] for a, b in pairwise(ends)), strict=True))
+        self._learn(missing.difference(again))
         return [b"".join([known[w] for w in words]) for words in split]
 
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of words that are not known there."""
+        known = self.known
+        marked, stems, others = [], set(), set()
+        for word in words:
+            parts = PLAIN.fullmatch(word)
+            if not parts:
+                others.add(word)
+            elif parts[2]:
+                marked.append((word, parts[1], parts[2]))
+                stems.add(parts[1])
+                others.add(parts[2])
+            else:
+                stems.add(word)
+        stems.difference_update(known)
+        others.difference_update(known)
+        known.update(self._together(list(stems)))
+        known.update(self._apart(list(others)))
+        known.update((word, known[stem] + known[marks]) for word, stem, marks in marked)
+
+    def _apart(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
+        ends = accumulate([4 * len(i) for i in ids], initial=0)
+        return zip(words, (flat[a:b] for a, b in pairwise(ends)), strict=True)
+
+    def _together(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The same for plain words, ``TOGETHER`` of them as one text."""
+        texts = [" ".join(words[at : at + TOGETHER]) for at in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable([e.ids for e in found]), dtype="<u4")
+        ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+        if len(ends) != len(words) or (len(ends) and ends[-1] != 4 * len(ids)):
+            return self._apart(words)  # this tokenizer has other pieces
+        flat = ids.tobytes()
+        return zip(words, (flat[a:b] for a, b in pairwise([0, *ends.tolist()])), strict=True)
+
 
 def _plain(text: str) -> str:
     """Lower case where that is the same letter by letter in all libraries (Latin-1)."""

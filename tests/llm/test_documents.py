@@ -322,6 +322,27 @@ def test_cutting_stock_covers_the_demand():
     assert packing.cutting_stock({}, 64) == []
 
 
+def test_new_words_are_encoded_together_and_without_marks():
+    from tokenizers import Tokenizer
+
+    whole, given = Tokenizer.from_file(tokenizer_file()), []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    encode = packing.Encoder(tokenizer_file())
+    encode.tokenizer = Spy()
+    words = sorted({*prose(3000, 5).lower().split()})
+    plain = " ".join(word.strip(".,;:!?") + mark for word in words for mark in ("", ".", ",", "!!"))
+    odd = "don't, it's. 's x<|endoftext|>. e\u0301., \u00df\u00b5. 12a.b,c ..., \u0130. \u03a3\u03b1\u03c2. &&&"
+    for text in (plain, odd, "", None, f"{odd} {plain}"):
+        expected = np.array(whole.encode(text or "", add_special_tokens=False).ids, dtype="<u4")
+        assert encode([text]) == [expected.tobytes()]
+    assert len(given) <= len(words) / packing.TOGETHER + len(odd.split()) + 5
+
+
 def test_packing_of_odd_rows(spark):
     got = packing.pack(docs(spark, odd_rows()), tokenizer_file())
     ends = got.where("start + length = doc_tokens").count()
