@@ -202,6 +202,42 @@ def test_short_lines_and_lines_without_blanks_repeat(spark):
     assert got[1].n_dropped == 0 and got[2].n_dropped == 2 and got[2].text == ""
 
 
+def test_large_buckets_and_pairs_are_taken_in_bounded_parts(spark, monkeypatch):
+    base = prose(60, 4).replace("\n", " ")
+    rows = [(i, f"{base[:40 + i]}{'xyz'[i % 3]}{base[41 + i:]}\n{prose(20, 900 + i)}", "s") for i in range(14)]
+    frame = docs(spark, rows)
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    whole = sorted(line_dedup.dedup(frame).collect())
+    assert sum(r.n_dropped for r in whole) >= 10
+    parts, grow = [], line_dedup.grow
+    monkeypatch.setattr(line_dedup, "grow", lambda *a, **k: parts.append(a[0].count()) or grow(*a, **k))
+    monkeypatch.setattr(line_dedup, "MEMBERS", 1)
+    monkeypatch.setattr(line_dedup, "PAIRS", 30)
+    assert sorted(line_dedup.dedup(frame).collect()) == whole
+    assert len(parts) > 1
+
+
+def test_word_count_rules_out_no_pair_within_the_share(spark):
+    import random
+
+    draw = random.Random(8)
+    rows = []
+    for i in range(600):
+        line = "".join(draw.choice("ab  cd") for _ in range(draw.randrange(34, 150)))
+        other = list(line)
+        for _ in range(draw.randrange(2 + 2 * int(len(line) * line_dedup.EDIT_SHARE))):
+            k, kind = draw.randrange(len(other)), draw.randrange(3)
+            other[k : k + (kind != 1)] = [draw.choice(" ab")] * (kind != 2)
+        rows.append((line, "".join(other)))
+    longer = F.greatest(F.length("one"), F.length("two"))
+    within = F.levenshtein("one", "two") <= F.floor(longer * line_dedup.EDIT_SHARE)
+    got = spark.createDataFrame(rows, "one string, two string").select(
+        within.alias("within"), line_dedup.edits("one", "two").alias("found")
+    ).collect()
+    assert {r.within for r in got} == {True, False}
+    assert all(r.within == r.found for r in got)
+
+
 def test_lines_of_odd_rows(spark):
     frame = docs(spark, odd_rows()).withColumn("extra", F.lit("x")).withColumn("n", F.lit(0))
     got = line_dedup.dedup(frame)
