@@ -238,6 +238,55 @@ def test_word_count_rules_out_no_pair_within_the_share(spark):
     assert all(r.within == r.found for r in got)
 
 
+def test_unrelated_lines_of_the_same_words_are_not_fetched(spark, monkeypatch):
+    """Long lines of few different words have near signatures; their letters tell them apart."""
+    import random
+
+    draw = random.Random(3)
+    few = [draw.choice("bdfgklmnprst") + draw.choice("aeiou") + draw.choice("lnrst") for _ in range(30)]
+    rows = [(i, " ".join(draw.choice(few) for _ in range(130)), "s") for i in range(400)]
+    rows.append((400, rows[0][1].replace(" ", " x", 1), "s"))
+    asked, made = [], line_dedup.stage
+
+    def counted(df, name, **options):
+        table = made(df, name, **options)
+        asked.extend([table.count()] if name == "pairs" else [])
+        return table
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup(docs(spark, rows)).collect()}
+    assert got[400] == 1 and sum(got.values()) == 1
+    assert sum(asked) < 800
+
+
+def test_lines_within_the_share_meet_by_words_or_grams(spark):
+    """Counted letters and ways of voting rule no pair out; long lines without blanks are found."""
+    import random
+
+    draw = random.Random(5)
+    rows = []
+    for i in range(300):
+        line = "".join(draw.choice("eeettaax" + " " * (i % 4)) for _ in range(draw.randrange(100, 500))).strip()
+        other = list(line)
+        for _ in range(draw.randrange(1 + int(len(line) * line_dedup.EDIT_SHARE))):
+            k, kind = draw.randrange(len(other)), draw.randrange(3)
+            other[k : k + (kind != 1)] = [draw.choice(" eb")] * (kind != 2)
+        rows.append((_normal(line), _normal("".join(other))))
+    frame = spark.createDataFrame(rows, "one string, two string")
+    differ = sum(
+        (F.bit_count(a.bitwiseXOR(b)) for a, b in zip(line_dedup._bags(F.col("one")), line_dedup._bags(F.col("two")), strict=True)),
+        F.lit(0),
+    )
+    common = F.arrays_overlap(line_dedup._families(F.col("one")), line_dedup._families(F.col("two")))
+    got = frame.select(F.levenshtein("one", "two").alias("edits"), differ.alias("differ"), common.alias("common"), F.greatest(F.length("one"), F.length("two")).alias("n")).collect()
+    assert all(r.differ <= 2 * r.edits for r in got)
+    assert all(r.common for r in got if r.edits <= int(r.n * line_dedup.EDIT_SHARE))
+
+    han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(300))
+    got = line_dedup.dedup(docs(spark, [(1, han, "s"), (2, f"{han[:150]}\u4e00{han[151:]}", "s")]))
+    assert {r.doc_id: r.n_dropped for r in got.collect()} == {1: 0, 2: 1}
+
+
 def test_lines_of_odd_rows(spark):
     frame = docs(spark, odd_rows()).withColumn("extra", F.lit("x")).withColumn("n", F.lit(0))
     got = line_dedup.dedup(frame)
