@@ -88,10 +88,10 @@ class Encoder:
                 others.add(parts[2])
             else:
                 stems.add(word)
-        stems.difference_update(known)
-        others.difference_update(known)
-        known.update(self._together(list(stems)))
-        known.update(self._apart(list(others)))
+        # difference asks the words that are known for each new one; difference_update goes
+        # through all that are known
+        known.update(self._together(list(stems.difference(known))))
+        known.update(self._apart(list(others.difference(known))))
         known.update((word, known[stem] + known[marks]) for word, stem, marks in marked)
 
     def _apart(self, words: list[str]) -> Iterator[tuple[str, bytes]]:

@@ -407,6 +407,18 @@ def test_cutting_stock_covers_the_demand():
     assert packing.cutting_stock({}, 64) == []
 
 
+def test_new_words_do_not_go_through_all_known_ones():
+    import time
+
+    encode = packing.Encoder(tokenizer_file())
+    encode(["some words, to begin with"])
+    encode.known.update((f"{k}", b"") for k in range(packing.CACHE - 1000))
+    began = time.process_time()
+    for k in range(60):
+        encode([f"onemore{chr(97 + k % 26)}{chr(97 + k // 26)}, and more"])
+    assert time.process_time() - began < 0.5
+
+
 def test_new_words_are_encoded_together_and_without_marks():
     from tokenizers import Tokenizer
 
