@@ -259,6 +259,46 @@ def test_unrelated_lines_of_the_same_words_are_not_fetched(spark, monkeypatch):
     assert sum(asked) < 800
 
 
+def _staged(monkeypatch, *names):
+    """Rows of the tables that line_dedup stages under these names."""
+    sizes, made = {name: [] for name in names}, line_dedup.stage
+
+    def counted(df, name, **options):
+        table = made(df, name, **options)
+        if name in sizes:
+            sizes[name].append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    return sizes
+
+
+def test_lines_of_the_same_words_in_another_order_are_not_compared(spark, monkeypatch):
+    """Letters and words are the same, so only the signature can tell them apart."""
+    import random
+
+    draw = random.Random(11)
+    own = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(120)]
+    rows = [(i, " ".join(draw.sample(own, len(own))), "s") for i in range(60)]
+    rows.append((60, rows[7][1].replace(own[5], "zzzzzz"), "s"))
+    sizes = _staged(monkeypatch, "pairs")
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup(docs(spark, rows)).collect()}
+    assert got[60] == 1 and sum(got.values()) == 1
+    assert sum(sizes["pairs"]) < 100  # of 1,830
+
+
+def test_a_pair_of_lines_is_met_in_one_block_and_compared_at_most_once(spark, monkeypatch):
+    """Copies share many blocks; once they are one group no other pair of them is compared."""
+    base = " ".join(word[:5] for word in words(40, 31))
+    rows = [(i, f"{base[: 3 * i]}{'xyz'[i % 3]}{base[3 * i + 1 :]}", "s") for i in range(40)]
+    assert all(130 < len(text) < 480 for _, text, _ in rows)  # of one way of voting
+    sizes = _staged(monkeypatch, "near", "near-pairs", "pairs")
+    got = line_dedup.dedup(docs(spark, rows)).collect()
+    assert sum(r.n_dropped for r in got) == 39
+    assert sum(sizes["near"]) == sizes["near-pairs"][0] > 200
+    assert sum(sizes["pairs"]) < 80
+
+
 def test_lines_within_the_share_meet_by_words_or_grams(spark):
     """Counted letters and ways of voting rule no pair out; long lines without blanks are found."""
     import random
